@@ -178,7 +178,9 @@ class TargetEncoder(Estimator):
         # global stats of the complement of each fold (one row per fold)
         gcomp = per_fold.select("_fold", (F.lit(tot["n"]) - F.col("fn")).alias("gn"),
                                 (F.lit(tot["s"]) - F.col("fs")).alias("gs"), (F.lit(tot["ss"]) - F.col("fss")).alias("gss"))
-        st = self._stats(tagged.where(y.isNotNull()), ["_fold"])
+        # per-fold statistics are small; checkpointing them keeps the
+        # complement self-join below a trivial plan
+        st = materialize(self._stats(tagged.where(y.isNotNull()), ["_fold"]))
         allf = st.groupBy("column", "value").agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"), F.sum("ss").alias("tss"))
         folds = self.folds
         fold_ids = F.explode(F.array(*[F.lit(i) for i in range(folds)]))

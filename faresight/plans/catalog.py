@@ -1,3 +1,4 @@
 """Imports every query module so that their analyses register."""
 
 from faresight.plans import q_profile  # noqa: F401
+from faresight.plans import q_eval  # noqa: F401
