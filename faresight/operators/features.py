@@ -10,9 +10,12 @@ from faresight.functions import scalar as S
 from faresight.roles import FLIGHT_ROLES, Roles
 
 
-def _raw_kept(df: DataFrame, roles: Roles, drop_extra: Sequence[str] = ()) -> list[str]:
-    drop = set(roles.drop_for_model) | set(drop_extra)
-    return [c for c in df.columns if c not in drop]
+def _raw_kept(df: DataFrame, roles: Roles, extra: Sequence[str] = ()) -> list[str]:
+    """Raw feature columns: those with a categorical or numeric role (plus
+    ``extra``), in frame order. Target, leaky, redundant, date and any
+    bookkeeping columns (keys, split flags) are left out."""
+    want = set(roles.cat) | set(roles.num) | set(extra)
+    return [c for c in df.columns if c in want]
 
 
 def date_parts(ts, peak_months: Sequence[int] = S.PEAK_MONTHS, with_hour: bool = True) -> dict:
@@ -61,7 +64,7 @@ def engineer_features(df: DataFrame, roles: Roles = FLIGHT_ROLES, keep: Sequence
         "haul_type": S.cut_labels(dur, S.HAUL_EDGES, S.HAUL_LABELS),
         "is_direct": S.equals_flag(roles.stopovers, "Direct"),
     })
-    raw = [c for c in _raw_kept(df, roles) if c not in keep and c not in ("order_key", "line_no")]
+    raw = [c for c in _raw_kept(df, roles) if c not in keep]
     return df.select(*raw, *[v.alias(k) for k, v in feats.items()], *keep)
 
 
@@ -99,8 +102,7 @@ def leaky_experiment_features(df: DataFrame, roles: Roles = FLIGHT_ROLES, includ
         "duration_x_class": dur * cls_num,
         "days_before_x_class": dbd * cls_num,
     })
-    drop = {roles.date, roles.target, *roles.redundant, *[c for c in roles.leaky if c != "tax" or not include_tax]}
-    raw = [c for c in df.columns if c not in drop and c not in keep and c not in ("order_key", "line_no")]
+    raw = [c for c in _raw_kept(df, roles, ["tax"] if include_tax else []) if c not in keep]
     return df.select(*raw, *[v.alias(k) for k, v in feats.items()], *keep)
 
 

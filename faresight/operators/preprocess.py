@@ -55,7 +55,8 @@ class FarePreprocessorModel(Model):
         return self.freq_model.freq_maps
 
     def _transform(self, raw: DataFrame) -> DataFrame:
-        x = engineer_features(raw, self.roles, keep=self.keep)
+        keep = [c for c in self.keep if c in raw.columns]  # a scoring frame may lack the label
+        x = engineer_features(raw, self.roles, keep=keep)
         x = self.freq_model.transform(x)
         x = categorical_strings(x, self.cat_feature_names)
-        return x.select(*self.columns, *self.keep)
+        return x.select(*self.columns, *keep)

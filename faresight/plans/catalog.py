@@ -3,3 +3,4 @@
 from faresight.plans import q_profile  # noqa: F401
 from faresight.plans import q_eval  # noqa: F401
 from faresight.plans import q_drift  # noqa: F401
+from faresight.plans import q_models  # noqa: F401

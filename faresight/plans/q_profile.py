@@ -92,7 +92,7 @@ def f2_hour_cyclic_events(spark, sf_dir):
 
 # E3 ----------------------------------------------------------------------------
 @register("e3_leaky_experiment_features", with_flights("""
-SELECT airline, source, destination, travel_class, round(tax, 4) AS tax,
+SELECT airline, source, destination, travel_class, round(tax, 6) AS tax,
   coalesce(source, 'nan') || '__' || coalesce(destination, 'nan') AS route,
   coalesce(CASE travel_class WHEN 'Economy' THEN 1 WHEN 'Business' THEN 2 WHEN 'First Class' THEN 3 END, 1)
     AS class_numeric,
@@ -103,7 +103,7 @@ SELECT airline, source, destination, travel_class, round(tax, 4) AS tax,
 FROM flights"""))
 def e3_leaky_experiment_features(spark, sf_dir):
     fe = FE.leaky_experiment_features(flights(spark, sf_dir), include_tax=True)
-    return fe.select("airline", "source", "destination", "travel_class", rnd("tax", 4).alias("tax"), "route",
+    return fe.select("airline", "source", "destination", "travel_class", rnd("tax", 6).alias("tax"), "route",
                      "class_numeric", rnd("duration_x_class").alias("duration_x_class"),
                      rnd("days_before_x_class").alias("days_before_x_class"))
 
