@@ -36,7 +36,7 @@ def metric_parts(y, p, mape_floor: float | None = 1.0) -> list[Column]:
         F.count(F.lit(1)).alias("_n"),
         F.sum(e * e).alias("_sse"),
         F.sum(F.abs(e)).alias("_sae"),
-        F.sum(F.abs(e) / denom).alias("_sape"),
+        F.sum(F.try_divide(F.abs(e), denom)).alias("_sape"),
         (F.var_pop(y) * F.count(F.lit(1))).alias("_sst"),
         F.avg(y).alias("_ybar"),
         F.avg(p - y).alias("_err"),

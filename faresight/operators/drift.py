@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from faresight.functions.metrics import r2_from
 from faresight.operators.prefix import prefix_sums, with_row_index
 from faresight.operators.profile import unpivot
-from faresight.sources.tables import checked_broadcast
+from faresight.sources.tables import bounded_broadcast
 
 # Default detection thresholds.
 P_THRESHOLD = 0.05
@@ -31,7 +31,6 @@ DATASET_DRIFT_SHARE = 0.3
 PSI_FLOOR = 1e-4
 KS_TERMS = 10
 SMALL_SAMPLE = 1000  # "auto": statistical tests up to this many rows, distances beyond
-SMALL_TABLE_ROWS = 1_000_000
 
 
 def tag_sides(reference: DataFrame, current: DataFrame, cols: Sequence[str], side: str = "side") -> DataFrame:
@@ -67,9 +66,9 @@ def _numeric_ecdf(both: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.sum((F.col("side") == 0).cast("long")).alias("r"), F.sum((F.col("side") == 1).cast("long")).alias("c"))
     cum = prefix_sums(counts, ["v"], ["r", "c"], ["feature"])
     tot = counts.groupBy("feature").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
-    tot = checked_broadcast(tot.select(F.col("feature").alias("_f"), "nr", "nc"), SMALL_TABLE_ROWS)
+    tot = bounded_broadcast(tot.select(F.col("feature").alias("_f"), "nr", "nc"))  # one row per feature
     return cum.join(tot, cum["feature"] == tot["_f"]).drop("_f").withColumns({
-        "fr": F.col("cum_r") / F.col("nr"), "fc": F.col("cum_c") / F.col("nc")})
+        "fr": F.try_divide(F.col("cum_r"), F.col("nr")), "fc": F.try_divide(F.col("cum_c"), F.col("nc"))})
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -78,7 +77,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str])
     ecdf = _numeric_ecdf(both, cols)
     ks = ecdf.groupBy("feature").agg(F.max(F.abs(F.col("fr") - F.col("fc"))).alias("ks_d"),
                                      F.first("nr").alias("n_ref"), F.first("nc").alias("n_cur"))
-    ne = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
+    ne = F.try_divide(F.col("n_ref") * F.col("n_cur"), F.col("n_ref") + F.col("n_cur"))
     ks = ks.withColumn("ks_p", kolmogorov_sf(F.sqrt(ne) * F.col("ks_d")))
     # W1 = Σ |F_ref(v_i) − F_cur(v_i)| (v_{i+1} − v_i): pair each value with the next by a dense index
     idx = with_row_index(ecdf.select("feature", "v", "fr", "fc"), [F.col("feature"), F.col("v")], "_i")
@@ -103,9 +102,10 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: Sequence[s
     counts = long.groupBy("feature", "value").agg(
         F.sum((F.col("side") == 0).cast("long")).alias("r"), F.sum((F.col("side") == 1).cast("long")).alias("c"))
     tot = counts.groupBy("feature").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
-    tot = checked_broadcast(tot.select(F.col("feature").alias("_f"), "nr", "nc"), SMALL_TABLE_ROWS)
+    tot = bounded_broadcast(tot.select(F.col("feature").alias("_f"), "nr", "nc"))  # one row per feature
     sh = counts.join(tot, counts["feature"] == tot["_f"]).drop("_f").withColumns({
-        "p": F.col("r") / F.col("nr"), "q": F.col("c") / F.col("nc")})
+        "p": F.coalesce(F.try_divide(F.col("r"), F.col("nr")), F.lit(0.0)),
+        "q": F.coalesce(F.try_divide(F.col("c"), F.col("nc")), F.lit(0.0))})
     pf, qf = F.greatest(F.col("p"), F.lit(floor)), F.greatest(F.col("q"), F.lit(floor))
     m = (F.col("p") + F.col("q")) / 2
 
@@ -184,8 +184,8 @@ def dataset_drift(report: DataFrame, share_threshold: float = DATASET_DRIFT_SHAR
     return report.agg(
         F.count(F.lit(1)).alias("n_features"), F.sum(F.col("drift_detected").cast("long")).alias("n_drifted"),
         F.array_sort(F.collect_list(F.when(F.col("drift_detected"), F.col("feature")))).alias("drifted_features"),
-    ).withColumn("drift_share", F.when(F.col("n_features") > 0, F.col("n_drifted") / F.col("n_features"))
-                 .otherwise(F.lit(0.0))).withColumn("dataset_drift", F.col("drift_share") >= share_threshold)
+    ).withColumn("drift_share", F.coalesce(F.try_divide(F.col("n_drifted"), F.col("n_features")), F.lit(0.0))
+                 ).withColumn("dataset_drift", F.col("drift_share") >= share_threshold)
 
 
 def data_quality(reference: DataFrame, current: DataFrame, cols: Sequence[str], cat_cols: Sequence[str]) -> DataFrame:

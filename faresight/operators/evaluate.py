@@ -83,9 +83,9 @@ def error_share(df: DataFrame, y: str, p: str, segment: Column) -> DataFrame:
     ae = F.abs(F.col(y) - F.col(p))
     g = df.withColumn("segment", segment).where(F.col("segment").isNotNull()).groupBy("segment").agg(
         F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean_fare"), F.avg(ae).alias("mae"),
-        (F.avg(ae / F.col(y)) * 100).alias("mape"), F.sum(ae).alias("_sae"))
+        (F.avg(F.try_divide(ae, F.col(y))) * 100).alias("mape"), F.sum(ae).alias("_sae"))
     tot = scalars(df.agg(F.sum(ae).alias("t")))["t"]
-    return g.withColumn("pct_of_total", F.col("_sae") / F.lit(tot) * 100).drop("_sae")
+    return g.withColumn("pct_of_total", F.try_divide(F.col("_sae"), F.lit(tot)) * 100).drop("_sae")
 
 
 def error_quantiles(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -121,7 +121,7 @@ def comparison_table(df: DataFrame, y: str, preds: Sequence[str], baseline: str
     return m.withColumns({
         "delta_r2": F.col("r2") - F.lit(base["r2"]),
         "delta_mae": F.col("mae") - F.lit(base["mae"]),
-        "delta_mae_pct": (F.col("mae") - F.lit(base["mae"])) / F.lit(base["mae"]) * 100})
+        "delta_mae_pct": F.try_divide(F.col("mae") - F.lit(base["mae"]), F.lit(base["mae"])) * 100})
 
 
 def select_champion(results: DataFrame, metric: str = "r2", higher_is_better: bool = True,

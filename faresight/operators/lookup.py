@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from faresight.functions.scalar import cut_codes_array
 from faresight.operators.prefix import exact_quantiles, prefix_sums
-from faresight.operators.profile import LOOKUP_BROADCAST_ROWS, scalars
-from faresight.sources.tables import checked_broadcast
-
-def join_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left",
-                max_broadcast_rows: int = LOOKUP_BROADCAST_ROWS) -> DataFrame:
-    """Equi-join on ``keys`` with the lookup broadcast only after a size check."""
-    lk = checked_broadcast(lookup, max_broadcast_rows)
-    return df.join(lk, list(keys), how)
+from faresight.operators.profile import scalars
+
+def join_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join with a fitted lookup. No hint: AQE broadcasts the lookup
+    when its materialised size is under the threshold and otherwise keeps
+    a shuffle join, so a lookup that grows with the data never floods the
+    executors."""
+    return df.join(lookup, list(keys), how)
 
 def fit_group_mean(train: DataFrame, keys: Sequence[str], target: str, out: str = "_pred") -> DataFrame:
     """Group means of the target on train, null keys left out (a null key

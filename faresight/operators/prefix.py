@@ -17,11 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faresight.session import materialize
-from faresight.sources.tables import checked_broadcast
-
-# Offsets tables above this many rows are joined by shuffle, not broadcast.
-OFFSETS_BROADCAST_ROWS = 2_000_000
-
+from faresight.sources.tables import bounded_broadcast
 
 def _sort_exprs(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -82,10 +78,9 @@ def prefix_sums(df: DataFrame, order: Sequence, weights: Sequence[str], group: S
     # rename the offsets' keys: both sides derive from one checkpoint
     offs = offs.select(F.col("_pid").alias("_opid"), *[F.col(g).alias(f"_og_{g}") for g in group],
                        *[f"_off_{w}" for w in weights])
-    if group:
-        offs = checked_broadcast(offs, OFFSETS_BROADCAST_ROWS)
-    else:
-        offs = F.broadcast(offs)  # one row per partition: bounded by the partition count
+    if not group:
+        offs = bounded_broadcast(offs)  # one row per partition
+    # with groups the table has ≤ #partitions + #groups rows: AQE decides
     cond = [local["_pid"] == offs["_opid"]] + [local[g].eqNullSafe(offs[f"_og_{g}"]) for g in group]
     joined = local.join(offs, cond)
     out = joined.select(*[c for c in df.columns],
@@ -119,7 +114,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: Se
         F.struct(F.lit(1).alias("side"), F.col("k_hi").alias("k")))).alias("s")).select(
         *group, "qi", "h", "s.side", "s.k")
     tk = tk.select(*[F.col(g).alias(f"_tg_{g}") for g in group], "qi", "h", "side", "k")
-    tk = checked_broadcast(tk, OFFSETS_BROADCAST_ROWS)
+    if not group:
+        tk = bounded_broadcast(tk)  # two rows per probability
     cond = [(cum["_prev"] <= tk["k"]) & (tk["k"] < cum["cum__c"])] + [cum[g].eqNullSafe(tk[f"_tg_{g}"]) for g in group]
     hit = cum.join(tk, cond).select(*[tk[f"_tg_{g}"].alias(g) for g in group], tk["qi"], tk["h"], tk["side"], cum["_v"])
     per_q = (hit.groupBy(*group, "qi", "h")

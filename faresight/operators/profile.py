@@ -16,11 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faresight.functions.metrics import r2_from
 from faresight.operators.prefix import exact_quantiles
-from faresight.sources.tables import checked_broadcast
-
-# Aggregated lookup tables up to this many rows are broadcast.
-LOOKUP_BROADCAST_ROWS = 1_000_000
-
 
 def scalars(one_row: DataFrame) -> dict:
     """Values of a global aggregate (exactly one row) as a dict of Python scalars."""
@@ -82,13 +77,13 @@ def group_mean_median(df: DataFrame, keys: Sequence[str], target: str) -> DataFr
 
 
 def _join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join on ``keys`` (null-safe), broadcasting ``small`` only after a size
-    check. The small side's keys are renamed first, so frames derived from
-    one source never meet as an ambiguous self-join."""
+    """Join on ``keys`` (null-safe). ``small`` is an aggregate; AQE
+    broadcasts it when its runtime size is under the threshold, else the
+    join shuffles. Its keys are renamed first, so frames derived from one
+    source never meet as an ambiguous self-join."""
     if not keys:
         return with_literals(big, scalars(small))
     ren = small.select(*[F.col(c).alias(f"_rk_{c}") if c in keys else F.col(c) for c in small.columns])
-    ren = checked_broadcast(ren, LOOKUP_BROADCAST_ROWS)
     cond = [big[k].eqNullSafe(ren[f"_rk_{k}"]) for k in keys]
     return big.join(ren, cond, how).drop(*[f"_rk_{k}" for k in keys])
 
@@ -109,13 +104,13 @@ def describe_numeric(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataF
     base = df.groupBy(*keys).agg(
         n.alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).alias("min"), F.max(col).alias("max"),
-        (g1 * F.sqrt(nn * (nn - 1)) / (nn - 2)).alias("skew"),
-        (((nn + 1) * g2 + 6) * (nn - 1) / ((nn - 2) * (nn - 3))).alias("kurtosis"))
+        F.try_divide(g1 * F.sqrt(nn * (nn - 1)), nn - 2).alias("skew"),
+        F.try_divide(((nn + 1) * g2 + 6) * (nn - 1), (nn - 2) * (nn - 3)).alias("kurtosis"))
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75], keys).select(
         *keys, F.col("q_0").alias("p25"), F.col("q_1").alias("median"), F.col("q_2").alias("p75"))
     out = _join_small(_join_small(base, q, keys), mode_of(df, col, keys), keys)
     return out.withColumns({"range": F.col("max") - F.col("min"), "iqr": F.col("p75") - F.col("p25"),
-                            "cov": F.col("std") / F.col("mean")})
+                            "cov": F.try_divide(F.col("std"), F.col("mean"))})
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -150,7 +145,7 @@ def relative_frequency(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     tot = counts.groupBy("column").agg(F.sum("count").alias("_tot"))
     return _join_small(counts, tot, ["column"]).select(
-        "column", "value", "count", (F.col("count") / F.col("_tot")).alias("freq"))
+        "column", "value", "count", F.try_divide(F.col("count"), F.col("_tot")).alias("freq"))
 
 
 # A10 / T6 ---------------------------------------------------------------------
@@ -218,7 +213,7 @@ def group_spread(df: DataFrame, keys: Sequence[str], target: str, min_count: int
                               F.count(F.lit(1)).alias("count"), F.min(target).alias("min"),
                               F.max(target).alias("max"))
     return (g.where(F.col("count") >= min_count)
-             .withColumns({"cv": F.col("std") / F.col("mean"), "range": F.col("max") - F.col("min")}))
+             .withColumns({"cv": F.try_divide(F.col("std"), F.col("mean")), "range": F.col("max") - F.col("min")}))
 
 
 def group_spread_summary(spread: DataFrame) -> DataFrame:
@@ -269,8 +264,8 @@ def noise_floor(df: DataFrame, features: Sequence[str], target: str) -> DataFram
         F.sum(multi.cast("long")).alias("n_multi"),
         F.avg(F.when(multi, F.col("std"))).alias("within_std"),
         F.avg(F.when(multi, F.col("mx") - F.col("mn"))).alias("within_range"),
-        F.sqrt(F.sum(F.when(multi, F.col("std") * F.col("std") * F.col("n")))
-               / F.sum(F.when(multi, F.col("n")))).alias("pooled_std"))
+        F.sqrt(F.try_divide(F.sum(F.when(multi, F.col("std") * F.col("std") * F.col("n"))),
+                            F.sum(F.when(multi, F.col("n"))))).alias("pooled_std"))
 
 
 # A18 ----------------------------------------------------------------------------
@@ -312,7 +307,7 @@ def histogram(df: DataFrame, col: str, bins: int | None = None, edges: Sequence[
             (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"))
     out = dom.join(counted, "bin", "left").select("bin", "lo", "hi", F.coalesce("count", F.lit(0)).alias("count"))
     if density:
-        out = out.withColumn("density", F.col("count") / (F.lit(n_total) * (F.col("hi") - F.col("lo"))))
+        out = out.withColumn("density", F.try_divide(F.col("count"), F.lit(n_total) * (F.col("hi") - F.col("lo"))))
     return out
 
 

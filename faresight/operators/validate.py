@@ -1,6 +1,6 @@
 """Request validation as predicates, splitting rows into valid and
 rejected with the first failing reason; domains are checked by a join
-against the distinct allowed values (broadcast only after a size check)."""
+against the distinct allowed values (broadcast by AQE when small)."""
 
 from __future__ import annotations
 
@@ -8,9 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from faresight.sources.tables import checked_broadcast
 
-DOMAIN_BROADCAST_ROWS = 1_000_000
 
 
 def validate_requests(df: DataFrame, required: Sequence[str] = (), non_negative: Sequence[str] = (),
@@ -21,7 +19,7 @@ def validate_requests(df: DataFrame, required: Sequence[str] = (), non_negative:
     flags = []
     for col, src in (domains or {}).items():
         dom = src.select(F.col(col).alias(f"_dom_{col}")).where(F.col(f"_dom_{col}").isNotNull()).distinct()
-        dom = checked_broadcast(dom.withColumn(f"_ok_{col}", F.lit(True)), DOMAIN_BROADCAST_ROWS)
+        dom = dom.withColumn(f"_ok_{col}", F.lit(True))  # AQE sizes it at runtime
         out = out.join(dom, out[col] == dom[f"_dom_{col}"], "left").drop(f"_dom_{col}")
         flags.append(col)
     reason = None

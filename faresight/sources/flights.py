@@ -12,22 +12,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from faresight.sources.tables import checked_broadcast, read_table
+from faresight.sources.tables import read_table
 
 # Fixed values of the mapping (they define the view, shared with the SQL below).
 STOPOVER_BY_LINE_MOD3 = {0: "Direct", 1: "1 Stop", 2: "2 Stops"}
 CLASS_BY_RETURNFLAG = {"A": "Economy", "N": "Business", "R": "First Class"}
 
-# Largest nation table we agree to broadcast (TPC-H has 25 nations).
-NATION_BROADCAST_ROWS = 10_000
-
-
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    r = checked_broadcast(r, NATION_BROADCAST_ROWS, cache_key=f"{sf_dir}/region")
-    nat = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    return checked_broadcast(nat, NATION_BROADCAST_ROWS, cache_key=f"{sf_dir}/nation")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
 def _case(col: Column, mapping: dict, default=None) -> Column:
@@ -40,11 +34,12 @@ def _case(col: Column, mapping: dict, default=None) -> Column:
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flight table (17 reference columns plus ``order_key``/``line_no``).
 
-    Join plan: orders ⋈ customer ⋈ nation on the order side, supplier ⋈
-    nation on the supply side, lineitem ⋈ orders ⋈ part ⋈ supplier. Only the
-    nation/region dimension is hinted (with a row-count check); every other
-    strategy is left to the planner and AQE, which broadcast small
-    dimensions from runtime sizes and sort-merge the large ones.
+    Join plan: lineitem ⋈ orders ⋈ customer ⋈ part ⋈ supplier ⋈ nation ⋈
+    nation. No hints: the planner broadcasts dimensions whose file size is
+    under the threshold, AQE re-plans from runtime sizes, and at scale the
+    large joins stay sort-merge joins on their keys with skew splitting.
+    For repeated analyses at scale, stage the view once
+    (``faresight.sources.flights.stage_flights``) and read it back.
     """
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -58,12 +53,16 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("r_name").alias("dr_name"))
     src = nat.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"),
                      F.col("r_name").alias("sr_name"))
-    cust = c.join(dest, c.c_nationkey == dest.dn_key)
-    ords = o.join(cust, o.o_custkey == cust.c_custkey)
-    sup = s.join(src, s.s_nationkey == src.sn_key)
-    j = (li.join(ords, li.l_orderkey == ords.o_orderkey)
-           .join(p, li.l_partkey == p.p_partkey)
-           .join(sup, li.l_suppkey == sup.s_suppkey))
+    # Fact first, raw dimensions next, the two nation look-ups last: each
+    # dimension keeps its own file-size estimate (a join of two dimensions
+    # would be estimated as the product of their sizes), and the growing
+    # fact side is never taken for a small table.
+    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+           .join(c, F.col("o_custkey") == c.c_custkey)
+           .join(p, F.col("l_partkey") == p.p_partkey)
+           .join(s, F.col("l_suppkey") == s.s_suppkey)
+           .join(dest, F.col("c_nationkey") == dest.dn_key)
+           .join(src, F.col("s_nationkey") == src.sn_key))
     base = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
     dur = F.col("l_quantity") / F.lit(2.0)
     return j.select(
@@ -130,3 +129,13 @@ def with_flights(sql_body: str, *extra_ctes: str) -> str:
     """Prefix an oracle query with the flight view (and optional extra CTEs)."""
     ctes = ",\n".join((FLIGHTS_SQL,) + extra_ctes)
     return f"WITH {ctes}\n{sql_body}"
+
+
+def stage_flights(spark: SparkSession, sf_dir: str, out: str, partition_by: str | None = "departure_month") -> None:
+    """Write the view once as parquet, partitioned by departure month, so that
+    later analyses read pruned columns and partitions instead of re-joining."""
+    f = flights(spark, sf_dir)
+    if partition_by == "departure_month":
+        f = f.withColumn("departure_month", F.date_format("departure", "yyyy-MM"))
+    w = f.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(out)

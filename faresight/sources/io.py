@@ -123,10 +123,10 @@ def read_drift_report(spark: SparkSession, path: str) -> DataFrame:
         "parse_ok",
         first("$.type", "$.metric").alias("metric_type"),
         first("$.column", "$.column_name").alias("column"),
-        val.cast("double").alias("number"),
+        val.try_cast("double").alias("number"),
         F.coalesce(F.get_json_object(val, "$.count"), F.get_json_object(val, "$.number_of_drifted_columns"))
-        .cast("long").alias("count"),
-        F.get_json_object(val, "$.drift_detected").cast("boolean").alias("drift_detected"))
+        .try_cast("long").alias("count"),
+        F.get_json_object(val, "$.drift_detected").try_cast("boolean").alias("drift_detected"))
 
 
 def decision_from_report(spark: SparkSession, path: str, share_threshold: float = 0.3) -> DataFrame:

@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-_small_counts: dict[str, int] = {}
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -19,17 +16,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
-def checked_broadcast(df: DataFrame, max_rows: int, cache_key: str | None = None) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it holds at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a table whose row count is bounded by construction
+    (one row per partition, per fold, per feature or per model).
 
-    Beyond the bound the frame is returned unhinted, so the planner falls back
-    to a shuffle join (with AQE skew splitting) instead of shipping an
-    unbounded table to every executor.
+    Every other lookup is joined without a hint: adaptive execution measures
+    the materialised side at runtime and broadcasts it only below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise it keeps
+    the shuffle join (with skew splitting). That runtime measurement is the
+    size check, and it costs no extra job.
     """
-    if cache_key is not None and cache_key in _small_counts:
-        n = _small_counts[cache_key]
-    else:
-        n = df.limit(max_rows + 1).count()
-        if cache_key is not None:
-            _small_counts[cache_key] = n
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df)
