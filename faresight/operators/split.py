@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from faresight.operators.prefix import with_row_index
+from faresight.operators.prefix import row_index_and_count
 
 
 def total_order(df: DataFrame, ts: str, tiebreak: Sequence[str] | None = None) -> list[Column]:
@@ -26,8 +26,7 @@ def temporal_split(df: DataFrame, ts: str, test_size: float = 0.2, tiebreak: Seq
     """Sort by time, the first ``int(n·(1−test_size))`` rows are
     'train', the rest 'test'. Adds the global position and the split flag;
     the data stays one frame (partition by ``split`` when writing)."""
-    indexed = with_row_index(df, total_order(df, ts, tiebreak), idx_col)
-    n = indexed.count()
+    indexed, n = row_index_and_count(df, total_order(df, ts, tiebreak), idx_col)
     cut = split_index(n, test_size)
     return indexed.withColumn(split_col, F.when(F.col(idx_col) < cut, F.lit("train")).otherwise(F.lit("test")))
 

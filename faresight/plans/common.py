@@ -13,12 +13,15 @@ from faresight.sources.flights import flights
 FLIGHT_COLUMNS = ("airline", "source", "source_name", "destination", "destination_name", "departure", "arrival",
                   "duration_hrs", "stopovers", "aircraft_type", "travel_class", "booking_source", "seasonality",
                   "days_before", "base_fare", "tax", "total_fare", "order_key", "line_no")
+# Tie-break after the departure time: key-like columns first (comparisons
+# end early), then every other column, so equal sort keys mean identical rows.
+TIEBREAK = ("order_key", "line_no") + tuple(c for c in FLIGHT_COLUMNS if c not in ("departure", "order_key", "line_no"))
 TEST_SIZE = 0.2
 PRED_KEYS = ("travel_class", "destination")
 
 
 def split_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return temporal_split(flights(spark, sf_dir), "departure", TEST_SIZE)
+    return temporal_split(flights(spark, sf_dir), "departure", TEST_SIZE, TIEBREAK)
 
 
 def scored_test(spark: SparkSession, sf_dir: str, keys=PRED_KEYS, split: DataFrame | None = None) -> DataFrame:
@@ -28,7 +31,7 @@ def scored_test(spark: SparkSession, sf_dir: str, keys=PRED_KEYS, split: DataFra
     return group_mean_predictor(train, test, list(keys), "total_fare")
 
 
-_ORDER = ", ".join(["departure ASC NULLS LAST"] + [f"{c} ASC NULLS LAST" for c in FLIGHT_COLUMNS if c != "departure"])
+_ORDER = ", ".join(["departure ASC NULLS LAST"] + [f"{c} ASC NULLS LAST" for c in TIEBREAK])
 
 SPLIT_CTES = (f"""ranked AS (
   SELECT f.*, CAST(row_number() OVER (ORDER BY {_ORDER}) - 1 AS BIGINT) AS row_idx FROM flights f

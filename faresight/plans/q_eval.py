@@ -14,7 +14,7 @@ from faresight.operators import lookup as LK
 from faresight.operators import split as SP
 from faresight.operators.features import engineer_features
 from faresight.operators.profile import scalars
-from faresight.plans.common import (PRED_KEYS, SCORED_CTES, SPLIT_CTES, scored_test, split_flights,
+from faresight.plans.common import (PRED_KEYS, SCORED_CTES, SPLIT_CTES, TIEBREAK, scored_test, split_flights,
                                     sql_group_mean_scored)
 from faresight.plans.registry import register, rnd
 
@@ -76,7 +76,7 @@ SELECT CASE WHEN row_idx < (SELECT CAST(floor(count(*) * (1.0::DOUBLE - 0.1::DOU
   THEN 'train' ELSE 'test' END AS split, count(*) AS n, round(avg(total_fare), 4) AS mean_fare
 FROM ranked GROUP BY 1""", SPLIT_CTES[0]))
 def t3_holdout_last10(spark, sf_dir):
-    s = SP.temporal_split(flights(spark, sf_dir), "departure", 0.1)
+    s = SP.temporal_split(flights(spark, sf_dir), "departure", 0.1, TIEBREAK)
     return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), rnd(F.avg(Y), 4).alias("mean_fare"))
 
 
