@@ -10,12 +10,32 @@ from pyspark.sql import DataFrame, Window, functions as F
 from faresight.functions.scalar import cut_codes_array
 from faresight.operators.prefix import exact_quantiles, prefix_sums
 from faresight.operators.profile import scalars
+from faresight.session import materialize
+
+# Fitted lookups up to this many rows (a few key columns and a value) are broadcast.
+LOOKUP_BROADCAST_ROWS = 1_000_000
+
+
+def fit_lookup(lookup: DataFrame) -> tuple[DataFrame, int]:
+    """Materialise a fitted lookup (an aggregate of the training side) once
+    in the checkpoint folder and count it from there: joins then read the
+    stored table, and the size check costs no recomputation."""
+    ck = materialize(lookup)
+    return ck, ck.count()
+
+
+def join_fitted(df: DataFrame, lookup: DataFrame, n_rows: int, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join with a fitted lookup: broadcast when its counted size is within
+    ``LOOKUP_BROADCAST_ROWS`` (the probe side is never shuffled), a shuffle
+    join with AQE skew splitting beyond."""
+    side = F.broadcast(lookup) if n_rows <= LOOKUP_BROADCAST_ROWS else lookup
+    return df.join(side, list(keys), how)
+
 
 def join_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Equi-join with a fitted lookup. No hint: AQE broadcasts the lookup
-    when its materialised size is under the threshold and otherwise keeps
-    a shuffle join, so a lookup that grows with the data never floods the
-    executors."""
+    """Equi-join with a derived lookup whose size is unknown. No hint: AQE
+    broadcasts it when its materialised size is under the threshold and
+    otherwise keeps a shuffle join."""
     return df.join(lookup, list(keys), how)
 
 def fit_group_mean(train: DataFrame, keys: Sequence[str], target: str, out: str = "_pred") -> DataFrame:
@@ -27,9 +47,11 @@ def fit_group_mean(train: DataFrame, keys: Sequence[str], target: str, out: str
     return train.where(cond).groupBy(*keys).agg(F.avg(target).alias(out))
 
 def apply_group_mean(test: DataFrame, lookup: DataFrame, keys: Sequence[str], global_mean: float,
-                     out: str = "prediction", lookup_col: str = "_pred") -> DataFrame:
+                     out: str = "prediction", lookup_col: str = "_pred", n_rows: int | None = None) -> DataFrame:
     """Left join, ``matched`` flag, missing → global train mean."""
-    j = join_lookup(test, lookup, keys)
+    if n_rows is None:
+        lookup, n_rows = fit_lookup(lookup)
+    j = join_fitted(test, lookup, n_rows, keys)
     return (j.withColumn("matched", F.col(lookup_col).isNotNull())
              .withColumn(out, F.coalesce(F.col(lookup_col), F.lit(global_mean))).drop(lookup_col))
 
@@ -38,6 +60,40 @@ def group_mean_predictor(train: DataFrame, test: DataFrame, keys: Sequence[str],
     gm = scalars(train.agg(F.avg(target).alias("m")))["m"]
     return apply_group_mean(test, fit_group_mean(train, keys, target), keys, gm, out)
 
+def fit_nested_group_means(train: DataFrame, keys: Sequence[str], target: str, levels: Sequence[int]
+                           ) -> tuple[DataFrame, dict[int, int], float]:
+    """Group means for nested key sets (the first L keys, for each L in
+    ``levels``) from ONE ``rollup`` aggregation instead of one scan per key
+    set. Rows with a missing key are left out of that level only (a rollup
+    null is told from a data null by ``grouping_id``). The table is
+    materialised once; returns it, the rows per level and the global mean.
+    """
+    keys = list(keys)
+    k = len(keys)
+    agg = train.rollup(*keys).agg(F.avg(target).alias("_pred"), F.grouping_id().alias("_gid"))
+    want = {(1 << (k - lv)) - 1: lv for lv in levels}
+    cond = None
+    for gid, lv in want.items():
+        c = F.col("_gid") == gid
+        for key in keys[:lv]:
+            c = c & F.col(key).isNotNull()
+        cond = c if cond is None else cond | c
+    gm_gid = (1 << k) - 1
+    table = materialize(agg.where(cond | (F.col("_gid") == gm_gid)))
+    sizes = {want[r["_gid"]]: r["n"] for r in table.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()
+             if r["_gid"] in want}  # one row per level
+    gm = table.where(F.col("_gid") == gm_gid).select("_pred").first()
+    return table, {lv: sizes.get(lv, 0) for lv in levels}, (gm[0] if gm else None)
+
+
+def apply_nested_level(test: DataFrame, table: DataFrame, keys: Sequence[str], level: int, n_rows: int,
+                       global_mean: float, out: str = "prediction") -> DataFrame:
+    """Score ``test`` with the level-``level`` lookup of ``fit_nested_group_means``."""
+    k = len(keys)
+    lk = table.where(F.col("_gid") == (1 << (k - level)) - 1).select(*keys[:level], "_pred")
+    return apply_group_mean(test, lk, list(keys[:level]), global_mean, out, n_rows=n_rows)
+
+
 def fit_frequency(train: DataFrame, col: str) -> DataFrame:
     """A9 for one column: (value, freq), nulls out of both counts."""
     counts = train.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))

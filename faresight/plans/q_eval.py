@@ -164,25 +164,40 @@ CEILING_CONFIGS = (
 )
 
 
-def _ceiling_rows(train, test, configs):
-    gm = scalars(train.agg(F.avg(Y).alias("m")))["m"]
-    outs = []
-    for name, keys in configs:
-        scored = LK.apply_group_mean(test, LK.fit_group_mean(train, keys, Y), keys, gm)
-        m = scored.agg(F.count(F.lit(1)).alias("_n"),
-                       F.sum((F.col(Y) - F.col("prediction")) ** 2).alias("_sse"),
-                       (F.var_pop(Y) * F.count(F.lit(1))).alias("_sst"),
-                       F.avg(F.abs(F.col(Y) - F.col("prediction"))).alias("mae"),
-                       F.avg(F.col("matched").cast("double")).alias("coverage"))
-        from faresight.functions.metrics import r2_from
-        outs.append(m.select(F.lit(name).alias("config"), r2_from(F.col("_sse"), F.col("_sst")).alias("r2"),
-                             "mae", "coverage"))
+def _ceiling_metrics(name, scored):
+    from faresight.functions.metrics import r2_from
+    m = scored.agg(F.count(F.lit(1)).alias("_n"),
+                   F.sum((F.col(Y) - F.col("prediction")) ** 2).alias("_sse"),
+                   (F.var_pop(Y) * F.count(F.lit(1))).alias("_sst"),
+                   F.avg(F.abs(F.col(Y) - F.col("prediction"))).alias("mae"),
+                   F.avg(F.col("matched").cast("double")).alias("coverage"))
+    return m.select(F.lit(name).alias("config"), r2_from(F.col("_sse"), F.col("_sst")).alias("r2"), "mae", "coverage")
+
+
+def _union_rounded(outs):
     u = outs[0]
     for o in outs[1:]:
         u = u.unionByName(o)
     return u.select("config", rnd("r2").alias("r2"), rnd("mae", 4).alias("mae"), rnd("coverage").alias("coverage"))
 
 
+def _ceiling_rows(train, test, configs):
+    """Separate key sets: one fitted lookup per configuration."""
+    gm = scalars(train.agg(F.avg(Y).alias("m")))["m"]
+    return _union_rounded([_ceiling_metrics(name, LK.apply_group_mean(test, LK.fit_group_mean(train, keys, Y), keys, gm))
+                           for name, keys in configs])
+
+
+def _nested_ceiling_rows(train, test, configs):
+    """Nested key sets (each extends the previous one): all lookups from one
+    rollup aggregation."""
+    keys = configs[-1][1]
+    assert all(list(k) == keys[:len(k)] for _, k in configs)
+    table, sizes, gm = LK.fit_nested_group_means(train, keys, Y, [len(k) for _, k in configs])
+    return _union_rounded([_ceiling_metrics(name, LK.apply_nested_level(test, table, keys, len(k), sizes[len(k)], gm))
+                           for name, k in configs])
+
+
 def _sql_ceiling(configs, src_train="train", src_test="test", prefix="c") -> tuple[str, str]:
     ctes, sels = [], []
     for i, (name, keys) in enumerate(configs):
@@ -200,7 +215,7 @@ _V10_CTES, _V10_SEL = _sql_ceiling(CEILING_CONFIGS)
 @register("v10_group_mean_ceiling", with_flights(_V10_SEL, *SPLIT_CTES, _V10_CTES))
 def v10_group_mean_ceiling(spark, sf_dir):
     s = split_flights(spark, sf_dir)
-    return _ceiling_rows(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"), CEILING_CONFIGS)
+    return _nested_ceiling_rows(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"), CEILING_CONFIGS)
 
 
 # V11 / J2 / F13 -----------------------------------------------------------------------------------------
@@ -400,11 +415,11 @@ def predictions_frame(spark, sf_dir, on: str = "test"):
     s = split_flights(spark, sf_dir)
     train = s.where(F.col("split") == "train")
     target = s.where(F.col("split") == on)
-    gm = scalars(train.agg(F.avg(Y).alias("m")))["m"]
-    out = target.select("row_idx", Y, *{k for keys in MODEL_KEYS.values() for k in keys}).withColumn(
-        "p_mean", F.lit(gm))
-    for name, keys in MODEL_KEYS.items():
-        out = LK.apply_group_mean(out, LK.fit_group_mean(train, keys, Y), keys, gm, name).drop("matched")
+    keys = list(MODEL_KEYS)[-1] and MODEL_KEYS[list(MODEL_KEYS)[-1]]
+    table, sizes, gm = LK.fit_nested_group_means(train, keys, Y, [len(k) for k in MODEL_KEYS.values()])
+    out = target.select("row_idx", Y, *keys).withColumn("p_mean", F.lit(gm))
+    for name, k in MODEL_KEYS.items():
+        out = LK.apply_nested_level(out, table, keys, len(k), sizes[len(k)], gm, name).drop("matched")
     return out
 
 

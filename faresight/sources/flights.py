@@ -43,7 +43,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"])
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"], spread=True)
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type"])
