@@ -175,8 +175,19 @@ def recode(c, mapping: dict, default=None) -> Column:
 
 
 # F16 ----------------------------------------------------------------------
+def wall_clock_micros(c) -> Column:
+    """Microseconds since the epoch of a timestamp_ntz read as UTC wall clock
+    (no session time zone, so no daylight-saving jumps)."""
+    c = _c(c)
+    micros = F.date_format(c, "SSSSSS").cast("decimal(16,6)")
+    secs = (F.second(c).cast("decimal(16,6)") + micros / F.lit(1_000_000)).cast("decimal(16,6)")
+    return F.unix_micros(F.make_timestamp_ltz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                                              secs, F.lit("UTC")))
+
+
 def elapsed_hours(start, end) -> Column:
-    return (F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))) / F.lit(3.6e9)
+    """Hours between two timestamp_ntz values (wall-clock difference)."""
+    return (wall_clock_micros(end) - wall_clock_micros(start)) / F.lit(3.6e9)
 
 
 # F17 ----------------------------------------------------------------------

@@ -23,17 +23,13 @@ def _sort_exprs(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _range_layout(df: DataFrame, keys: Sequence, n: int | None) -> DataFrame:
+    """Range partitions on ``keys``, sorted within, tagged with their id.
+    Without ``n`` the count is left to adaptive execution, which coalesces
+    adjacent (hence still ordered) ranges to the advisory partition size."""
     keys = _sort_exprs(keys)
-    return (df.repartitionByRange(_num_partitions(df, n), *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
 
 
 def _partition_offsets(counts: dict[int, int]) -> tuple[list[int], int]:

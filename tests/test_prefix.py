@@ -42,3 +42,25 @@ def test_exact_quantiles_match_numpy_linear(spark):
 def test_exact_quantiles_ignore_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "v double")
     assert exact_quantiles(df, "v", [0.5]).first()["q_0"] == 2.0
+
+
+def test_row_index_with_adaptive_partition_count(spark):
+    rng = np.random.default_rng(5)
+    vals = rng.integers(0, 1000, 3000).tolist()
+    df = spark.createDataFrame([(int(v), i) for i, v in enumerate(vals)], "v long, i long").repartition(5)
+    out = with_row_index(df, [F.col("v"), F.col("i")]).toPandas()
+    exp = sorted(range(3000), key=lambda i: (vals[i], i))
+    assert out.sort_values("row_idx")["i"].tolist() == exp
+
+
+def test_wall_clock_elapsed_ignores_session_zone(spark):
+    import datetime as dt
+    from faresight.functions.scalar import elapsed_hours
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 1, 30), dt.datetime(2024, 3, 10, 4, 30, 0, 500000))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        assert df.select(elapsed_hours("a", "b")).first()[0] == 3.0 + 0.5 / 3600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
