@@ -190,12 +190,27 @@ def _ceiling_rows(train, test, configs):
 
 def _nested_ceiling_rows(train, test, configs):
     """Nested key sets (each extends the previous one): all lookups from one
-    rollup aggregation."""
+    rollup aggregation, all predictions in one pass over the test rows
+    (chained broadcast/AQE joins), all metrics in one aggregate."""
+    from faresight.functions.metrics import r2_from
     keys = configs[-1][1]
     assert all(list(k) == keys[:len(k)] for _, k in configs)
     table, sizes, gm = LK.fit_nested_group_means(train, keys, Y, [len(k) for _, k in configs])
-    return _union_rounded([_ceiling_metrics(name, LK.apply_nested_level(test, table, keys, len(k), sizes[len(k)], gm))
-                           for name, k in configs])
+    scored = test.select(*keys, Y)
+    for i, (_, k) in enumerate(configs):
+        scored = (LK.apply_nested_level(scored, table, keys, len(k), sizes[len(k)], gm, f"_p{i}")
+                  .withColumnRenamed("matched", f"_m{i}"))
+    aggs = [(F.var_pop(Y) * F.count(F.lit(1))).alias("_sst")]
+    for i in range(len(configs)):
+        e = F.col(Y) - F.col(f"_p{i}")
+        aggs += [F.sum(e * e).alias(f"_sse{i}"), F.avg(F.abs(e)).alias(f"_mae{i}"),
+                 F.avg(F.col(f"_m{i}").cast("double")).alias(f"_cov{i}")]
+    one = scored.agg(*aggs)
+    rows = [F.struct(F.lit(name).alias("config"), r2_from(F.col(f"_sse{i}"), F.col("_sst")).alias("r2"),
+                     F.col(f"_mae{i}").alias("mae"), F.col(f"_cov{i}").alias("coverage"))
+            for i, (name, _) in enumerate(configs)]
+    long = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return long.select("config", rnd("r2").alias("r2"), rnd("mae", 4).alias("mae"), rnd("coverage").alias("coverage"))
 
 
 def _sql_ceiling(configs, src_train="train", src_test="test", prefix="c") -> tuple[str, str]:

@@ -8,6 +8,7 @@ created when nothing is configured and the master is local (tests).
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,11 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage.
+    """Write ``df`` as a parquet table under the session's checkpoint folder
+    and read it back, cutting the lineage.
 
-    A lost executor then re-reads the checkpoint instead of recomputing the
-    whole upstream plan, and a range partitioning done before the call is
-    fixed, so later passes see the same partitions.
+    A lost executor then re-reads the table instead of recomputing the
+    upstream plan; a layout decided before the call (range bounds come from
+    sampling) is fixed as data (callers keep partition ids and positions as
+    columns); and later passes read only the columns they use, vectorised.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/faresight-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
