@@ -246,3 +246,13 @@ def m10_registry_resolution(spark, sf_dir):
     aliases = versions.where(F.col("version") == 2).select("name", F.lit("production").alias("alias"), "version", "ts")
     return TR.resolve_version(versions, aliases, "fare-model").unionByName(
         TR.resolve_version(versions, None, "fare-model"))
+
+
+@register("l14_permutation_importance")
+def l14_permutation_importance(spark, sf_dir):
+    """L14 for trees: MAE increase on the test split when each raw column is
+    permuted (exact, distributed permutation)."""
+    tr, te = _train_test(spark, sf_dir)
+    m = MD.fit_model(tr, "DecisionTree", MD.preset("DecisionTree")[1])
+    cols = ["travel_class", "destination", "duration_hrs", "days_before", "airline"]
+    return MD.permutation_importance(m, te.drop("split", "row_idx"), cols)

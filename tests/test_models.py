@@ -59,3 +59,18 @@ def test_nnls_and_stacking(spark):
     assert np.allclose(w, [0.7, 0.3], atol=1e-6)
     alpha, ws, icpt = MD.ridge_stack_weights(df, "y", ["a", "b"], alphas=(0.001, 1.0))
     assert alpha == 0.001 and np.allclose(ws, [0.7, 0.3], atol=1e-3)
+
+
+def test_permutation_importance_finds_the_signal(spark, sf_dir):
+    from faresight.plans.common import split_flights
+    s = split_flights(spark, sf_dir)
+    s = s.withColumn("total_fare", F.col("duration_hrs") * 1000.0)
+    tr, te = s.where("split = 'train'"), s.where("split = 'test'")
+    m = MD.fit_model(tr, "DecisionTree", MD.preset("DecisionTree")[1])
+    imp = {r["feature"]: r["mae_increase"] for r in
+           MD.permutation_importance(m, te.drop("split", "row_idx"), ["duration_hrs", "airline"]).collect()}
+    assert imp["duration_hrs"] > 1000 and abs(imp["airline"]) < imp["duration_hrs"] / 10
+    # the permutation keeps the multiset of values
+    from faresight.operators.prefix import with_row_index
+    base = with_row_index(te, [F.col("row_idx")], "_pos")
+    assert base.count() == te.count()
