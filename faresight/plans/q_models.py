@@ -256,3 +256,38 @@ def l14_permutation_importance(spark, sf_dir):
     m = MD.fit_model(tr, "DecisionTree", MD.preset("DecisionTree")[1])
     cols = ["travel_class", "destination", "duration_hrs", "days_before", "airline"]
     return MD.permutation_importance(m, te.drop("split", "row_idx"), cols)
+
+
+@register("l6_knn_regression")
+def l6_knn_regression(spark, sf_dir):
+    """K-NN regression on target-encoded, standardised features (every
+    categorical → smoothed train mean, then population z-scores fitted on
+    train), k ∈ {5, 10, 20, 50}, inverse-distance weights, exact search over
+    the whole training split; metrics per k on the temporal test split."""
+    from faresight.operators.encode import PopulationScaler, TargetEncoder
+    from faresight.operators.knn import knn_predict
+    from faresight.operators.preprocess import FarePreprocessor
+    from faresight.session import materialize
+
+    tr, te = _train_test(spark, sf_dir)
+    prep = FarePreprocessor(keep=["row_idx", Y]).fit(tr)
+    cats, nums = prep.cat_feature_names, [c for c in prep.num_feature_names if c not in ("row_idx", Y)]
+    x_tr, x_te = prep.transform(tr), prep.transform(te)
+    enc = TargetEncoder(cats, Y).fit(x_tr)
+    raw = [f"{c}_te" for c in cats] + nums
+    x_tr, x_te = enc.transform(x_tr), enc.transform(x_te)
+    x_tr = x_tr.withColumns({c: F.col(c).cast("double") for c in raw})
+    x_te = x_te.withColumns({c: F.col(c).cast("double") for c in raw})
+    scaler = PopulationScaler(raw).fit(x_tr)
+    feats = [f"{c}_z" for c in raw]
+
+    def matrix(x, cols):
+        return materialize(scaler.transform(x).select(*cols, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c)
+                                                                 for c in feats]))
+    m_tr, m_te = matrix(x_tr, ["row_idx", Y]), matrix(x_te, ["row_idx", Y])
+    ks = (5, 10, 20, 50)
+    preds = knn_predict(m_tr, m_te.drop(Y), feats, Y, "row_idx", "row_idx", ks, "distance")
+    scored = m_te.select("row_idx", Y).join(preds, "row_idx")
+    long = scored.select(Y, F.explode(F.array(*[F.struct(F.lit(k).alias("n_neighbors"), F.col(f"pred_k{k}").alias("prediction"))
+                                                 for k in ks])).alias("_p")).select(Y, "_p.n_neighbors", "_p.prediction")
+    return _metrics(long, keys=["n_neighbors"])
