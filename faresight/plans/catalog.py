@@ -5,3 +5,4 @@ from faresight.plans import q_eval  # noqa: F401
 from faresight.plans import q_drift  # noqa: F401
 from faresight.plans import q_models  # noqa: F401
 from faresight.plans import q_misc  # noqa: F401
+from faresight.plans import q_io  # noqa: F401
