@@ -22,3 +22,18 @@ def _read(spark, sf_dir, name):
 def op1_minhash_near_dedup(spark, sf_dir):
     from faresight.llm.minhash import near_duplicates
     return near_duplicates(_read(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Place of a public tokenizer's file; the same package is installed on executors."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_best_fit_packing(spark, sf_dir):
+    from faresight.llm.packing import pack
+    return pack(_read(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
