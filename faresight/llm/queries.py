@@ -37,3 +37,9 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 def op2_best_fit_packing(spark, sf_dir):
     from faresight.llm.packing import pack
     return pack(_read(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
+@query
+def op10_quality_classifier(spark, sf_dir):
+    from faresight.llm.quality import classify
+    return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
