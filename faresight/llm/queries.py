@@ -43,3 +43,9 @@ def op2_best_fit_packing(spark, sf_dir):
 def op10_quality_classifier(spark, sf_dir):
     from faresight.llm.quality import classify
     return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@query
+def op9_suffix_array_dedup(spark, sf_dir):
+    from faresight.llm.rindex import digest
+    return digest(_read(spark, sf_dir, "documents"), length=400)
