@@ -49,3 +49,9 @@ def op10_quality_classifier(spark, sf_dir):
 def op9_suffix_array_dedup(spark, sf_dir):
     from faresight.llm.rindex import digest
     return digest(_read(spark, sf_dir, "documents"), length=400)
+
+
+@query
+def op4_kneser_ney_scores(spark, sf_dir):
+    from faresight.llm.kneser_ney import score_documents
+    return score_documents(_read(spark, sf_dir, "documents"))
