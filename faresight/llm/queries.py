@@ -55,3 +55,49 @@ def op9_suffix_array_dedup(spark, sf_dir):
 def op4_kneser_ney_scores(spark, sf_dir):
     from faresight.llm.kneser_ney import score_documents
     return score_documents(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_embedding_near_dedup(spark, sf_dir):
+    from faresight.llm.embed_dedup import near_duplicates
+    return near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+ORACLES["op3_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+), ok AS (
+  SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(node, root) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT l.w, r.root FROM reach r JOIN links l ON l.u = r.node
+), comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node),
+deg AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.component_id, coalesce(e.vec_id = c.component_id, false) AS kept
+FROM embeddings e LEFT JOIN comp c ON c.node = e.vec_id LEFT JOIN deg d ON d.u = e.vec_id
+"""
+
+
+@query
+def op6_exact_top_k_search(spark, sf_dir):
+    from faresight.llm.maxscore import search
+    return search(_read(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+ORACLES["op6_exact_top_k_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), t AS (SELECT vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS d FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM t q JOIN t c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY ALL
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
