@@ -101,3 +101,67 @@ s AS (
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@query
+def op5_warc_capture_index(spark, sf_dir):
+    from faresight.llm.warc import round_trip
+    return round_trip(_read(spark, sf_dir, "pages"))
+
+
+ORACLES["op5_warc_capture_index"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), r AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to FROM r
+"""
+
+
+MAX_REPEAT = 1.25
+
+
+@query
+def op7_temperature_mixing(spark, sf_dir):
+    from faresight.llm.mixing import mix
+    from pyspark.sql import functions as F
+    return mix(_read(spark, sf_dir, "documents"), max_repeat=MAX_REPEAT).withColumn("weight", F.round("weight", 9))
+
+
+ORACLES["op7_temperature_mixing"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens,
+    md5('mix|' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), s AS (
+  SELECT source, sum(n_tokens)::DOUBLE AS tokens, sum(n_tokens) / (SELECT sum(n_tokens) FROM d)::DOUBLE AS p FROM d GROUP BY source HAVING sum(n_tokens) > 0
+), tot AS (SELECT sum(tokens) AS budget FROM s),
+grid AS (SELECT unnest([0.0, 1.0])::DOUBLE AS t),
+edge AS (SELECT t, max(pow(p, t) / tokens) / sum(pow(p, t)) * (SELECT budget FROM tot) > {MAX_REPEAT} AS over FROM s, grid GROUP BY t),
+b(step, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN over THEN mid ELSE lo END, CASE WHEN over THEN hi ELSE mid END FROM (
+    SELECT step, lo, hi, (lo + hi) / 2 AS mid, max(pow(p, (lo + hi) / 2) / tokens) / sum(pow(p, (lo + hi) / 2)) * (SELECT budget FROM tot) > {MAX_REPEAT} AS over
+    FROM b, s WHERE step < 40 GROUP BY step, lo, hi)
+), t AS (
+  SELECT CASE WHEN (SELECT over FROM edge WHERE t = 1) THEN 1.0 WHEN NOT (SELECT over FROM edge WHERE t = 0) THEN 0.0 ELSE hi END AS t FROM b WHERE step = 40
+), w AS (
+  SELECT source, tokens, pow(p, (SELECT t FROM t)) / (SELECT sum(pow(p, (SELECT t FROM t))) FROM s) AS weight FROM s
+), f AS (
+  SELECT *, floor(weight * (SELECT budget FROM tot) + 0.5)::BIGINT AS share FROM w
+), r AS (
+  SELECT d.*, f.weight, (f.share // f.tokens::BIGINT) AS passes, f.share % f.tokens::BIGINT AS rest,
+    sum(d.n_tokens) OVER (PARTITION BY d.source ORDER BY h, d.doc_id) AS used
+  FROM d LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source
+)
+SELECT doc_id, source, n_tokens, round(weight, 9) AS weight, coalesce(passes + CASE WHEN used <= rest THEN 1 ELSE 0 END, 0)::BIGINT AS copies, substr(h, 1, 2) AS block FROM r
+"""
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+@query
+def op8_token_counts(spark, sf_dir):
+    from faresight.llm.token_counts import count_tokens
+    return count_tokens(_read(spark, sf_dir, "documents"), tokenizer_path(PIECES))
