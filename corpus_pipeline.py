@@ -3,21 +3,73 @@ mixing to target weights, packing into training sequences.
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame that is written as Parquet and read again as the next stage's documents. All but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``; each works on all that its predecessor kept.
+Empty tables and null columns pass through as the operators define.
 """
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from faresight.llm import minhash, mixing, packing, quality, rindex
+from faresight.llm.common import Workspace
+from faresight.llm.queries import tokenizer_path
+from faresight.sources.tables import table_path
+
+#: Shortest repeated string that is cut, in bytes: about 50 short words.
+PASSAGE_BYTES = 200
+#: No source is passed more often than this; every document is taken at least once.
+MAX_REPEAT = 2.0
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts (score >= 0.7); rows are otherwise unchanged."""
+    model = quality.fit(docs, spark.read.parquet(table_path(sf_dir, "labels")))
+    cols = docs.columns
+    kept = quality.score(docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(cols)}).withColumn("text", F.col(f"c{cols.index('text')}")),
+                         model, [f"c{i}" for i in range(len(cols))])
+    return kept.filter(F.col("score") >= 0.7).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group of near duplicates (five-word
+    shingles, similarity 0.8 or more). Rows of a null doc_id stay."""
+    out = minhash.near_duplicates(docs, words=5, percent=80)
+    gone = out.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    return docs.join(gone, docs.doc_id.cast("long") == gone.doc_id, "left_anti")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings of PASSAGE_BYTES bytes that occur more than once."""
+    return rindex.remove_repeats(docs, PASSAGE_BYTES)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents, those of smaller sources repeated, so that source weights are as even as
+    MAX_REPEAT passes allow; none is dropped."""
+    return mixing.realise(docs, budget_tokens="cover", max_repeat=MAX_REPEAT)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their token ids and place in sequences of 2048 tokens."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("near duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("source mix", source_mix),
+    ("packed sequences", packed_sequences),
+]
+
 #: SQL cannot express the learned classifier, byte-level repeats or the packing search.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    from faresight.llm.common import Workspace
-    from faresight.sources.tables import table_path
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "pipeline")
     docs = spark.read.parquet(table_path(sf_dir, "documents"))
-    for name, stage in STAGES:
-        docs = ws.table(stage(spark, docs, sf_dir), name)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = ws.table(stage(spark, docs, sf_dir), f"stage-{k}")
     return docs
