@@ -2,7 +2,7 @@
 
 A document is the mean of learned vectors of its hashed words and character n-grams, its
 class the softmax of a linear output, trained by numpy stochastic gradient descent on a
-bounded sample of labelled rows (``sample_rows``, the rows of smallest content hash). The
+bounded sample of labelled rows (``sample_rows``, those with the smallest hash of doc_id). The
 model is ``buckets`` x ``dim`` floats whatever the corpus; scoring is one Arrow pass in which
 each bucket's two-class logit is a single number, so no vectors are gathered per token.
 """
@@ -17,7 +17,7 @@ from faresight.llm import textnum as X
 
 BUCKETS = 1 << 17
 DIM = 12
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 8_000
 NGRAMS = (2, 3, 4)
 
 
@@ -68,7 +68,7 @@ class Model:
         self.w = np.zeros((dim, 2), np.float32)
         self.b = np.zeros(2, np.float32)
 
-    def train(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = 12, rate: float = 4.0, seed: int = 6) -> "Model":
+    def train(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = 8, rate: float = 4.0, seed: int = 6) -> "Model":
         """SGD on the log loss, one document a step, rate falling linearly to zero."""
         rng = np.random.default_rng(seed)
         steps, t = max(1, epochs * len(rows)), 0
@@ -110,27 +110,46 @@ def _score(add: np.ndarray, bias: float):
     return run
 
 
-def fit(texts: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS, dim: int = DIM) -> Model:
-    """``texts``: (text, label 0/1). Learns from at most ``sample_rows`` rows, those of the
-    smallest hash of their text (documented bound; null labels are left out)."""
-    rows = texts.filter("label is not null").select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label")) \
-        .orderBy(F.xxhash64("text"), "label").limit(sample_rows).collect()
-    x = [document_counts(r["text"].encode("utf-8"), buckets) for r in rows]
-    y = np.array([1 if r["label"] else 0 for r in rows], dtype=np.int64)
-    model = Model(buckets, dim)
-    if len(set(y)) == 2:
-        model.train(x, y)
-    elif len(y):
-        model.b[int(y[0])] += 4.0
-    return model
+def _learn(buckets: int, dim: int):
+    def run(batches):
+        texts, labels = [], []
+        for b in batches:
+            texts += [x or "" for x in b.column(0).to_pylist()]
+            labels += b.column(1).to_pylist()
+        order = sorted(range(len(texts)), key=lambda i: (texts[i], labels[i]))
+        x = [document_counts(texts[i].encode("utf-8"), buckets) for i in order]
+        y = np.array([1 if labels[i] else 0 for i in order], dtype=np.int64)
+        model = Model(buckets, dim)
+        if len(set(y)) == 2:
+            model.train(x, y)
+        elif len(y):
+            model.b[int(y[0])] += 4.0
+        add, bias = model.logits()
+        yield pa.RecordBatch.from_arrays([pa.array([add.tobytes()], pa.binary()), pa.array([bias])], names=["add", "bias"])
+    return run
+
 
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS,
+        dim: int = DIM) -> tuple[np.ndarray, float]:
+    """Per-bucket logits and bias, learned in one task from the labelled documents outside the
+    held-out fold; of more than ``sample_rows`` labels (documented bound) those with the
+    smallest hash of doc_id are used. Only their ids are broadcast, so texts are not shuffled.
+    Several labels of one doc_id count each, a null doc_id or label not at all."""
+    lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")) \
+        .filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()) \
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .join(F.broadcast(lab), "doc_id").select("text", "label")
+    r = sample.repartition(1).mapInArrow(_learn(buckets, dim), "add binary, bias double").first()
+    return np.frombuffer(bytes(r["add"]), np.float64), float(r["bias"])
 
-def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
+
+def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], text_col: str = "text") -> DataFrame:
     """Columns ``keep`` of every row of ``docs`` and ``score`` (probability of label 1).
 
     A null or empty text, or one of white space, has no features: its score is the sigmoid of
     the bias. Long texts are scored whole. An empty training set gives 0.5 throughout."""
-    add, bias = model.logits()
+    add, bias = model
     src = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     return src.mapInArrow(_score(add, bias), f"{schema}, score double" if schema else "score double")
@@ -140,19 +159,11 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string")) % 4 == 2
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """(text, label) of labelled documents outside the held-out fold; several labels of one
-    doc_id count each, a null doc_id or label not at all."""
-    lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label")).filter("label is not null and doc_id is not null")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .join(lab.filter(~held_out()), "doc_id").select("text", "label")
-
-
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted (1 if score >= threshold, else 0) for every row.
 
     Learns from ``labels.quality`` of rows whose crc32(doc_id as text) mod 4 is not 2; inputs
     of a score are the text alone. A null doc_id is scored with held_out null."""
-    model = fit(training_rows(docs, labels), sample_rows)
+    model = fit(docs, labels, sample_rows=sample_rows)
     s = score(docs.withColumn("doc_id", F.col("doc_id").cast("long")), model, ["doc_id"])
     return s.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
