@@ -13,6 +13,7 @@ which is a prefix count over written partitions; no piece passes through the dri
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -20,40 +21,82 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from faresight.llm import textnum as X
 from faresight.llm.common import Workspace
 
 CAPACITY = 2048
 RESIDUE = 240
-NODES = 20_000
-_CACHE_WORDS = 300_000
+NODES = 1_000
+_CACHE_WORDS = 120_000
+_LETTER, _PUNCTUATION, _ACCENT = (np.zeros(256, bool) for _ in range(3))
+_LETTER[[*range(97, 123), *range(48, 58)]] = True
+_PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+_ACCENT[[*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = True     # after 0xC3: Latin letters
 _tokenizers: dict = {}
 
 
-class WordIds:
-    """Token ids of a text as little-endian unsigned 32-bit bytes.
+def _byte_chars() -> dict[int, str]:
+    """Byte-level BPE's character for each byte (as Latin-1 text): itself where printable,
+    else the next character from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + k) for k, b in enumerate(hidden)}
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of
-    its white-space separated words in turn; words are encoded once per worker and kept in a
-    dictionary that is emptied when it is full. A-Z is lowered first, as the tokenizer does,
-    unless the text may hold a special token, which is matched in the raw text."""
+
+_CHARS = _byte_chars()
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")     # lower-case Latin letters, which normalisation keeps
+
+
+class WordIds(dict):
+    """Token ids of words, as little-endian unsigned 32-bit bytes, encoded on first use.
+
+    The tokenizer drops white space and never joins across it or from a letter or digit to
+    punctuation, so a text's ids are those of such parts in turn. A word of plain lower-case
+    letters is one unit for the model and skips normalisation. The dictionary is bounded: when
+    it is full it becomes the older generation, whose words are taken over on use."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        known = self.known
-        if len(known) > _CACHE_WORDS:
-            known.clear()
-        split = [(x if b"<|" in x else x.lower()).split() for x in texts]
-        new = list({w for ws in split for w in ws if w not in known})
-        for k in range(0, len(new), 4096):
-            part = new[k:k + 4096]
-            for w, e in zip(part, self.tok.encode_batch_fast([x.decode("utf-8", "replace") for x in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([known[w] for w in ws]) for ws in split]
+        self.model = self.tok.model
+        self.old: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        v = self.old.get(word)
+        if v is None:
+            if _PLAIN.fullmatch(word):
+                ids = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(_CHARS))]
+            else:
+                ids = self.tok.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            v = np.array(ids, dtype="<u4").tobytes()
+        if len(self) >= _CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = v
+        return v
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Ids of the documents ``offsets[d]..offsets[d + 1]``. A-Z is lowered first, as the
+        tokenizer does, and a space put before punctuation that follows a letter or digit;
+        not in texts that may hold a special token, which is matched in the raw text."""
+        raw = data[offsets[0]:offsets[-1]]
+        a = X.LOWER[raw]
+        at = np.flatnonzero(_LETTER[a[:-1]] & _PUNCTUATION[a[1:]]) + 1
+        accent = np.flatnonzero((a[:-2] == 0xC3) & _ACCENT[a[1:-1]] & _PUNCTUATION[a[2:]]) + 2 if len(a) > 2 else at[:0]
+        at = np.sort(np.concatenate([at, accent]))
+        new = np.insert(a, at, 32)
+        bounds = offsets - offsets[0]
+        bounds = bounds + np.searchsorted(at, bounds, side="left")
+        text, out, get = new.tobytes(), [], self.__getitem__
+        special = b"<|" in raw.tobytes()
+        for d in range(len(offsets) - 1):
+            part = text[bounds[d]:bounds[d + 1]]
+            if special and b"<|" in (whole := data[offsets[d]:offsets[d + 1]].tobytes()):
+                part = whole
+            out.append(b"".join(map(get, part.split())))
+        return out
 
 
 def _tokenizer(path: str) -> WordIds:
@@ -66,7 +109,6 @@ def _cut(path: str, capacity: int, end_id: int, keep_ids: bool):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        from faresight.llm import textnum as X
         enc, seen = _tokenizer(path), np.zeros(capacity + 1, np.int64)
         pid = TaskContext.get().partitionId()
         for batch in batches:
@@ -74,7 +116,7 @@ def _cut(path: str, capacity: int, end_id: int, keep_ids: bool):
             ids_in = batch.column(0).to_pylist()
             for d, e in X.groups(off):
                 rows = []
-                for i, ids in zip(range(d, e), enc.encode([data[off[k]:off[k + 1]].tobytes() for k in range(d, e)])):
+                for i, ids in zip(range(d, e), enc.encode(data, off[d:e + 1])):
                     ids += end
                     n = len(ids) // 4
                     for p, s in enumerate(range(0, n, capacity)):
@@ -108,49 +150,55 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(room: int, avail: np.ndarray, most: int, limit: int = 40):
-    """Undominated fillings of ``room`` by available lengths (descending tuples), by waste.
-    One piece that fills the room dominates all others; else combinations of up to ``most``
-    pieces, each completed by the largest piece that fits, so a kept filling cannot be
-    improved by exchanging a piece for a larger one."""
-    out, budget = [], [400]
+def fillings(room: int, avail: np.ndarray, branch: int = 5, limit: int = 40) -> list[tuple[int, tuple[int, ...]]]:
+    """(waste, lengths) of undominated fillings of ``room`` by available lengths, least waste
+    first. One piece that fills the room dominates all others, then two that do; else the
+    larger lengths are tried in turn. Only the first ``branch`` pieces of a filling are
+    branched on, the next ones are the largest that fit until none does, so a filling has no
+    limit on its pieces and none can take a further piece."""
+    out: list[tuple[int, tuple[int, ...]]] = []
+    left = [300]
 
     def go(room, top, picked):
-        if budget[0] <= 0:
+        left[0] -= 1
+        if len(picked) >= branch:
+            out.append(greedy(room, top, picked))
             return
-        budget[0] -= 1
         sizes = np.flatnonzero(avail[:min(room, top) + 1])
-        sizes = sizes[sizes > 0]
         if not len(sizes):
             out.append((room, tuple(picked)))
             return
-        if len(picked) + 1 >= most:
-            out.append((room - int(sizes[-1]), (*picked, int(sizes[-1]))))
-            return
-        tried = []
         if sizes[-1] == room:
             out.append((0, (*picked, room)))
             return
-        # pairs that fill exactly come first
         rest = room - sizes
-        ok = (rest <= sizes) & (rest > 0) & (avail[np.maximum(rest, 0)] > np.where(rest == sizes, 1, 0))
-        for a in sizes[ok][::-1][:3]:
-            out.append((0, (*picked, int(a), int(room - a))))
-        if ok.any() or (out and min(out)[0] == 0):
+        pair = (rest <= sizes) & (rest > 0) & (avail[rest] > (rest == sizes))
+        if pair.any():
+            out.extend((0, (*picked, int(a), int(room - a))) for a in sizes[pair][::-1][:3])
             return
-        tried = sizes[::-1][:12] if len(picked) < 2 else sizes[::-1][:4]
-        for a in tried:
-            a = int(a)
+        for a in sizes[::-1][:12 if len(picked) < 2 else 4].tolist():
             avail[a] -= 1
             picked.append(a)
             go(room - a, a, picked)
             picked.pop()
             avail[a] += 1
-            if out and min(out)[0] == 0:
+            if left[0] <= 0 or out[-1][0] == 0:
                 return
 
+    def greedy(room, top, picked):
+        use = list(picked)
+        sizes = np.flatnonzero(avail[:min(room, top) + 1])
+        while len(sizes):
+            a = int(sizes[-1])
+            take = min(int(avail[a]), room // a)
+            use += [a] * take
+            room -= take * a
+            sizes = sizes[:-1]
+            sizes = sizes[:int(np.searchsorted(sizes, room, side="right"))]
+        return room, tuple(use)
+
     go(room, room, [])
-    return sorted(set(out), key=lambda f: (f[0], len(f[1]), [-x for x in f[1]]))[:limit] or [(room, ())]
+    return sorted(set(out), key=lambda f: (f[0], len(f[1]), [-x for x in f[1]]))[:limit]
 
 
 def best_fit(items: list[int], capacity: int) -> list[list[int]]:
@@ -170,6 +218,36 @@ def best_fit(items: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def best_fit_patterns(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing over lengths with counts: bins of equal contents are one group."""
+    groups: list[list[tuple[tuple[int, ...], int]]] = [[] for _ in range(capacity + 1)]
+    for s in sorted(counts, reverse=True):
+        n = counts[s]
+        for room in range(s, capacity + 1):
+            per, now = room // s, groups[room]
+            while now and n:
+                use, k = now.pop()
+                full = min(k, n // per)
+                n -= full * per
+                if full:
+                    groups[room - per * s].append((use + (s,) * per, full))
+                if full < k:        # fewer than ``per`` pieces are left
+                    if n:
+                        groups[room - n * s].append((use + (s,) * n, 1))
+                        full, n = full + 1, 0
+                    if full < k:
+                        now.append((use, k - full))
+            if not n:
+                break
+        if n:
+            per = capacity // s
+            if n // per:
+                groups[capacity - per * s].append(((s,) * per, n // per))
+            if n % per:
+                groups[capacity - n % per * s].append(((s,) * (n % per), 1))
+    return [g for room in groups for g in room]
+
+
 def complete_exactly(items: list[int], capacity: int, nodes: int = NODES) -> list[list[int]]:
     """Branch and bound over bins of a short list; the incumbent starts as best fit."""
     best = best_fit(items, capacity)
@@ -193,7 +271,7 @@ def complete_exactly(items: list[int], capacity: int, nodes: int = NODES) -> lis
         top = int(sizes[-1])
         allowed = (len(best) - 1) * capacity - total   # waste of any better solution
         avail[top] -= 1
-        for w, fill in fillings(capacity - top, avail, 6, limit=6):
+        for w, fill in fillings(capacity - top, avail, limit=6):
             if waste + w > allowed:
                 break
             for s in fill:
@@ -216,7 +294,8 @@ def complete_exactly(items: list[int], capacity: int, nodes: int = NODES) -> lis
 
 
 def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(piece lengths of a sequence, number of such sequences); all pieces are used."""
+    """(piece lengths of a sequence, number of such sequences); all pieces are used. The
+    best-fit solution stands where bin completion does not beat it."""
     avail = np.zeros(capacity + 1, np.int64)
     for s, n in counts.items():
         avail[s] = n
@@ -225,7 +304,7 @@ def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tup
     while avail.sum() > RESIDUE:
         top = int(np.flatnonzero(avail)[-1])
         avail[top] -= 1
-        _, fill = fillings(capacity - top, avail, 6)[0]
+        _, fill = fillings(capacity - top, avail)[0]
         avail[top] += 1
         use = (top, *fill)
         sizes, mult = np.unique(use, return_counts=True)
@@ -235,7 +314,8 @@ def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tup
     rest = [int(s) for s in np.flatnonzero(avail) for _ in range(int(avail[s]))]
     if rest:
         out += [(tuple(sorted(b, reverse=True)), 1) for b in complete_exactly(rest, capacity)]
-    return out
+    fit = best_fit_patterns({s: n for s, n in counts.items() if n}, capacity)
+    return fit if sum(n for _, n in fit) < sum(n for _, n in out) else out
 
 
 def slots(found: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
