@@ -41,8 +41,7 @@ def _moments(dim: int):
             full = np.flatnonzero(np.diff(off) == dim)
             for k in range(0, len(full), 8192):
                 at = off[full[k:k + 8192]]
-                x = flat[at[:, None] + np.arange(dim)]
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                x = unit_rows(flat[at[:, None] + np.arange(dim)])
                 g += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim, dtype=np.int32)), pa.array(list(g), pa.list_(pa.float64()))], names=["i", "row"])
     return run
@@ -98,6 +97,7 @@ def linked_pairs(x: np.ndarray, left: np.ndarray, right: np.ndarray, axes: np.nd
     sure = part >= threshold
     for k in close:
         p, q = x[i[k]], x[j[k]]
+        p, q = p / np.abs(p).max(), q / np.abs(q).max()
         sure[k] = float(p @ q) / (float(np.sqrt(p @ p)) * float(np.sqrt(q @ q))) >= threshold
     return i[sure], j[sure]
 
@@ -114,7 +114,6 @@ def _tile(axes, threshold):
             up = i < j
             i, j = i[up], j[up]
         links = np.bincount(i, cnt[j], len(ids)) + np.bincount(j, cnt[i], len(ids))
-        comp = np.arange(len(ids))
         comp = ids.copy()
         while len(i):
             low = np.minimum(comp[i], comp[j])

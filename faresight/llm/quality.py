@@ -68,8 +68,10 @@ class Model:
         self.w = np.zeros((dim, 2), np.float32)
         self.b = np.zeros(2, np.float32)
 
-    def train(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = 8, rate: float = 4.0, seed: int = 6) -> "Model":
-        """SGD on the log loss, one document a step, rate falling linearly to zero."""
+    def train(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int | None = None, rate: float = 4.0, seed: int = 6) -> "Model":
+        """SGD on the log loss, one document a step, rate falling linearly to zero; 8 epochs,
+        more (100 at most) where that is less than 6000 steps."""
+        epochs = epochs or min(100, max(8, -(-6000 // max(1, len(rows)))))
         rng = np.random.default_rng(seed)
         steps, t = max(1, epochs * len(rows)), 0
         for _ in range(epochs):
@@ -141,6 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(F.broadcast(lab), "doc_id").select("text", "label")
     r = sample.repartition(1).mapInArrow(_learn(buckets, dim), "add binary, bias double").first()
+    if r is None:       # no labelled rows: an even score
+        return np.zeros(buckets), 0.0
     return np.frombuffer(bytes(r["add"]), np.float64), float(r["bias"])
 
 
