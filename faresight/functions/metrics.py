@@ -32,13 +32,14 @@ def metric_parts(y, p, mape_floor: float | None = 1.0) -> list[Column]:
     y, p = _c(y), _c(p)
     e = y - p
     denom = F.greatest(y, F.lit(mape_floor)) if mape_floor is not None else y
+    paired = F.when(p.isNotNull(), y)  # rows without a target or a prediction count nowhere
     return [
-        F.count(F.lit(1)).alias("_n"),
+        F.count(e).alias("_n"),
         F.sum(e * e).alias("_sse"),
         F.sum(F.abs(e)).alias("_sae"),
         F.sum(F.try_divide(F.abs(e), denom)).alias("_sape"),
-        (F.var_pop(y) * F.count(F.lit(1))).alias("_sst"),
-        F.avg(y).alias("_ybar"),
+        (F.var_pop(paired) * F.count(e)).alias("_sst"),
+        F.avg(paired).alias("_ybar"),
         F.avg(p - y).alias("_err"),
     ]
 

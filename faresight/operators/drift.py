@@ -8,7 +8,7 @@ from aggregated (feature, value, side) counts, never from row pairs:
   distinct values (p from the Kolmogorov limit series), Wasserstein-1
   distance ∫|F_ref − F_cur| divided by the reference std;
 * categorical: PSI and Jensen–Shannon distance on value shares, chi-square
-  homogeneity test (MLlib ``ChiSquareTest``) for a p-value.
+  homogeneity test on the same counts for a p-value.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ PSI_THRESHOLD = 0.2
 DATASET_DRIFT_SHARE = 0.3
 PSI_FLOOR = 1e-4
 KS_TERMS = 10
-SMALL_SAMPLE = 1000  # "auto": statistical tests up to this many rows, distances beyond
 
 
 def tag_sides(reference: DataFrame, current: DataFrame, cols: Sequence[str], side: str = "side") -> DataFrame:
@@ -121,36 +120,76 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: Sequence[s
         F.sum(((F.col("c") > 0) & (F.col("r") == 0)).cast("long")).alias("n_new_categories"))
 
 
+def chi_square_sf(x: float, dof: int) -> float:
+    """P(χ²_dof > x): the regularised upper incomplete gamma Q(dof/2, x/2), by its series
+    below a + 1 and its continued fraction above."""
+    a, z = dof / 2.0, x / 2.0
+    if dof <= 0 or z <= 0:
+        return 1.0
+    front = math.exp(a * math.log(z) - z - math.lgamma(a))
+    if z < a + 1:
+        term = total = 1.0 / a
+        k = a
+        while abs(term) > abs(total) * 1e-16:
+            k += 1
+            term *= z / k
+            total += term
+        return max(0.0, 1.0 - front * total)
+    tiny = 1e-300
+    b = z + 1 - a
+    c, d = 1 / tiny, 1 / b
+    h, i = d, 1
+    while True:
+        an = -i * (i - a)
+        b += 2
+        d = 1 / ((an * d + b) or tiny)
+        c = (b + an / c) or tiny
+        h *= d * c
+        if abs(d * c - 1) < 1e-15 or i > 100_000:
+            return min(1.0, front * h)
+        i += 1
+
+
 def chi_square_homogeneity(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Chi-square test of homogeneity (side × category contingency) with
-    MLlib's ``ChiSquareTest``: (feature, chi2_p, chi2_dof). Categories are
-    indexed on the union; MLlib caps a feature at 10,000 categories."""
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.stat import ChiSquareTest
-    both = tag_sides(reference, current, cols).withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-                                                            for c in cols})
-    idx = StringIndexer(inputCols=list(cols), outputCols=[f"_ix_{c}" for c in cols]).fit(both).transform(both)
-    vec = VectorAssembler(inputCols=[f"_ix_{c}" for c in cols], outputCol="_feat").transform(idx)
-    res = ChiSquareTest.test(vec.withColumn("_label", F.col("side").cast("double")), "_feat", "_label", flatten=True)
-    names = F.array(*[F.lit(c) for c in cols])
-    return res.select(F.element_at(names, F.col("featureIndex") + 1).alias("feature"),
-                      F.col("pValue").alias("chi2_p"), F.col("degreesOfFreedom").alias("chi2_dof"))
+    """Chi-square test of homogeneity (side × category contingency, a null is the
+    category "nan"): (feature, chi2_p, chi2_dof). The statistic is one aggregate over
+    (feature, category, count by side), for any number of categories; the p-value is
+    computed on the one row per feature."""
+    import pandas as pd
+    both = tag_sides(reference, current, cols)
+    long = unpivot(both, ["side"], cols, "feature", "value", cast="string")
+    counts = long.groupBy("feature", F.coalesce("value", F.lit("nan")).alias("value")).agg(
+        F.sum((F.col("side") == 0).cast("long")).alias("r"), F.sum((F.col("side") == 1).cast("long")).alias("c"))
+    tot = counts.groupBy("feature").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
+    x = counts.join(bounded_broadcast(tot), "feature")  # one row per feature
+    n = F.col("nr") + F.col("nc")
+    er, ec = F.col("nr") * (F.col("r") + F.col("c")) / n, F.col("nc") * (F.col("r") + F.col("c")) / n
+    d = F.col("r") - er
+    stat = x.groupBy("feature").agg(F.sum(F.try_divide(d * d, er) + F.try_divide(d * d, ec)).alias("chi2"),
+                                    (F.count(F.lit(1)) - 1).alias("chi2_dof"))
+
+    def p_values(batches):
+        for pdf in batches:
+            p = [None if pd.isna(s) else chi_square_sf(float(s), int(k)) for s, k in zip(pdf["chi2"], pdf["chi2_dof"])]
+            yield pd.DataFrame({"feature": pdf["feature"], "chi2_p": pd.array(p, dtype="Float64"), "chi2_dof": pdf["chi2_dof"].astype("int64")})
+    return stat.mapInPandas(p_values, "feature string, chi2_p double, chi2_dof long")
 
 
 def drift_report(reference: DataFrame, current: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
-                 num_method: str = "auto", cat_method: str = "auto", with_p_values: bool = True) -> DataFrame:
+                 num_method: str = "wasserstein", cat_method: str = "jensenshannon", with_p_values: bool = True) -> DataFrame:
     """M1: one row per feature — kind, method, score, threshold, drift_detected.
 
-    ``auto`` follows the usual rule: tests (KS / chi-square p < 0.05) when the
-    reference has at most 1,000 rows, distances (Wasserstein / Jensen–Shannon
-    ≥ 0.1) above. ``psi`` (≥ 0.2) is available for categoricals.
+    The method is the caller's and never depends on the number of rows:
+    ``wasserstein`` (≥ 0.1) or ``ks`` (p < 0.05) for numeric columns,
+    ``jensenshannon`` (≥ 0.1), ``psi`` (≥ 0.2) or ``chisquare`` (p < 0.05,
+    needs ``with_p_values``) for categorical ones.
     """
+    if num_method not in ("wasserstein", "ks") or cat_method not in ("jensenshannon", "psi", "chisquare"):
+        raise ValueError(f"unknown drift method {num_method!r} / {cat_method!r}")
     parts = []
     if num_cols:
         nd = numeric_drift(reference, current, num_cols)
-        meth = F.when(F.col("n_ref") <= SMALL_SAMPLE, F.lit("ks")).otherwise(F.lit("wasserstein")) \
-            if num_method == "auto" else F.lit(num_method)
-        nd = nd.withColumn("method", meth)
+        nd = nd.withColumn("method", F.lit(num_method))
         score = F.when(F.col("method") == "ks", F.col("ks_p")).otherwise(F.col("wasserstein"))
         det = F.when(F.col("method") == "ks", F.col("ks_p") < P_THRESHOLD).otherwise(
             F.col("wasserstein") >= DISTANCE_THRESHOLD)
@@ -162,9 +201,7 @@ def drift_report(reference: DataFrame, current: DataFrame, num_cols: Sequence[st
             cd = cd.join(chi_square_homogeneity(reference, current, cat_cols), "feature", "left")
         else:
             cd = cd.withColumn("chi2_p", F.lit(None).cast("double"))
-        meth = F.when(F.col("n_ref") <= SMALL_SAMPLE, F.lit("chisquare")).otherwise(F.lit("jensenshannon")) \
-            if cat_method == "auto" else F.lit(cat_method)
-        cd = cd.withColumn("method", meth)
+        cd = cd.withColumn("method", F.lit(cat_method))
         score = (F.when(F.col("method") == "chisquare", F.col("chi2_p"))
                   .when(F.col("method") == "psi", F.col("psi")).otherwise(F.col("jensen_shannon")))
         det = (F.when(F.col("method") == "chisquare", F.col("chi2_p") < P_THRESHOLD)
@@ -215,7 +252,7 @@ def concept_drift(reference: DataFrame, current: DataFrame, y: str, p: str) -> D
     both = tag_sides(reference, current, [y, p])
     e = F.col(y) - F.col(p)
     m = both.groupBy("side").agg(
-        F.sum(e * e).alias("_sse"), (F.var_pop(y) * F.count(F.lit(1))).alias("_sst"),
+        F.sum(e * e).alias("_sse"), (F.var_pop(F.when(F.col(p).isNotNull(), F.col(y))) * F.count(e)).alias("_sst"),
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
         (F.avg(F.abs(e) / F.greatest(F.col(y), F.lit(1.0))) * 100).alias("mape"), F.avg(-e).alias("mean_error"))
     m = m.withColumn("r2", r2_from(F.col("_sse"), F.col("_sst")))

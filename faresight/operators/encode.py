@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from faresight.functions.scalar import as_category, expm1, log1p
 from faresight.operators.prefix import with_row_index
@@ -141,6 +141,23 @@ def _shrunk(n, mean, var, gmean, gvar):
     return F.coalesce(lam * mean + (F.lit(1.0) - lam) * gmean, gmean)
 
 
+def _moments(y) -> list:
+    """(n, mean, M2) of a column; Spark's variance merges them without cancellation."""
+    return [F.count(y).alias("n"), F.avg(y).alias("m"), (F.var_pop(y) * F.count(y)).alias("m2")]
+
+
+def _merged(parts: str, without) -> Column:
+    """(n, m, m2) of the entries of ``parts`` whose fold is not ``without``."""
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("m2"))
+
+    def add(a, b):
+        n = a["n"] + b["n"]
+        d = b["m"] - a["m"]
+        return F.struct(n.alias("n"), F.when(a["n"] == 0, b["m"]).otherwise(a["m"] + d * b["n"] / n).alias("m"),
+                        (a["m2"] + b["m2"] + F.when(a["n"] == 0, 0.0).otherwise(d * d * a["n"] * b["n"] / n)).alias("m2"))
+    return F.aggregate(F.array_sort(F.filter(parts, lambda p: p["_fold"] != without)), zero, add)
+
+
 class TargetEncoder(Estimator):
     """Smoothed category mean of the target with "auto" shrinkage; unseen →
     global mean. ``fit_transform_oof`` gives out-of-fold encodings for the
@@ -154,16 +171,13 @@ class TargetEncoder(Estimator):
         y = F.col(self.target).cast("double")
         long = unpivot(df.select(*self.inputCols, *extra, y.alias("_y")), ["_y", *extra], self.inputCols,
                        "column", "value", cast="string")
-        return long.groupBy("column", "value", *extra).agg(
-            F.count(F.lit(1)).alias("n"), F.sum("_y").alias("s"), F.sum(F.col("_y") * F.col("_y")).alias("ss"))
+        return long.groupBy("column", "value", *extra).agg(*_moments("_y"))
 
     def _fit(self, df: DataFrame) -> "TargetEncoderModel":
         g = scalars(df.agg(F.avg(self.target).alias("m"), F.var_pop(self.target).alias("v")))
         st = self._stats(df.where(F.col(self.target).isNotNull()))
-        mean = F.col("s") / F.col("n")
-        var = F.greatest(F.col("ss") / F.col("n") - mean * mean, F.lit(0.0))
         state = materialize(st.where(F.col("value").isNotNull()).select(
-            "column", "value", _shrunk(F.col("n"), mean, var, F.lit(g["m"]), F.lit(g["v"])).alias("enc")))
+            "column", "value", _shrunk(F.col("n"), F.col("m"), F.col("m2") / F.col("n"), F.lit(g["m"]), F.lit(g["v"])).alias("enc")))
         return TargetEncoderModel(state=state, inputCols=self.inputCols, suffix=self.suffix, global_mean=g["m"],
                                   sizes=_sizes(state))
 
@@ -172,36 +186,24 @@ class TargetEncoder(Estimator):
         fold = hash_fold(df.columns, self.folds, self.seed)
         tagged = df.withColumn("_fold", fold)
         y = F.col(self.target)
-        per_fold = tagged.where(y.isNotNull()).groupBy("_fold").agg(
-            F.count(F.lit(1)).alias("fn"), F.sum(y).alias("fs"), F.sum(y * y).alias("fss"))
-        tot = scalars(per_fold.agg(F.sum("fn").alias("n"), F.sum("fs").alias("s"), F.sum("fss").alias("ss")))
-        # global stats of the complement of each fold (one row per fold)
-        gcomp = per_fold.select("_fold", (F.lit(tot["n"]) - F.col("fn")).alias("gn"),
-                                (F.lit(tot["s"]) - F.col("fs")).alias("gs"), (F.lit(tot["ss"]) - F.col("fss")).alias("gss"))
-        # per-fold statistics are small; checkpointing them keeps the
-        # complement self-join below a trivial plan
-        st = materialize(self._stats(tagged.where(y.isNotNull()), ["_fold"]))
-        allf = st.groupBy("column", "value").agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"), F.sum("ss").alias("tss"))
-        folds = self.folds
-        fold_ids = F.explode(F.array(*[F.lit(i) for i in range(folds)]))
-        comp = (allf.select("column", "value", "tn", "ts", "tss", fold_ids.alias("_fold"))
-                .join(st, ["column", "value", "_fold"], "left")
-                .select("column", "value", "_fold", (F.col("tn") - F.coalesce("n", F.lit(0))).alias("cn"),
-                        (F.col("ts") - F.coalesce("s", F.lit(0.0))).alias("cs"),
-                        (F.col("tss") - F.coalesce("ss", F.lit(0.0))).alias("css"))
-                .join(F.broadcast(gcomp), "_fold"))  # one row per fold
-        gm = F.col("gs") / F.col("gn")
-        gv = F.greatest(F.col("gss") / F.col("gn") - gm * gm, F.lit(0.0))
-        cm = F.col("cs") / F.col("cn")
-        cv = F.greatest(F.col("css") / F.col("cn") - cm * cm, F.lit(0.0))
-        enc = F.when(F.col("cn") > 0, _shrunk(F.col("cn"), cm, cv, gm, gv)).otherwise(gm)
+        present = tagged.where(y.isNotNull())
+        fold_ids = F.explode(F.array(*[F.lit(i) for i in range(self.folds)]))
+        # statistics of all folds but one, merged from the per-fold (n, mean, M2): at most one entry per fold
+        parts = present.groupBy("_fold").agg(*_moments(y.cast("double"))).agg(F.collect_list(F.struct("_fold", "n", "m", "m2")).alias("parts"))
+        gcomp = parts.select(fold_ids.alias("_fold"), "parts").select("_fold", _merged("parts", F.col("_fold")).alias("g")).select(
+            "_fold", F.col("g.m").alias("gm"), F.when(F.col("g.n") > 0, F.col("g.m2") / F.col("g.n")).alias("gv"))
+        st = self._stats(present, ["_fold"]).groupBy("column", "value").agg(F.collect_list(F.struct("_fold", "n", "m", "m2")).alias("parts"))
+        comp = st.select("column", "value", "parts", fold_ids.alias("_fold")).select(
+            "column", "value", "_fold", _merged("parts", F.col("_fold")).alias("c")).join(F.broadcast(gcomp), "_fold")  # one row per fold
+        enc = F.when(F.col("c.n") > 0, _shrunk(F.col("c.n"), F.col("c.m"), F.col("c.m2") / F.col("c.n"), F.col("gm"), F.col("gv"))) \
+            .otherwise(F.col("gm"))
         state = materialize(comp.select("column", "value", "_fold", enc.alias("enc")))
         out = tagged
         for c in self.inputCols:
             lk = state.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("_fold").alias("_f"),
                                                           F.col("enc").alias(f"{c}{self.suffix}"))
             out = out.join(lk, (out[c].cast("string") == lk["_v"]) & (out["_fold"] == lk["_f"]), "left").drop("_v", "_f")
-        gfill = gcomp.select("_fold", (F.col("gs") / F.col("gn")).alias("_gm"))
+        gfill = gcomp.select("_fold", F.col("gm").alias("_gm"))
         out = out.join(F.broadcast(gfill), "_fold", "left")
         out = out.withColumns({f"{c}{self.suffix}": F.coalesce(F.col(f"{c}{self.suffix}"), F.col("_gm"))
                                for c in self.inputCols}).drop("_gm", "_fold")

@@ -40,8 +40,8 @@ REFERENCE_CONFIGS = {
     "CatBoost": ("boosting", {"maxIter": 2000, "stepSize": 0.02, "maxDepth": 8, "seed": 42,
                               "validationTol": 0.0}),
     "DecisionTree": ("tree", {"maxDepth": 12, "minInstancesPerNode": 10, "seed": 42}),
-    "Linear": ("linear", {"regParam": 0.0, "solver": "normal"}),
-    "Ridge": ("linear", {"alpha": 10.0, "elasticNetParam": 0.0, "solver": "normal"}),
+    "Linear": ("linear", {"regParam": 0.0, "solver": "auto"}),
+    "Ridge": ("linear", {"alpha": 10.0, "elasticNetParam": 0.0, "solver": "auto"}),
     "Lasso": ("linear", {"alpha": 1.0, "elasticNetParam": 1.0}),
 }
 QUICK = {"numTrees": 20, "maxIter": 20, "maxDepth": 6, "stepSize": 0.1}
@@ -239,10 +239,11 @@ def linear_attribution(model: FareModel, raw: DataFrame) -> DataFrame:
     mean = scored.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray().tolist()
     arr = vector_to_array("features")
     names = _vector_names(model)
-    one = scored.select(arr.alias("_x")).agg(*[
-        F.avg(F.abs(F.lit(c) * (F.col("_x")[i] - F.lit(m)))).alias(f"a{i}") for i, (c, m) in enumerate(zip(coef, mean))])
-    return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"a{i}").alias("mean_abs_attr"))
-                                          for i, n in enumerate(names)])).alias("r")).select("r.*")
+    slots = scored.sparkSession.createDataFrame(
+        [(i, n, c, m) for i, (n, c, m) in enumerate(zip(names, coef, mean))], "slot int, feature string, coef double, mean double")
+    long = scored.select(F.posexplode(arr).alias("slot", "x")).join(slots, "slot")
+    return long.groupBy("slot", "feature").agg(F.avg(F.abs(F.col("coef") * (F.col("x") - F.col("mean")))).alias("mean_abs_attr")) \
+        .select("feature", "mean_abs_attr")
 
 
 def train_all(train: DataFrame, valid: DataFrame, names: Sequence[str] = tuple(REFERENCE_CONFIGS),
@@ -272,12 +273,12 @@ def train_all(train: DataFrame, valid: DataFrame, names: Sequence[str] = tuple(R
             scored = m.transform(valid)
             met = regression_metrics(scored, roles.target, "prediction").first().asDict()
         except Exception as e:  # a failing learner is reported, not fatal
-            rows.append((name, family, None, None, None, None, None, None, time.time() - t0, str(e)[:200], []))
+            rows.append((name, family, None, None, None, None, None, None, time.time() - t0, str(e), []))
             continue
         secs = time.time() - t0
         models[name] = m
         rows.append((name, family, met["r2"], met["mae"], met["rmse"], met["mape"], met["medae"],
-                     json.dumps({k: str(v) for k, v in params.items()}), secs, None, importances(m)[:30]))
+                     json.dumps({k: str(v) for k, v in params.items()}), secs, None, importances(m, valid)))
     for x in mats.values():
         x.unpersist()
     schema = ("model string, family string, r2 double, mae double, rmse double, mape double, medae double, "
@@ -301,10 +302,13 @@ def lasso_path(train: DataFrame, test: DataFrame, alphas: Sequence[float], roles
 
 
 def per_stratum_models(train: DataFrame, test: DataFrame, stratum: str, name: str = "RandomForest",
-                       which: str = "quick", log_target: bool = False, roles: Roles = FLIGHT_ROLES) -> DataFrame:
+                       which: str = "quick", log_target: bool = False, roles: Roles = FLIGHT_ROLES,
+                       max_strata: int = 64) -> DataFrame:
     """L9 (+E11): one model per stratum value (a bounded domain such as class),
     optionally on log1p(target); predictions unioned."""
-    values = [r[0] for r in train.select(stratum).distinct().collect()]  # one row per stratum
+    values = [r[0] for r in train.select(stratum).distinct().limit(max_strata + 1).collect()]
+    if len(values) > max_strata:
+        raise ValueError(f"{stratum} has more than {max_strata} values; one model each is not meant for that")
     outs = []
     for v in sorted(x for x in values if x is not None):
         tr, te = train.where(F.col(stratum) == v), test.where(F.col(stratum) == v)

@@ -1,10 +1,12 @@
 """Isolation-forest outlier flag (no row is removed).
 
-Trees are grown on the driver from ``n_trees`` random samples of at most
-``sample_size`` rows each (a bounded sample, 25,600 rows by default), as
-the method prescribes; every row is then scored in parallel by a
-vectorised ``mapInPandas`` pass, and the flag threshold is the exact
-(1 − contamination) quantile of the scores, computed distributed.
+Each tree gets its own ``sample_size`` rows, those with the smallest hash of
+(seed, tree, row content) among all complete rows of the frame, so the samples
+cover the whole input and do not depend on its partitioning. Trees are grown on
+the driver from these samples (25,600 rows by default), as the method
+prescribes; every row is then scored in parallel by a vectorised
+``mapInPandas`` pass, and the flag threshold is the exact (1 − contamination)
+quantile of the scores, computed distributed.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from faresight.operators.prefix import exact_quantiles
 from faresight.operators.profile import scalars
@@ -79,34 +81,54 @@ def _path_lengths(x: np.ndarray, tree: tuple[np.ndarray, ...]) -> np.ndarray:
     return depth + _c_vec(size[node])
 
 
+def tree_samples(df: DataFrame, cols: Sequence[str], n_trees: int, sample_size: int, seed: int = 42) -> DataFrame:
+    """(tree, cols): ``sample_size`` complete rows of ``df`` per tree (all, if fewer). A row
+    competes for a tree when its hash lies below a bound that about 2 · ``sample_size`` rows
+    pass, so the per-tree ranking sees a bounded number of rows whatever the input."""
+    x = df.select(*df.columns, *[F.col(c).cast("double").alias(f"_x_{c}") for c in cols]).na.drop(subset=[f"_x_{c}" for c in cols])
+    n = scalars(x.agg(F.count(F.lit(1)).alias("n")))["n"]
+    share = min(1.0, (2 * sample_size + 64) / max(n, 1))
+    row = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
+    bound = int(-2 ** 63 + share * (2 ** 64 - 1)) if share < 1 else 2 ** 63 - 1
+    hits = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                                lambda t: F.struct(t.alias("tree"), F.xxhash64(t, row).alias("h"))), lambda s: s["h"] <= F.lit(bound))
+    x = x.select(*[f"_x_{c}" for c in cols], F.explode(hits).alias("s"))
+    w = Window.partitionBy("s.tree").orderBy("s.h", *[f"_x_{c}" for c in cols])
+    return x.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_size).select(
+        F.col("s.tree").alias("tree"), *[F.col(f"_x_{c}").alias(c) for c in cols])
+
+
 def isolation_forest(df: DataFrame, cols: Sequence[str], n_trees: int = 100, sample_size: int = 256,
                      contamination: float = 0.01, seed: int = 42) -> DataFrame:
     """Adds ``anomaly_score`` (higher = more isolated, 2^(−E[h]/c(ψ))) and
-    ``is_outlier`` (score above the (1 − contamination) quantile)."""
+    ``is_outlier`` (score above the (1 − contamination) quantile). A row with
+    a null among ``cols`` has a null score and is not flagged."""
     cols = list(cols)
-    n = scalars(df.agg(F.count(F.lit(1)).alias("n")))["n"]
-    psi = min(sample_size, n)
-    frac = min(1.0, (psi * n_trees * 1.5) / max(n, 1))
-    pool = df.select(*[F.col(c).cast("double") for c in cols]).na.drop().sample(False, frac, seed).limit(
-        psi * n_trees).toPandas().to_numpy()  # bounded: ψ · n_trees rows
+    pool = tree_samples(df, cols, n_trees, sample_size, seed).toPandas()  # bounded: ψ · n_trees rows
+    pool = pool.sort_values(["tree", *cols])
     rng = np.random.default_rng(seed)
-    limit = int(math.ceil(math.log2(max(psi, 2))))
-    trees = []
-    for _ in range(n_trees):
-        take = rng.choice(len(pool), size=min(psi, len(pool)), replace=False) if len(pool) else np.array([], int)
-        trees.append(_grow(pool[take], rng, limit))
+    trees, psi = [], 0
+    for _, part in pool.groupby("tree"):
+        x = part[cols].to_numpy(dtype=float)
+        psi = max(psi, len(x))
+        trees.append(_grow(x, rng, int(math.ceil(math.log2(max(len(x), 2))))))
     cpsi = _c(psi)
     bc = df.sparkSession.sparkContext.broadcast(trees)  # n_trees × O(ψ) nodes
 
     def score(batches):
         ts = bc.value
         for pdf in batches:
-            x = pdf[cols].astype("float64").fillna(0.0).to_numpy()
-            h = np.mean([_path_lengths(x, t) for t in ts], axis=0) if len(x) else np.zeros(0)
-            yield pdf.assign(anomaly_score=np.power(2.0, -h / cpsi) if cpsi > 0 else 0.5)
+            x = pdf[cols].astype("float64").to_numpy()
+            whole = ~np.isnan(x).any(axis=1)
+            s = np.full(len(x), np.nan)
+            if cpsi > 0 and whole.any():
+                s[whole] = np.power(2.0, -np.mean([_path_lengths(x[whole], t) for t in ts], axis=0) / cpsi)
+            else:
+                s[whole] = 0.5
+            yield pdf.assign(anomaly_score=pd.array(s, dtype="Float64"))
     schema = T.StructType(df.schema.fields + [T.StructField("anomaly_score", T.DoubleType())])
     scored = df.mapInPandas(score, schema)
     thr = scalars(exact_quantiles(scored, "anomaly_score", [1.0 - contamination]))["q_0"]
-    return scored.withColumn("is_outlier", F.col("anomaly_score") > F.lit(thr))
+    return scored.withColumn("is_outlier", F.coalesce(F.col("anomaly_score") > F.lit(thr), F.lit(False)))
 
 

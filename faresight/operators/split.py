@@ -31,10 +31,16 @@ def temporal_split(df: DataFrame, ts: str, test_size: float = 0.2, tiebreak: Seq
     return indexed.withColumn(split_col, F.when(F.col(idx_col) < cut, F.lit("train")).otherwise(F.lit("test")))
 
 
+def _block(n: int, k: int) -> int:
+    if n < k + 1:
+        raise ValueError(f"{k} walk-forward folds need at least {k + 1} rows, not {n}")
+    return n // (k + 1)
+
+
 def walk_forward_bounds(n: int, k: int) -> list[tuple[int, int]]:
     """T4 (``TimeSeriesSplit``): fold i tests positions [n−(k−i)·m, n−(k−i−1)·m)
     with m = n div (k+1) and trains on everything before."""
-    m = n // (k + 1)
+    m = _block(n, k)
     return [(n - (k - i) * m, n - (k - i - 1) * m) for i in range(k)]
 
 
@@ -42,7 +48,7 @@ def walk_forward_blocks(indexed: DataFrame, n: int, k: int, idx_col: str = "row_
                         block_col: str = "block") -> DataFrame:
     """Tag each row with its test block (fold number, or −1 for rows that
     are only ever trained on). Fold i trains on blocks < i."""
-    m = n // (k + 1)
+    m = _block(n, k)
     first = n - k * m
     blk = F.when(F.col(idx_col) < first, F.lit(-1)).otherwise(
         F.floor((F.col(idx_col) - F.lit(first)) / F.lit(m)).cast("int"))

@@ -11,9 +11,9 @@ Tables under a base folder:
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 RUN_SCHEMA = T.StructType([
@@ -36,6 +36,7 @@ def runs_from_metrics(results: DataFrame, experiment: str, model_col: str = "mod
                       champion: str | None = None, family: str = "regressor", flavor: str = "spark",
                       tags: dict | None = None) -> DataFrame:
     """M8: one run row per model of a comparison table (no driver loop)."""
+    now = _now()
     present = [m for m in metric_cols if m in results.columns]
     metrics = F.map_from_arrays(F.array(*[F.lit(m.upper() if m != "r2" else "R2") for m in present]),
                                 F.array(*[F.col(m).cast("double") for m in present]))
@@ -46,8 +47,8 @@ def runs_from_metrics(results: DataFrame, experiment: str, model_col: str = "mod
     tag_map = F.create_map(*[x for k, v in (tags or {}).items() for x in (F.lit(k), F.lit(v))]) \
         if tags else F.create_map().cast("map<string,string>")
     return results.select(
-        F.expr("uuid()").alias("run_id"), F.lit(experiment).alias("experiment"),
-        F.col(model_col).alias("run_name"), F.lit(_now()).cast("timestamp").alias("ts"),
+        F.md5(F.concat_ws("|", F.lit(experiment), F.col(model_col).cast("string"), F.lit(str(now)))).alias("run_id"), F.lit(experiment).alias("experiment"),
+        F.col(model_col).alias("run_name"), F.lit(now).cast("timestamp").alias("ts"),
         F.col(model_col).alias("model"), F.lit(family).alias("family"), F.lit(flavor).alias("flavor"),
         (F.col(model_col) == F.lit(champion)).alias("champion") if champion else F.lit(False).alias("champion"),
         params.alias("params"), metrics.alias("metrics"), tag_map.alias("tags"))
@@ -74,8 +75,10 @@ def register_version(spark: SparkSession, base: str, name: str, run_id: str) ->
     path = f"{base}/versions"
     try:
         cur = spark.read.parquet(path).where(F.col("name") == name).agg(F.max("version").alias("v")).first()["v"]
-    except Exception:
-        cur = None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        cur = None  # the first version of the first model
     v = (cur or 0) + 1
     spark.createDataFrame([(name, v, run_id, _now())], "name string, version int, run_id string, ts timestamp") \
         .write.mode("append").parquet(path)
@@ -101,10 +104,6 @@ def resolve_version(versions: DataFrame, aliases: DataFrame | None, name: str, a
     return al.unionByName(latest).orderBy(F.when(F.col("source") == "alias", 0).otherwise(1)).limit(1)
 
 
-def new_run_id() -> str:
-    return uuid.uuid4().hex
-
-
 def feature_profile(train: DataFrame, test: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str]) -> dict:
     """The profile tables of a feature matrix — schema record (E13),
     counts (A11), numeric stats with sanitised metric names (A6, F17), null

@@ -18,7 +18,6 @@ from faresight.plans.common import split_flights
 from faresight.plans.registry import register, rnd
 
 Y = "total_fare"
-QUICK_SET = ("RandomForest", "XGBoost", "DecisionTree", "Linear", "Ridge", "Lasso")
 
 
 def _train_test(spark, sf_dir):
@@ -36,7 +35,7 @@ def l12_train_all_models(spark, sf_dir):
     """L1/L2/L4/L5/L12/L13 + V7/V8: every configured learner (quick preset)
     on the temporal split, with failures kept, seconds and champion flag."""
     tr, te = _train_test(spark, sf_dir)
-    table, _ = MD.train_all(tr, te, QUICK_SET)
+    table, _ = MD.train_all(tr, te)
     champ = EV.select_champion(table.where(F.col("error").isNull()), "r2").select("model").first()[0]
     return table.withColumn("champion", F.col("model") == F.lit(champ)).drop("importances", "params")
 
@@ -152,7 +151,7 @@ def l14_linear_attribution(spark, sf_dir):
 def l16_isolation_forest(spark, sf_dir):
     s = split_flights(spark, sf_dir)
     fe = engineer_features(s, keep=[Y, "row_idx"])
-    out = isolation_forest(fe, ["duration_hrs", "days_before", "month", Y], n_trees=50)
+    out = isolation_forest(fe, [Y])
     return out.groupBy("is_outlier").agg(F.count(F.lit(1)).alias("n"), rnd(F.avg("anomaly_score")).alias("mean_score"))
 
 

@@ -91,44 +91,49 @@ def f2_hour_cyclic_events(spark, sf_dir):
 
 
 # E3 ----------------------------------------------------------------------------
-@register("e3_leaky_experiment_features", with_flights("""
-SELECT airline, source, destination, travel_class, round(tax, 6) AS tax,
-  coalesce(source, 'nan') || '__' || coalesce(destination, 'nan') AS route,
-  coalesce(CASE travel_class WHEN 'Economy' THEN 1 WHEN 'Business' THEN 2 WHEN 'First Class' THEN 3 END, 1)
-    AS class_numeric,
-  round(greatest(duration_hrs, 0) * coalesce(CASE travel_class WHEN 'Economy' THEN 1 WHEN 'Business' THEN 2
-    WHEN 'First Class' THEN 3 END, 1), 6) AS duration_x_class,
-  round(greatest(days_before, 0) * coalesce(CASE travel_class WHEN 'Economy' THEN 1 WHEN 'Business' THEN 2
-    WHEN 'First Class' THEN 3 END, 1), 6) AS days_before_x_class
-FROM flights"""))
+_CLS = "coalesce(CASE travel_class WHEN 'Economy' THEN 1 WHEN 'Business' THEN 2 WHEN 'First Class' THEN 3 END, 1)"
+_E3_SQL = E1_SQL.replace("  source || '__' || destination AS route,", "  coalesce(source, 'nan') || '__' || coalesce(destination, 'nan') AS route,") \
+    .replace("  airline || '__' || travel_class AS airline_class,", "  coalesce(airline, 'nan') || '__' || coalesce(travel_class, 'nan') AS airline_class,") \
+    .replace("THEN 1 ELSE 0 END AS is_direct\n", f"""THEN 1 ELSE 0 END AS is_direct, round(tax, 6) AS tax, {_CLS} AS class_numeric,
+  round(greatest(duration_hrs, 0) * {_CLS}, 6) AS duration_x_class,
+  round(greatest(days_before, 0) * {_CLS}, 6) AS days_before_x_class
+""")
+
+
+@register("e3_leaky_experiment_features", _E3_SQL)
 def e3_leaky_experiment_features(spark, sf_dir):
     fe = FE.leaky_experiment_features(flights(spark, sf_dir), include_tax=True)
-    return fe.select("airline", "source", "destination", "travel_class", rnd("tax", 6).alias("tax"), "route",
-                     "class_numeric", rnd("duration_x_class").alias("duration_x_class"),
-                     rnd("days_before_x_class").alias("days_before_x_class"))
+    return fe.withColumns({c: rnd(c) for c in (*_E1_ROUND, "tax", "duration_x_class", "days_before_x_class")})
 
 
 # E4 (cross part) ------------------------------------------------------------------
-@register("e4_class_crosses", with_flights("""
-SELECT travel_class || '__' || coalesce(source || '__' || destination, 'nan') AS class_route,
-  travel_class || '__' || destination AS class_dest,
-  travel_class || '__' || CASE WHEN duration_hrs > -1 AND duration_hrs <= 2 THEN 'short'
-       WHEN duration_hrs > 2 AND duration_hrs <= 5 THEN 'medium' WHEN duration_hrs > 5 AND duration_hrs <= 10 THEN 'long'
-       WHEN duration_hrs > 10 AND duration_hrs <= 999 THEN 'ultra_long' ELSE 'nan' END AS class_haul,
-  count(*) AS n, round(avg(CAST(total_fare AS DECIMAL(38,6))), 4) AS mean_fare
-FROM flights GROUP BY ALL"""))
+@register("e4_class_crosses", with_flights(f"""
+SELECT class_route, class_dest, class_haul, class_book_win, class_numeric, count(*) AS n,
+  round(avg(CAST(total_fare AS DECIMAL(38,6))), 4) AS mean_fare,
+  round(avg(CAST(duration_hrs * class_numeric AS DECIMAL(38,6))), 4) AS mean_duration_x_class,
+  round(avg(CAST(days_before * class_numeric AS DECIMAL(38,6))), 4) AS mean_days_before_x_class
+FROM (
+  SELECT *, coalesce(travel_class, 'nan') || '__' || coalesce(route, 'nan') AS class_route,
+    coalesce(travel_class, 'nan') || '__' || coalesce(destination, 'nan') AS class_dest,
+    coalesce(travel_class, 'nan') || '__' || coalesce(haul_type, 'nan') AS class_haul,
+    coalesce(travel_class, 'nan') || '__' || coalesce(booking_window, 'nan') AS class_book_win, {_CLS} AS class_numeric
+  FROM e1) GROUP BY ALL""", "e1 AS (" + E1_SQL[E1_SQL.rindex("SELECT airline, source, destination"):].replace(
+    "round(duration_hrs, 6) AS duration_hrs", "duration_hrs, total_fare") + ")"))
 def e4_class_crosses(spark, sf_dir):
     fe = FE.class_crosses(FE.engineer_features(flights(spark, sf_dir), keep=["total_fare"]))
-    return fe.groupBy("class_route", "class_dest", "class_haul").agg(
-        F.count(F.lit(1)).alias("n"), rnd(avg_exact("total_fare"), 4).alias("mean_fare"))
+    return fe.groupBy("class_route", "class_dest", "class_haul", "class_book_win", "class_numeric").agg(
+        F.count(F.lit(1)).alias("n"), rnd(avg_exact("total_fare"), 4).alias("mean_fare"),
+        rnd(avg_exact("duration_x_class"), 4).alias("mean_duration_x_class"),
+        rnd(avg_exact("days_before_x_class"), 4).alias("mean_days_before_x_class"))
 
 
 # A1 ---------------------------------------------------------------------------------
-_A1_COLS = ("airline", "source", "destination", "departure", "duration_hrs", "stopovers", "travel_class",
-            "days_before", "total_fare")
-_A1_TYPES = {"airline": "string", "source": "string", "destination": "string", "departure": "timestamp_ntz",
-             "duration_hrs": "double", "stopovers": "string", "travel_class": "string", "days_before": "int",
-             "total_fare": "double"}
+_A1_TYPES = {"airline": "string", "source": "string", "source_name": "string", "destination": "string",
+             "destination_name": "string", "departure": "timestamp_ntz", "arrival": "timestamp_ntz",
+             "duration_hrs": "double", "stopovers": "string", "aircraft_type": "string", "travel_class": "string",
+             "booking_source": "string", "seasonality": "string", "days_before": "int", "base_fare": "double",
+             "tax": "double", "total_fare": "double", "order_key": "bigint", "line_no": "int"}
+_A1_COLS = tuple(_A1_TYPES)
 
 
 @register("a1_audit", with_flights("\nUNION ALL\n".join(
@@ -283,35 +288,41 @@ def a14_eta_squared(spark, sf_dir):
 
 # A15 / P8 / T6 ------------------------------------------------------------------------------------
 _KEY_GROUP = ("airline", "source", "destination", "travel_class", "stopovers")
-# Spread groups: airline × destination × class × stopovers (the five-key set
-# of the ceiling analysis is too fine for groups of 10+ rows on these tables).
-_SPREAD_KEYS = ("airline", "destination", "travel_class", "stopovers")
-_A15_SQL = f"""spread AS (
-  SELECT {", ".join(_SPREAD_KEYS)}, avg(total_fare) AS mean, stddev_samp(total_fare) AS std, count(*) AS count,
+# The five-key groups of these tables hold a few rows each, so their least size is 2 here; the
+# four-key variant (without source) keeps the usual least size of 10.
+_SPREADS = (("", _KEY_GROUP, 2), ("_four_keys", ("airline", "destination", "travel_class", "stopovers"), 10))
+
+
+def _spread_cte(keys, least: int) -> str:
+    return f"""spread AS (
+  SELECT {", ".join(keys)}, avg(total_fare) AS mean, stddev_samp(total_fare) AS std, count(*) AS count,
          min(total_fare) AS min, max(total_fare) AS max,
          stddev_samp(total_fare) / avg(total_fare) AS cv, max(total_fare) - min(total_fare) AS range
-  FROM flights GROUP BY ALL HAVING count(*) >= 10
+  FROM flights GROUP BY ALL HAVING count(*) >= {least}
 )"""
 
 
-@register("a15_group_spread_top10", with_flights(f"""
-SELECT {", ".join(_SPREAD_KEYS)}, count, round(mean, 4) AS mean, round(cv, 6) AS cv, round(range, 4) AS range
-FROM spread ORDER BY cv DESC, {", ".join(_SPREAD_KEYS)} LIMIT 10""", _A15_SQL))
-def a15_group_spread_top10(spark, sf_dir):
-    s = PR.group_spread(flights(spark, sf_dir), list(_SPREAD_KEYS), "total_fare", min_count=10)
-    top = s.orderBy(F.desc("cv"), *_SPREAD_KEYS).limit(10)
-    return top.select(*_SPREAD_KEYS, "count", rnd("mean", 4).alias("mean"), rnd("cv").alias("cv"),
-                      rnd("range", 4).alias("range"))
-
+def _register_spread(suffix: str, keys: tuple, least: int) -> None:
+    @register(f"a15_group_spread_top10{suffix}", with_flights(f"""
+SELECT {", ".join(keys)}, count, round(mean, 3) AS mean, round(cv, 6) AS cv, round(range, 2) AS range
+FROM spread ORDER BY round(cv, 9) DESC, {", ".join(keys)} LIMIT 10""", _spread_cte(keys, least)))
+    def top10(spark, sf_dir):
+        s = PR.group_spread(flights(spark, sf_dir), list(keys), "total_fare", min_count=least)
+        top = s.orderBy(F.round("cv", 9).desc(), *keys).limit(10)
+        return top.select(*keys, "count", rnd("mean", 3).alias("mean"), rnd("cv").alias("cv"), rnd("range", 2).alias("range"))
 
-@register("a15_group_spread_summary", with_flights("""
+    @register(f"a15_group_spread_summary{suffix}", with_flights("""
 SELECT count(*) AS n_groups, round(avg(cv), 6) AS mean_cv, round(avg(range), 4) AS mean_range,
-  round(quantile_cont(range, 0.5), 4) AS median_range FROM spread""", _A15_SQL))
-def a15_group_spread_summary(spark, sf_dir):
-    s = PR.group_spread(flights(spark, sf_dir), list(_SPREAD_KEYS), "total_fare", min_count=10)
-    out = PR.group_spread_summary(s)
-    return out.select("n_groups", rnd("mean_cv").alias("mean_cv"), rnd("mean_range", 4).alias("mean_range"),
-                      rnd("median_range", 4).alias("median_range"))
+  round(quantile_cont(range, 0.5), 4) AS median_range FROM spread""", _spread_cte(keys, least)))
+    def summary(spark, sf_dir):
+        s = PR.group_spread(flights(spark, sf_dir), list(keys), "total_fare", min_count=least)
+        out = PR.group_spread_summary(s)
+        return out.select("n_groups", rnd("mean_cv").alias("mean_cv"), rnd("mean_range", 4).alias("mean_range"),
+                          rnd("median_range", 4).alias("median_range"))
+
+
+for _spread in _SPREADS:
+    _register_spread(*_spread)
 
 
 # A16 / W1 / F12 ----------------------------------------------------------------------------------------

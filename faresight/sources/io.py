@@ -138,7 +138,9 @@ def decision_from_report(spark: SparkSession, path: str, share_threshold: float
     try:
         entries = read_drift_report(spark, path)
         entries.first()
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame(
             [(True, False, 0.0, 0, ["No drift report found — retraining as safety measure"])], schema)
     kind = F.coalesce(F.col("metric_type"), F.lit(""))

@@ -20,7 +20,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     that yields fewer partitions than the cluster's default parallelism
     (a small file of one row group) is spread round-robin over the cores;
     a large input already has many splits and is left as it is."""
-    key = (id(spark), table_path(sf_dir, name))
+    key = (spark.sparkContext.applicationId, id(spark._jsparkSession), table_path(sf_dir, name))
     df = _SCANS.get(key)
     if df is None:  # plan only: file listing and footer schema are resolved once per session
         df = _SCANS[key] = spark.read.parquet(table_path(sf_dir, name))

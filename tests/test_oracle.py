@@ -9,8 +9,7 @@ import pytest
 import __spark_entry__ as E
 from faresight.sources.tables import TABLES
 
-SLOW = {"l12_train_all_models", "l3_loss_variants", "l7_lasso_path", "l8_random_search", "l9_per_class_models",
-        "l11_two_stage_tax", "l14_linear_attribution", "e10_target_encoding_oof"}
+OPTIONAL = set(E._LLM_QUERIES)  # tested beside their operators
 
 
 def _norm(v):
@@ -36,7 +35,7 @@ def con(sf_dir):
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - OPTIONAL))
 def test_query_matches_oracle(spark, sf_dir, con, name):
     df = E.queries()[name](spark, sf_dir)
     res = con.sql(E.oracle_sql()[name])
@@ -44,10 +43,12 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(res.columns, res.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - OPTIONAL))
 def test_rows_only_query_runs(spark, sf_dir, name):
     df = E.queries()[name](spark, sf_dir)
-    assert df.count() >= 0 and len(df.columns) > 0
+    rows = df.collect()
+    assert rows and all(len(r) == len(df.columns) for r in rows)
+    assert any(v is not None for r in rows for v in r)
 
 
 def test_entry(spark):
