@@ -84,10 +84,14 @@ def m1_categorical_drift(spark, sf_dir):
                     rnd("chi2").alias("chi2"), "n_categories_ref", "n_new_categories")
 
 
-@register("m1_drift_report")
+@register("m1_drift_report", with_flights("""
+SELECT feature, 'numeric' AS kind, 'wasserstein' AS method, wasserstein AS score, wasserstein >= 0.1 AS drift_detected, n_ref, n_cur
+FROM (""" + "\nUNION ALL\n".join(_sql_numeric(c) for c in NUM) + """)
+UNION ALL
+SELECT feature, 'categorical', 'jensenshannon', jensen_shannon, jensen_shannon >= 0.1, n_ref, n_cur
+FROM (""" + "\nUNION ALL\n".join(_sql_categorical(c) for c in CAT) + ")", *SPLIT_CTES[:2], _FE_CTE))
 def m1_drift_report(spark, sf_dir):
-    """Per-feature report with the default method choice and chi-square
-    p-values (MLlib); p-values have no DuckDB form, so rows-only."""
+    """Per-feature report with the default methods."""
     ref, cur = _sides(spark, sf_dir)
     r = DR.drift_report(ref, cur, list(NUM), list(CAT))
     return r.withColumn("score", rnd("score"))
@@ -200,14 +204,26 @@ def m6_retrain_decision(spark, sf_dir):
     return d.select("needs_retraining", "drift_detected", rnd("drift_share").alias("drift_share"), "n_drifted_features")
 
 
-@register("m6_retrain_decision_with_performance")
+DRIFT_TRIGGER_SQL = """CASE WHEN nd / n >= 0.3 THEN 'Data drift detected: ' || nd || '/' || n || ' features (' ||
+    format('{:.1f}', 100.0 * nd / n) || '%) exceeded 30% threshold' END"""
+
+
+@register("m6_retrain_decision_with_performance", with_flights(f"""
+SELECT len(triggers) > 0 AS needs_retraining, nd / n >= 0.3 AS drift_detected, round(nd / n, 6) AS drift_share, nd AS n_drifted_features, triggers
+FROM (SELECT nd, n, list_filter([{DRIFT_TRIGGER_SQL},
+    CASE WHEN cur < 0.9 * ref THEN 'Performance degraded: R² ' || format('{{:.4f}}', cur) || ' < 0.9 × ' || format('{{:.4f}}', ref) END],
+    lambda x: x IS NOT NULL) AS triggers
+  FROM (SELECT CAST(sum(CASE WHEN drift_detected THEN 1 ELSE 0 END) AS BIGINT) AS nd, count(*) AS n FROM report),
+    (SELECT max(CASE WHEN side = 0 THEN value END) AS ref, max(CASE WHEN side = 1 THEN value END) AS cur FROM m4l WHERE metric = 'r2'))""",
+    *_M4_CTES, _FE_CTE, _M2_CTE))
 def m6_retrain_decision_with_performance(spark, sf_dir):
     """Decision with the optional R² degradation trigger and trigger texts."""
     ref, cur = _sides(spark, sf_dir)
     r = DR.drift_report(ref, cur, list(NUM), list(CAT), with_p_values=False)
     sref, scur = _scored_sides(spark, sf_dir)
     perf = DR.performance_summary(DR.concept_drift(sref, scur, Y, "prediction"))
-    return DR.retrain_decision(DR.dataset_drift(r), performance=perf)
+    d = DR.retrain_decision(DR.dataset_drift(r), performance=perf)
+    return d.withColumn("drift_share", rnd("drift_share"))
 
 
 # M7 (batch form; the streaming form is faresight.streaming.monitor) --------------------------------

@@ -11,6 +11,7 @@ from faresight.operators.encode import feature_pipeline
 from faresight.operators.features import feature_schema
 from faresight.operators.preprocess import FarePreprocessor
 from faresight.plans.common import SPLIT_CTES, split_flights
+from faresight.plans.q_drift import _FE_CTE, _M2_CTE, DRIFT_TRIGGER_SQL
 from faresight.plans.registry import register, rnd
 from faresight.sources.flights import with_flights
 
@@ -85,7 +86,14 @@ def m11_feature_profile(spark, sf_dir):
     return prof["stats"].select("metric_name", rnd("value", 4).alias("value"))
 
 
-@register("s9_drift_report_roundtrip")
+_S9_ROW = f"""SELECT coalesce(nd / n >= 0.3, false) AS needs_retraining, coalesce(nd / n >= 0.3, false) AS drift_detected,
+  round(nd / n, 6) AS drift_share, nd AS n_drifted_features, coalesce({DRIFT_TRIGGER_SQL}, '') AS triggers
+  FROM (SELECT CAST(sum(CASE WHEN drift_detected THEN 1 ELSE 0 END) AS BIGINT) AS nd, count(*) AS n FROM report)"""
+
+
+@register("s9_drift_report_roundtrip", with_flights(f"""
+SELECT layout, d.* FROM (SELECT unnest(['metric_results', 'metrics']) AS layout), ({_S9_ROW}) d
+UNION ALL SELECT 'missing', true, false, 0.0, 0, 'No drift report found — retraining as safety measure'""", *SPLIT_CTES[:2], _FE_CTE, _M2_CTE))
 def s9_drift_report_roundtrip(spark, sf_dir):
     """Write the drift report in both JSON layouts under the
     session's checkpoint folder, read each back and take the decision."""

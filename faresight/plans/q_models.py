@@ -4,7 +4,7 @@ checks; their building blocks are unit-tested against brute force."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from faresight.operators import evaluate as EV
 from faresight.operators import models as MD
@@ -15,7 +15,9 @@ from faresight.operators.lookup import group_mean_predictor
 from faresight.operators.outliers import isolation_forest
 from faresight.operators.split import hash_fold
 from faresight.plans.common import split_flights
+from faresight.plans.q_eval import _CMP_CTES as CMP_CTES
 from faresight.plans.registry import register, rnd
+from faresight.sources.flights import with_flights
 
 Y = "total_fare"
 
@@ -222,26 +224,29 @@ def _runs(spark, sf_dir):
     return TR.runs_from_metrics(c, "group-mean-baselines", champion=champ, tags={"stage": "evaluation"})
 
 
-@register("m8_run_log")
+@register("m8_run_log", with_flights("""
+SELECT 'group-mean-baselines' AS experiment, model, model = (SELECT model FROM cmp ORDER BY r2 IS NULL, r2 DESC, model LIMIT 1) AS champion,
+  ['R2', 'MAE', 'RMSE', 'MAPE'] AS metric_names, r2 FROM cmp""", *CMP_CTES))
 def m8_run_log(spark, sf_dir):
     r = _runs(spark, sf_dir)
     return r.select("experiment", "model", "champion", F.map_keys("metrics").alias("metric_names"),
                     rnd(F.col("metrics")["R2"]).alias("r2"))
 
 
-@register("m9_best_run")
+@register("m9_best_run", with_flights("SELECT model, mae FROM cmp ORDER BY mae, model LIMIT 1", *CMP_CTES))
 def m9_best_run(spark, sf_dir):
     return TR.best_run(_runs(spark, sf_dir), "MAE", ascending=True).select("model", rnd(F.col("metrics")["MAE"], 4)
                                                                             .alias("mae"))
 
 
-@register("m10_registry_resolution")
+@register("m10_registry_resolution", with_flights("""
+SELECT 'fare-model' AS name, 2 AS version, 'alias' AS source
+UNION ALL SELECT 'fare-model', CAST(count(*) AS INTEGER), 'latest' FROM cmp""", *CMP_CTES))
 def m10_registry_resolution(spark, sf_dir):
     """Versions written per model of the comparison (numeric order), one alias."""
     runs = _runs(spark, sf_dir).select("run_id", "model")
     versions = runs.select(F.lit("fare-model").alias("name"),
-                           F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("model"))
-                           .alias("version"), "run_id", F.current_timestamp().cast("timestamp").alias("ts"))
+                           F.row_number().over(Window.orderBy("model")).alias("version"), "run_id", F.current_timestamp().cast("timestamp").alias("ts"))
     aliases = versions.where(F.col("version") == 2).select("name", F.lit("production").alias("alias"), "version", "ts")
     return TR.resolve_version(versions, aliases, "fare-model").unionByName(
         TR.resolve_version(versions, None, "fare-model"))
