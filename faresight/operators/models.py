@@ -286,19 +286,36 @@ def train_all(train: DataFrame, valid: DataFrame, names: Sequence[str] = tuple(R
     return spark.createDataFrame(rows, schema), models
 
 
-def lasso_path(train: DataFrame, test: DataFrame, alphas: Sequence[float], roles: Roles = FLIGHT_ROLES
-               ) -> list[tuple[float, int, FareModel]]:
-    """One cached one-hot matrix, ``fitMultiple`` over the alphas;
-    returns (alpha, non-zero coefficients, model)."""
-    pr = prepare(train, roles, encoding="onehot")
-    x = pr.matrix(train).persist()
-    lr = LinearRegression(labelCol=pr.target, featuresCol="features", elasticNetParam=1.0)
-    maps = [{lr.regParam: float(a)} for a in alphas]
-    out = [None] * len(maps)
-    for i, fitted in lr.fitMultiple(x, maps):
-        out[i] = (float(alphas[i]), int(np.count_nonzero(fitted.coefficients.toArray())), pr.model(fitted))
+def random_search(train: DataFrame, test: DataFrame, trials: int = 30, folds: int = 3, seed: int = 42, idx_col: str = "row_idx",
+                  roles: Roles = FLIGHT_ROLES) -> DataFrame:
+    """``trials`` seeded parameter maps of the forest, each scored by walk-forward folds
+    over the time-ordered training rows (position ``idx_col``); the test rows are used once,
+    by the best map. Returns trial, params, mean and deviation of the folds' R², best,
+    test_r2 and test_mae (best trial only)."""
+    import random
+
+    from faresight.operators.split import walk_forward_blocks
+    spark, rng = train.sparkSession, random.Random(seed)
+    blocks = walk_forward_blocks(train, train.count(), folds, idx_col)
+    pr = prepare(blocks.where(F.col("block") < 0).drop("block"), roles, keep=[idx_col])
+    x = pr.matrix(train).join(blocks.select(idx_col, "block"), idx_col).persist()
+    rows = []
+    for t in range(trials):
+        p = {"numTrees": rng.choice([10, 20, 40]), "maxDepth": rng.choice([4, 6, 8]),
+             "minInstancesPerNode": rng.choice([1, 2, 5]), "featureSubsetStrategy": "sqrt", "seed": seed}
+        r2 = []
+        for k in range(folds):
+            fitted = make_regressor("RandomForest", p, pr.target).fit(x.where(F.col("block") < k))
+            held = fitted.transform(x.where(F.col("block") == k))
+            r2.append(regression_metrics(held, roles.target, "prediction", median=None).first()["r2"])
+        rows.append([t, json.dumps(p), float(np.mean(r2)), float(np.std(r2)), False, None, None])
+    best = max(rows, key=lambda r: (r[2], -r[0]))
+    final = pr.model(make_regressor("RandomForest", json.loads(best[1]), pr.target).fit(x))
+    m = regression_metrics(final.transform(test), roles.target, "prediction", median=None).first()
+    best[4:] = [True, m["r2"], m["mae"]]
     x.unpersist()
-    return out
+    return spark.createDataFrame([tuple(r) for r in rows],
+                                 "trial int, params string, cv_r2 double, cv_std double, best boolean, test_r2 double, test_mae double")
 
 
 def per_stratum_models(train: DataFrame, test: DataFrame, stratum: str, name: str = "RandomForest",
