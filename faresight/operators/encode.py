@@ -163,8 +163,12 @@ class TargetEncoder(Estimator):
     global mean. ``fit_transform_oof`` gives out-of-fold encodings for the
     training rows (each row encoded from the other folds)."""
 
-    def __init__(self, inputCols: Sequence[str], target: str, suffix: str = "_te", folds: int = 5, seed: int = 42):
+    def __init__(self, inputCols: Sequence[str], target: str, suffix: str = "_te", folds: int = 5, seed: int = 42,
+                 fold_cols: Sequence[str] | None = None):
+        """``fold_cols``: key columns that decide a row's fold by the portable hash; without
+        them the whole row does."""
         super().__init__()
+        self.fold_cols = list(fold_cols) if fold_cols else None
         self.inputCols, self.target, self.suffix, self.folds, self.seed = list(inputCols), target, suffix, folds, seed
 
     def _stats(self, df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -183,7 +187,7 @@ class TargetEncoder(Estimator):
 
     def fit_transform_oof(self, df: DataFrame) -> tuple["TargetEncoderModel", DataFrame]:
         model = self.fit(df)
-        fold = hash_fold(df.columns, self.folds, self.seed)
+        fold = hash_fold(self.fold_cols or df.columns, self.folds, self.seed, portable=bool(self.fold_cols))
         tagged = df.withColumn("_fold", fold)
         y = F.col(self.target)
         present = tagged.where(y.isNotNull())

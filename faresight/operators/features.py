@@ -122,13 +122,15 @@ def class_crosses(df: DataFrame, cls: str = "travel_class") -> DataFrame:
 
 
 def feature_schema(df: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str]) -> DataFrame:
-    """One-row schema record (counts, role lists, types, column order)."""
-    spark = df.sparkSession
-    dtypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    row = (len(df.columns), list(cat_cols), list(num_cols), dtypes, list(df.columns))
-    schema = ("total_features int, categorical_features array<string>, numeric_features array<string>, "
-              "dtypes map<string,string>, columns_ordered array<string>")
-    return spark.createDataFrame([row], schema)
+    """One-row schema record (counts, role lists, types, column order) with the rows
+    and the present values of every column, from one aggregate."""
+    def names(cols):
+        return F.array(*[F.lit(c) for c in cols]).cast("array<string>")
+    dtypes = F.map_from_arrays(names(df.columns), names([f.dataType.simpleString() for f in df.schema.fields]))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.map_from_arrays(names(df.columns), F.array(*[F.count(F.col(f"`{c}`")) for c in df.columns]))
+                  .alias("present")).select(
+        F.lit(len(df.columns)).alias("total_features"), names(cat_cols).alias("categorical_features"), names(num_cols).alias("numeric_features"),
+        dtypes.alias("dtypes"), names(df.columns).alias("columns_ordered"), "rows", "present")
 
 
 def split_roles(df: DataFrame, cat_candidates: Sequence[str]) -> tuple[list[str], list[str]]:

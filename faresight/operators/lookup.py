@@ -130,13 +130,33 @@ def average_rank_pct(df: DataFrame, col: str, out: str | None = None) -> DataFra
     lk = cum.select(F.col("_v").alias(col), (avg_rank / F.lit(float(n) if n else float("nan"))).alias(out))
     return join_lookup(df, lk, [col])
 
+def out_of_fold_group_mean(df: DataFrame, keys: Sequence[str], target: str, fold: str, out: str) -> DataFrame:
+    """Group mean of ``target`` over the other folds, per row; a group that no other fold has
+    (or a null key) gets the other folds' overall mean. One aggregate by (keys, fold): a
+    fold's complement is the total less its own sums."""
+    keys = list(keys)
+    known = df.where(F.col(target).isNotNull())
+    per = known.dropna(subset=keys).groupBy(*keys, fold).agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
+    w = Window.partitionBy(*keys)  # one row per fold
+    comp = per.select(*keys, fold, F.try_divide(F.sum("_s").over(w) - F.col("_s"), F.sum("_n").over(w) - F.col("_n")).alias(out))
+    folds = known.groupBy(fold).agg(F.sum(target).alias("_s"), F.count(target).alias("_n")).collect()  # one row per fold
+    s, n = sum(r["_s"] for r in folds), sum(r["_n"] for r in folds)
+    rest = {r[fold]: (s - r["_s"]) / (n - r["_n"]) if n > r["_n"] else None for r in folds}
+    overall = F.coalesce(*[F.when(F.col(fold) == f, F.lit(v)) for f, v in rest.items()]) if rest else F.lit(None).cast("double")
+    return df.join(comp, [*keys, fold], "left").withColumn(out, F.coalesce(F.col(out), overall))
+
+def qcut_edges_many(train: DataFrame, col: str, qs: Sequence[int]) -> dict[int, list[float]]:
+    """F13 for several bin counts from one exact-quantile pass: q → edges of
+    ``pd.qcut(x, q, retbins=True, duplicates='drop')``."""
+    probs = sorted({i / q for q in qs for i in range(q + 1)})
+    row = scalars(exact_quantiles(train, col, probs))
+    at = {p: row[f"q_{i}"] for i, p in enumerate(probs)}
+    return {q: sorted({float(at[i / q]) for i in range(q + 1) if at[i / q] is not None}) for q in qs}
+
 def qcut_edges(train: DataFrame, col: str, q: int) -> list[float]:
     """``pd.qcut(x, q, retbins=True, duplicates='drop')`` edges from
     exact quantiles (one row of q+1 numbers, bounded by ``q``)."""
-    probs = [i / q for i in range(q + 1)]
-    row = scalars(exact_quantiles(train, col, probs))
-    edges = sorted({float(row[f"q_{i}"]) for i in range(len(probs)) if row[f"q_{i}"] is not None})
-    return edges
+    return qcut_edges_many(train, col, [q])[q]
 
 def with_qcut_bin(df: DataFrame, col: str, edges: Sequence[float], out: str) -> DataFrame:
     """``pd.cut(x, edges, include_lowest=True, labels=False)``."""
@@ -148,11 +168,3 @@ def reindex_domain(df: DataFrame, key: str, domain: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
     dom = spark.createDataFrame([(i, v) for i, v in enumerate(domain)], f"ordinal int, {key} string")
     return dom.join(df, key, "left")
-
-def with_prev_row(cum: DataFrame, idx: str, cols: Sequence[str]) -> DataFrame:
-    """Attach the previous row's ``cols`` along a dense 0-based index by a
-    self-join on idx = prev_idx + 1 (no single-task window)."""
-    prev = cum.select((F.col(idx) + 1).alias(idx), *[F.col(c).alias(f"prev_{c}") for c in cols])
-    return cum.join(prev, idx, "left")
-
-_ = Window  # re-exported for callers building small-table windows

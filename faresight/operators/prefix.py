@@ -101,6 +101,15 @@ def _prefix_sums(df: DataFrame, order: Sequence, weights: Sequence[str], group:
         out = local.select(*[c for c in df.columns],
                            *[(F.col(f"_loc_{w}") + offs_cols[w]).alias(f"{prefix}{w}") for w in weights])
         return out, grand
+    return _layout_sums(ck, order, weights, group, prefix, df.columns), None
+
+
+def _layout_sums(ck: DataFrame, order: Sequence, weights: Sequence[str], group: list[str], prefix: str, columns: Sequence[str]) -> DataFrame:
+    """Running sums within ``group`` over a written range layout."""
+    local_w = Window.partitionBy("_pid", *group).orderBy(*_sort_exprs(order)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = ck.select("*", *[F.sum(w).over(local_w).alias(f"_loc_{w}") for w in weights])
+    totals = ck.groupBy("_pid", *group).agg(*[F.sum(w).alias(f"_tot_{w}") for w in weights])
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("_pid", *group, *[F.coalesce(F.sum(f"_tot_{w}").over(before), F.lit(0))
                                             .alias(f"_off_{w}") for w in weights])
@@ -110,9 +119,7 @@ def _prefix_sums(df: DataFrame, order: Sequence, weights: Sequence[str], group:
                        *[f"_off_{w}" for w in weights])
     cond = [local["_pid"] == offs["_opid"]] + [local[g].eqNullSafe(offs[f"_og_{g}"]) for g in group]
     joined = local.join(offs, cond)
-    out = joined.select(*[c for c in df.columns],
-                        *[(F.col(f"_loc_{w}") + F.col(f"_off_{w}")).alias(f"{prefix}{w}") for w in weights])
-    return out, None
+    return joined.select(*columns, *[(F.col(f"_loc_{w}") + F.col(f"_off_{w}")).alias(f"{prefix}{w}") for w in weights])
 
 
 def _global_quantiles(df: DataFrame, value: str, probs: Sequence[float], num_partitions: int | None) -> DataFrame:
@@ -156,9 +163,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: Se
         return _global_quantiles(df, value, probs, num_partitions)
     vals = (df.select(*group, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
               .groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    cum = prefix_sums(vals, ["_v"], ["_c"], group, num_partitions=num_partitions)
+    laid = materialize(_range_layout(vals, [*group, "_v"], num_partitions))
+    cum = _layout_sums(laid, ["_v"], ["_c"], group, "cum_", vals.columns)
     cum = cum.withColumn("_prev", F.col("cum__c") - F.col("_c"))
-    n = vals.groupBy(*group).agg(F.sum("_c").alias("_n"))
+    n = laid.groupBy(*group).agg(F.sum("_c").alias("_n"))  # from the written layout, not the upstream plan again
     targets = n.select(*group, F.explode(F.array(*[
         F.struct(F.lit(i).alias("qi"), (F.lit(float(q)) * (F.col("_n") - 1)).alias("h"))
         for i, q in enumerate(probs)])).alias("t")).select(*group, "t.qi", "t.h")

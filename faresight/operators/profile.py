@@ -195,11 +195,12 @@ def eta_squared(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     long = unpivot(df.select(*cols, target), [target], cols, "feature", "value", cast="string")
     g = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("m"),
                                               F.var_pop(target).alias("v"))
-    # SST = SSW + SSB, both from the per-group table (no second pass over rows)
-    per_feature = Window.partitionBy("feature")
-    g = g.withColumn("_mu", F.sum(F.col("n") * F.col("m")).over(per_feature) / F.sum("n").over(per_feature))
+    # SST = SSW + SSB from the per-group table; group means are taken from the overall mean, so
+    # the between-group sum of squares is one plain aggregate without loss of digits
+    centre = scalars(df.agg(F.avg(target).alias("c")))["c"] or 0.0
+    d = F.col("m") - F.lit(float(centre))
     parts = g.groupBy("feature").agg(
-        F.sum(F.col("n") * (F.col("m") - F.col("_mu")) * (F.col("m") - F.col("_mu"))).alias("ssb"),
+        (F.sum(F.col("n") * d * d) - F.try_divide(F.sum(F.col("n") * d) * F.sum(F.col("n") * d), F.sum("n"))).alias("ssb"),
         F.sum(F.col("n") * F.col("v")).alias("ssw"))
     sst = F.col("ssb") + F.col("ssw")
     return parts.select("feature", F.when(sst == 0, F.lit(0.0)).otherwise(F.col("ssb") / sst).alias("eta2"))

@@ -55,23 +55,38 @@ def walk_forward_blocks(indexed: DataFrame, n: int, k: int, idx_col: str = "row_
     return indexed.withColumn(block_col, blk)
 
 
-def hash_fold(cols: Sequence, k: int, seed: int = 42) -> Column:
+def row_hash(cols: Sequence, seed: int = 42, portable: bool = False) -> Column:
+    """64-bit hash of row content. ``portable``: the first 15 hex digits of the MD5 of the
+    values' text (nulls left out) joined by "|", which any engine can reproduce for string
+    and integer columns; else the faster ``xxhash64``."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in cols]
+    if portable:
+        text = F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in cols])
+        return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    return F.xxhash64(F.lit(seed), *cols)
+
+
+def sql_row_hash(cols: Sequence[str], seed: int = 42) -> str:
+    """DuckDB form of the portable hash."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(f'CAST({c} AS VARCHAR)' for c in cols)})), 1, 15) AS BIGINT)"
+
+
+def hash_fold(cols: Sequence, k: int, seed: int = 42, portable: bool = False) -> Column:
     """T5: a deterministic fold id in [0, k) from a row-content hash."""
-    return (F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in cols]), F.lit(k))
-            ).cast("int")
+    return F.pmod(row_hash(cols, seed, portable), F.lit(k)).cast("int")
 
 
 def hash_split(df: DataFrame, cols: Sequence[str], test_size: float = 0.2, seed: int = 42,
-               split_col: str = "split") -> DataFrame:
+               split_col: str = "split", portable: bool = False) -> DataFrame:
     """Stable random split by row-content hash (same rows → same side,
     independent of partitioning, unlike ``randomSplit``)."""
-    u = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    u = F.pmod(row_hash(cols, seed, portable), F.lit(1_000_000)) / F.lit(1_000_000.0)
     return df.withColumn(split_col, F.when(u < F.lit(1 - test_size), F.lit("train")).otherwise(F.lit("test")))
 
 
-def deterministic_sample(df: DataFrame, n: int, cols: Sequence[str] | None = None, seed: int = 42) -> DataFrame:
+def deterministic_sample(df: DataFrame, n: int, cols: Sequence[str] | None = None, seed: int = 42,
+                         portable: bool = False) -> DataFrame:
     """``min(n, N)`` rows without replacement: order by a content hash and
     keep the first ``n`` (a top-k, planned as TakeOrderedAndProject)."""
     cols = list(cols) if cols is not None else df.columns
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
-    return df.orderBy(h, *[F.col(c).asc_nulls_last() for c in cols]).limit(n)
+    return df.orderBy(row_hash(cols, seed, portable), *[F.col(c).asc_nulls_last() for c in cols]).limit(n)

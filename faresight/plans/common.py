@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from faresight.operators.lookup import group_mean_predictor
 from faresight.operators.split import temporal_split
+from faresight.session import materialize
 from faresight.sources.flights import flights
 
 FLIGHT_COLUMNS = ("airline", "source", "source_name", "destination", "destination_name", "departure", "arrival",
@@ -20,6 +21,13 @@ TEST_SIZE = 0.2
 PRED_KEYS = ("travel_class", "destination")
 
 
+def staged_flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The named columns of the flight view, joined once and written as a table: an analysis
+    that passes over its rows several times then reads a narrow file instead of repeating the
+    joins."""
+    return materialize(flights(spark, sf_dir).select(*columns))
+
+
 def split_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temporal_split(flights(spark, sf_dir), "departure", TEST_SIZE, TIEBREAK)
 

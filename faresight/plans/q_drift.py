@@ -17,8 +17,9 @@ CAT = ("airline", "destination", "travel_class", "booking_window", "haul_type")
 Y = "total_fare"
 
 
-def _sides(spark, sf_dir):
-    s = engineer_features(split_flights(spark, sf_dir), keep=["split", "row_idx", Y])
+def _sides(spark, sf_dir, split=None):
+    s = split if split is not None else split_flights(spark, sf_dir)
+    s = engineer_features(s, keep=["split", "row_idx", Y])
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
@@ -148,8 +149,8 @@ def m3_category_changes(spark, sf_dir):
 
 
 # M4 / M5 / M6 ------------------------------------------------------------------------------------
-def _scored_sides(spark, sf_dir):
-    s = split_flights(spark, sf_dir)
+def _scored_sides(spark, sf_dir, split=None):
+    s = split if split is not None else split_flights(spark, sf_dir)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     keys = ["travel_class", "destination"]
     ref = LK.group_mean_predictor(train, train, keys, Y)
@@ -218,9 +219,10 @@ FROM (SELECT nd, n, list_filter([{DRIFT_TRIGGER_SQL},
     *_M4_CTES, _FE_CTE, _M2_CTE))
 def m6_retrain_decision_with_performance(spark, sf_dir):
     """Decision with the optional R² degradation trigger and trigger texts."""
-    ref, cur = _sides(spark, sf_dir)
+    s = split_flights(spark, sf_dir)
+    ref, cur = _sides(spark, sf_dir, s)
     r = DR.drift_report(ref, cur, list(NUM), list(CAT), with_p_values=False)
-    sref, scur = _scored_sides(spark, sf_dir)
+    sref, scur = _scored_sides(spark, sf_dir, s)
     perf = DR.performance_summary(DR.concept_drift(sref, scur, Y, "prediction"))
     d = DR.retrain_decision(DR.dataset_drift(r), performance=perf)
     return d.withColumn("drift_share", rnd("drift_share"))

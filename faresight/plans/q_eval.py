@@ -18,6 +18,7 @@ from faresight.plans.common import (PRED_KEYS, SCORED_CTES, SPLIT_CTES, TIEBREAK
                                     sql_group_mean_scored)
 from faresight.plans.registry import register, rnd
 
+from faresight.session import materialize
 from faresight.sources.flights import flights, with_flights
 
 Y = "total_fare"
@@ -235,6 +236,7 @@ def v10_group_mean_ceiling(spark, sf_dir):
 
 # V11 / J2 / F13 -----------------------------------------------------------------------------------------
 ALL_CATS = CEILING_CONFIGS[-1][1]
+# The (duration, days-before) quantile-bin pairs.
 QBIN_CONFIGS = ((5, 5), (10, 10), (20, 20), (50, 10))
 
 
@@ -243,8 +245,10 @@ def v11_quantile_bin_ceiling(spark, sf_dir):
     s = split_flights(spark, sf_dir)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     outs = []
+    dur = LK.qcut_edges_many(train, "duration_hrs", sorted({nd for nd, _ in QBIN_CONFIGS}))
+    day = LK.qcut_edges_many(train, "days_before", sorted({nb for _, nb in QBIN_CONFIGS}))
     for nd, nb in QBIN_CONFIGS:
-        de, be = LK.qcut_edges(train, "duration_hrs", nd), LK.qcut_edges(train, "days_before", nb)
+        de, be = dur[nd], day[nb]
         tr = LK.with_qcut_bin(LK.with_qcut_bin(train, "duration_hrs", de, "_dur_bin"), "days_before", be, "_day_bin")
         te = LK.with_qcut_bin(LK.with_qcut_bin(test, "duration_hrs", de, "_dur_bin"), "days_before", be, "_day_bin")
         outs.append(_ceiling_rows(tr, te, [(f"all_cats_dur{nd}_day{nb}", [*ALL_CATS, "_dur_bin", "_day_bin"])]))
@@ -424,18 +428,19 @@ MODEL_KEYS = {"p_class": ["travel_class"], "p_class_dest": ["travel_class", "des
               "p_class_dest_stop": ["travel_class", "destination", "stopovers"]}
 
 
-def predictions_frame(spark, sf_dir, on: str = "test"):
-    """Test (or train) rows with the mean baseline (V16) and three group-mean
-    predictors fitted on train, as one wide frame keyed by row_idx."""
+def predictions_frame(spark, sf_dir, on: str | None = "test"):
+    """Test (or train, or with ``on`` None all) rows with the mean baseline (V16) and three
+    group-mean predictors fitted on train, as one wide table keyed by row_idx, written once
+    for the analyses that pass over it several times."""
     s = split_flights(spark, sf_dir)
     train = s.where(F.col("split") == "train")
-    target = s.where(F.col("split") == on)
+    target = s if on is None else s.where(F.col("split") == on)
     keys = list(MODEL_KEYS)[-1] and MODEL_KEYS[list(MODEL_KEYS)[-1]]
     table, sizes, gm = LK.fit_nested_group_means(train, keys, Y, [len(k) for k in MODEL_KEYS.values()])
-    out = target.select("row_idx", Y, *keys).withColumn("p_mean", F.lit(gm))
+    out = target.select("row_idx", "split", Y, *keys).withColumn("p_mean", F.lit(gm))
     for name, k in MODEL_KEYS.items():
         out = LK.apply_nested_level(out, table, keys, len(k), sizes[len(k)], gm, name).drop("matched")
-    return out
+    return materialize(out)
 
 
 def _sql_predictions(on: str = "test") -> tuple[str, ...]:
@@ -505,10 +510,8 @@ FROM cmp te JOIN cmp_tr tr USING (model) WHERE te.model <> 'p_mean'""", *SPLIT_C
     f"""cmp_tr AS (SELECT model, {_sql_metrics(medae=False)} FROM ({_LONG.replace('FROM preds', 'FROM preds_tr')})
         GROUP BY model)"""))
 def v9_overfit_check(spark, sf_dir):
-    te = predictions_frame(spark, sf_dir, "test").withColumn("split", F.lit("test"))
-    tr = predictions_frame(spark, sf_dir, "train").withColumn("split", F.lit("train"))
-    cols = ["split", Y, *MODEL_KEYS]
-    long = EV.long_predictions(te.select(*cols).unionByName(tr.select(*cols)), Y, list(MODEL_KEYS), ["split"])
+    both = predictions_frame(spark, sf_dir, None).select("split", Y, *MODEL_KEYS)
+    long = EV.long_predictions(both, Y, list(MODEL_KEYS), ["split"])
     m = EV.regression_metrics(long, Y, "prediction", ["model", "split"], median=None).select(
         "model", "split", rnd("r2").alias("r2"))
     wide = m.groupBy("model").agg(F.max(F.when(F.col("split") == "train", F.col("r2"))).alias("train_r2"),
@@ -602,7 +605,24 @@ def e5_frequency_encoding(spark, sf_dir):
     return out.select("row_idx", *[rnd(f"{c}_freq", 8).alias(f"{c}_freq") for c in _FREQ])
 
 
-@register("e6_preprocessor_matrix")
+_E6_FREQ = {"route": "source || '__' || destination", "airline": "airline", "airline_class": "airline || '__' || travel_class",
+            "destination": "destination"}
+_E6_TEXT = ("airline", "source", "destination", "stopovers", "aircraft_type", "travel_class", "booking_source", "seasonality", "route",
+            "airline_class", "booking_window", "haul_type")
+
+
+def _e6_sql() -> str:
+    from faresight.plans.q_profile import E1_SQL
+    body = E1_SQL[E1_SQL.rindex("SELECT airline, source, destination"):].replace("SELECT airline,", "SELECT row_idx, airline,") \
+        .replace("FROM flights", "FROM test")
+    freq = [f"""fq_{k} AS (SELECT {e} AS v, count(*) / (SELECT count({e}) FROM train) AS f FROM train WHERE {e} IS NOT NULL GROUP BY 1)"""
+            for k, e in _E6_FREQ.items()]
+    text = ", ".join(f"coalesce({c}, 'nan') AS {c}" for c in _E6_TEXT)
+    cols = ", ".join(f"round(coalesce((SELECT f FROM fq_{k} WHERE v = e.{k}), 0.0), 6) AS {k}_freq" for k in _E6_FREQ)
+    return with_flights(f"SELECT e.* REPLACE ({text}), {cols} FROM e", *SPLIT_CTES, *freq, f"e AS ({body})")
+
+
+@register("e6_preprocessor_matrix", _e6_sql())
 def e6_preprocessor_matrix(spark, sf_dir):
     """Fit the full preprocessor (features + frequency maps) on train, apply to
     test; categoricals as strings with 'nan' for missing values."""
@@ -610,7 +630,8 @@ def e6_preprocessor_matrix(spark, sf_dir):
     s = split_flights(spark, sf_dir)
     tr, te = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     model = FarePreprocessor(keep=["row_idx"]).fit(tr)
-    return model.transform(te)
+    out = model.transform(te)
+    return out.withColumns({f.name: rnd(f.name) for f in out.schema.fields if f.dataType.simpleString() == "double"})
 
 
 # E9 / F20 --------------------------------------------------------------------------------------------------------------
@@ -658,11 +679,28 @@ def e10_target_encoding(spark, sf_dir):
     return model.transform(test).select("row_idx", *[rnd(f"{c}_te", 4).alias(f"{c}_te") for c in _TE])
 
 
-@register("e10_target_encoding_oof")
+def _sql_oof(c: str) -> str:
+    """CTEs of one column's statistics over all folds but one, and its encoding."""
+    return f"""st_{c} AS (SELECT {c} AS v, f, count(*) AS n, avg(total_fare) AS m, var_pop(total_fare) AS s
+  FROM folded, (SELECT unnest(range(5)) AS f) WHERE fold <> f AND {c} IS NOT NULL GROUP BY 1, 2),
+enc_{c} AS (SELECT v, f, CASE WHEN n * gs + s = 0 THEN gm ELSE n * gs / (n * gs + s) * m + (1 - n * gs / (n * gs + s)) * gm END AS e
+  FROM st_{c} JOIN rest USING (f))"""
+
+
+def _e10_oof_sql() -> str:
+    ctes = [f"fe_train AS ({_sql_engineered('train')})", f"""folded AS (SELECT *, {SP.sql_row_hash(["row_idx"])} % 5 AS fold FROM fe_train)""",
+            """rest AS (SELECT f, avg(total_fare) AS gm, var_pop(total_fare) AS gs FROM folded, (SELECT unnest(range(5)) AS f)
+  WHERE fold <> f GROUP BY f)""", *[_sql_oof(c) for c in _TE]]
+    cols = ", ".join(f"round(coalesce(enc_{c}.e, rest.gm), 4) AS {c}_te" for c in _TE)
+    joins = " ".join(f"LEFT JOIN enc_{c} ON enc_{c}.v = t.{c} AND enc_{c}.f = t.fold" for c in _TE)
+    return with_flights(f"SELECT t.row_idx, {cols} FROM folded t JOIN rest ON rest.f = t.fold {joins}", *SPLIT_CTES, *ctes)
+
+
+@register("e10_target_encoding_oof", _e10_oof_sql())
 def e10_target_encoding_oof(spark, sf_dir):
     train, _ = _engineered_split(spark, sf_dir)
-    _, oof = EN.TargetEncoder(list(_TE), Y).fit_transform_oof(train)
-    return oof.select("row_idx", *[f"{c}_te" for c in _TE])
+    _, oof = EN.TargetEncoder(list(_TE), Y, fold_cols=["row_idx"]).fit_transform_oof(train)
+    return oof.select("row_idx", *[rnd(f"{c}_te", 4).alias(f"{c}_te") for c in _TE])
 
 
 # E8 ------------------------------------------------------------------------------------------------------------------------
@@ -679,22 +717,29 @@ def e8_population_scaling(spark, sf_dir):
 
 
 # T2 / T5 / T8 (hash-based: rows-only checks) ---------------------------------------------------------------------------------
-@register("t2_hash_split")
+_HASHED = ("airline", "source", "destination", "stopovers", "aircraft_type", "travel_class", "booking_source", "seasonality",
+           "days_before", "order_key", "line_no")
+
+
+@register("t2_hash_split", with_flights(f"""
+SELECT CASE WHEN ({SP.sql_row_hash(_HASHED)} % 1000000) / 1000000.0::DOUBLE < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS split, count(*) AS n
+FROM flights GROUP BY 1"""))
 def t2_hash_split(spark, sf_dir):
-    f = flights(spark, sf_dir)
-    s = SP.hash_split(f, f.columns, 0.2)
+    s = SP.hash_split(flights(spark, sf_dir), _HASHED, 0.2, portable=True)
     return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("t5_hash_folds")
+@register("t5_hash_folds", with_flights(f"""
+SELECT CAST({SP.sql_row_hash(_HASHED)} % 5 AS INTEGER) AS fold, count(*) AS n FROM flights GROUP BY 1"""))
 def t5_hash_folds(spark, sf_dir):
     f = flights(spark, sf_dir)
-    return f.withColumn("fold", SP.hash_fold(f.columns, 5)).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    return f.withColumn("fold", SP.hash_fold(_HASHED, 5, portable=True)).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("t8_deterministic_sample")
+@register("t8_deterministic_sample", with_flights(f"""
+SELECT {", ".join(_HASHED)} FROM flights ORDER BY {SP.sql_row_hash(_HASHED)}, {", ".join(f"{c} NULLS LAST" for c in _HASHED)} LIMIT 500"""))
 def t8_deterministic_sample(spark, sf_dir):
-    return SP.deterministic_sample(flights(spark, sf_dir).drop("departure", "arrival"), 500)
+    return SP.deterministic_sample(flights(spark, sf_dir).select(*_HASHED), 500, portable=True)
 
 
 # P11 ------------------------------------------------------------------------------------------------------------------------

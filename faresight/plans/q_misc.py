@@ -13,6 +13,7 @@ from faresight.operators.preprocess import FarePreprocessor
 from faresight.plans.common import SPLIT_CTES, split_flights
 from faresight.plans.q_drift import _FE_CTE, _M2_CTE, DRIFT_TRIGGER_SQL
 from faresight.plans.registry import register, rnd
+from faresight.session import materialize
 from faresight.sources.flights import with_flights
 
 Y = "total_fare"
@@ -82,8 +83,22 @@ def m11_feature_profile(spark, sf_dir):
     model, xtr, xte = _prepared(spark, sf_dir)
     feats_tr, feats_te = xtr.select(*model.columns), xte.select(*model.columns)
     nums = [c for c in model.columns if c not in model.cat_feature_names]
-    prof = TR.feature_profile(feats_tr, feats_te, model.cat_feature_names, nums)
-    return prof["stats"].select("metric_name", rnd("value", 4).alias("value"))
+    prof = TR.feature_profile(materialize(feats_tr), materialize(feats_te), model.cat_feature_names, nums)
+    def section(name, df, key, label, value):
+        return df.select(F.lit(name).alias("section"), key.alias("name"), label.cast("string").alias("label"), rnd(value, 4).alias("value"))
+    none = F.lit(None)
+    wide = lambda df: df.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in df.columns]),
+                                                            F.array(*[F.col(c).cast("double") for c in df.columns]))).alias("k", "v"))
+    schema = prof["schema"].select(F.posexplode("columns_ordered").alias("position", "column"), "dtypes")
+    parts = [section("schema", schema, F.col("column"), F.col("dtypes")[F.col("column")], F.col("position")),
+             section("params", wide(prof["params"]), F.col("k"), none, F.col("v")),
+             section("stats", prof["stats"], F.col("metric_name"), none, F.col("value")),
+             section("nulls", wide(prof["nulls"]), F.col("k"), none, F.col("v")),
+             section("categories", prof["categories"], F.col("column"), F.col("value"), F.col("count"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 _S9_ROW = f"""SELECT coalesce(nd / n >= 0.3, false) AS needs_retraining, coalesce(nd / n >= 0.3, false) AS drift_detected,

@@ -12,12 +12,13 @@ from faresight.operators import models as MD
 from faresight.operators import tracking as TR
 from faresight.operators.encode import inverse_sqrt_weight
 from faresight.operators.features import engineer_features
-from faresight.operators.lookup import group_mean_predictor
+from faresight.operators.lookup import out_of_fold_group_mean
 from faresight.operators.outliers import isolation_forest
 from faresight.operators.split import hash_fold
 from faresight.plans.common import split_flights
 from faresight.plans.q_eval import _CMP_CTES as CMP_CTES
 from faresight.plans.registry import register, rnd
+from faresight.session import materialize
 from faresight.sources.flights import with_flights
 
 Y = "total_fare"
@@ -95,7 +96,6 @@ def l11_two_stage_tax(spark, sf_dir):
     the predicted tax exists."""
     from dataclasses import replace
     from faresight.roles import FLIGHT_ROLES
-    from faresight.session import materialize
     tr, te = _train_test(spark, sf_dir)
     stage1 = MD.fit_model(tr, "DecisionTree", MD.preset("DecisionTree")[1], keep=["row_idx"], target="tax")
 
@@ -131,7 +131,6 @@ def linear_matrix(spark, sf_dir):
     → smoothed train mean, then population z-scores fitted on train (null → 0)."""
     from faresight.operators.encode import PopulationScaler, TargetEncoder
     from faresight.operators.preprocess import FarePreprocessor
-    from faresight.session import materialize
 
     tr, te = _train_test(spark, sf_dir)
     prep = FarePreprocessor(keep=["row_idx", Y]).fit(tr)
@@ -234,17 +233,11 @@ def _oof_group_means(spark, sf_dir, k=5):
     """Out-of-fold predictions of three group-mean base models on train (T5 folds)."""
     from faresight.plans.q_eval import MODEL_KEYS
     tr, _ = _train_test(spark, sf_dir)
-    tr = tr.withColumn("fold", hash_fold(["row_idx"], k))
-    base = tr.select("row_idx", "fold", Y, *{c for ks in MODEL_KEYS.values() for c in ks})
-    outs = None
-    for f in range(k):
-        fit_on, score_on = base.where(F.col("fold") != f), base.where(F.col("fold") == f)
-        cur = score_on.select("row_idx", "fold", Y)
-        for name, keys in MODEL_KEYS.items():
-            p = group_mean_predictor(fit_on, score_on, keys, Y, name).select("row_idx", name)
-            cur = cur.join(p, "row_idx")
-        outs = cur if outs is None else outs.unionByName(cur)
-    return outs, list(MODEL_KEYS)
+    out = materialize(tr.withColumn("fold", hash_fold(["row_idx"], k, portable=True))
+                      .select("row_idx", "fold", Y, *{c for ks in MODEL_KEYS.values() for c in ks}))
+    for name, keys in MODEL_KEYS.items():
+        out = out_of_fold_group_mean(out, keys, Y, "fold", name)
+    return materialize(out.select("row_idx", "fold", Y, *MODEL_KEYS)), list(MODEL_KEYS)
 
 
 @register("v14_ridge_stacking")

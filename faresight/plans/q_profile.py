@@ -8,7 +8,9 @@ from faresight.functions import scalar as S
 from faresight.functions.metrics import avg_exact
 from faresight.operators import features as FE
 from faresight.operators import profile as PR
+from faresight.plans.common import staged_flights
 from faresight.plans.registry import register, rnd
+from faresight.session import materialize
 from faresight.sources.flights import flights, with_flights
 from faresight.sources.tables import read_table
 
@@ -162,7 +164,7 @@ def a2_group_mean(spark, sf_dir):
     "SELECT travel_class, round(avg(total_fare), 4) AS mean, count(*) AS n, "
     "round(quantile_cont(total_fare, 0.5), 4) AS median FROM flights GROUP BY travel_class"))
 def a3_group_mean_median(spark, sf_dir):
-    g = PR.group_mean_median(flights(spark, sf_dir), ["travel_class"], "total_fare")
+    g = PR.group_mean_median(staged_flights(spark, sf_dir, "travel_class", "total_fare"), ["travel_class"], "total_fare")
     return g.select("travel_class", rnd("mean", 4).alias("mean"), "n", rnd("median", 4).alias("median"))
 
 
@@ -184,14 +186,14 @@ def _a4_select(d, keys=()):
 
 @register("a4_describe_target", with_flights(f"SELECT {_A4_SQL_COLS} FROM flights"))
 def a4_describe_target(spark, sf_dir):
-    d = PR.describe_numeric(flights(spark, sf_dir), "total_fare")
+    d = PR.describe_numeric(staged_flights(spark, sf_dir, "total_fare"), "total_fare")
     return _a4_select(d)
 
 
 @register("a4_describe_by_class", with_flights(
     f"SELECT travel_class, {_A4_SQL_COLS} FROM flights GROUP BY travel_class"))
 def a4_describe_by_class(spark, sf_dir):
-    d = PR.describe_numeric(flights(spark, sf_dir), "total_fare", ["travel_class"])
+    d = PR.describe_numeric(staged_flights(spark, sf_dir, "travel_class", "total_fare"), "total_fare", ["travel_class"])
     return _a4_select(d, ["travel_class"])
 
 
@@ -213,7 +215,7 @@ _A6_COLS = ("duration_hrs", "days_before", "total_fare")
     for c in _A6_COLS for st, fn in (("mean", f"avg({c})"), ("std", f"stddev_samp({c})"), ("min", f"min({c})"),
                                      ("max", f"max({c})"), ("median", f"quantile_cont({c}, 0.5)")))))
 def a6_numeric_profile(spark, sf_dir):
-    p = PR.numeric_profile(flights(spark, sf_dir), list(_A6_COLS))
+    p = PR.numeric_profile(staged_flights(spark, sf_dir, *_A6_COLS), list(_A6_COLS))
     return p.select("feature", "stat", rnd("value", 4).alias("value"),
                     F.concat(F.lit("feat_"), S.sanitize_metric_name("feature"), F.lit("__"), F.col("stat"))
                     .alias("metric_name"))
@@ -282,7 +284,7 @@ def a13_target_correlation(spark, sf_dir):
          (SELECT var_pop(total_fare) FROM flights) AS var_pop_all
   FROM flights GROUP BY coalesce(CAST({c} AS VARCHAR), 'nan')) GROUP BY var_pop_all""" for c in CATS)))
 def a14_eta_squared(spark, sf_dir):
-    e = PR.eta_squared(flights(spark, sf_dir), list(CATS), "total_fare")
+    e = PR.eta_squared(staged_flights(spark, sf_dir, *CATS, "total_fare"), list(CATS), "total_fare")
     return e.withColumn("eta2", rnd("eta2"))
 
 
@@ -315,7 +317,7 @@ FROM spread ORDER BY round(cv, 9) DESC, {", ".join(keys)} LIMIT 10""", _spread_c
 SELECT count(*) AS n_groups, round(avg(cv), 6) AS mean_cv, round(avg(range), 4) AS mean_range,
   round(quantile_cont(range, 0.5), 4) AS median_range FROM spread""", _spread_cte(keys, least)))
     def summary(spark, sf_dir):
-        s = PR.group_spread(flights(spark, sf_dir), list(keys), "total_fare", min_count=least)
+        s = materialize(PR.group_spread(flights(spark, sf_dir), list(keys), "total_fare", min_count=least))
         out = PR.group_spread_summary(s)
         return out.select("n_groups", rnd("mean_cv").alias("mean_cv"), rnd("mean_range", 4).alias("mean_range"),
                           rnd("median_range", 4).alias("median_range"))
@@ -348,7 +350,8 @@ _A16_BINNED = (f"""binned AS (SELECT *, {_sql_ewbin('duration_hrs')} AS duration
 FROM (SELECT total_fare, avg(total_fare) OVER (PARTITION BY {", ".join(keys)}) AS gm FROM binned)"""
     for name, keys in _A16_SETS.items()), *_A16_BINNED))
 def a16_in_sample_ceiling(spark, sf_dir):
-    f = PR.equal_width_bins(flights(spark, sf_dir), {"duration_hrs": 10, "days_before": 10})
+    f = PR.equal_width_bins(staged_flights(spark, sf_dir, *_KEY_GROUP, "booking_source", "duration_hrs", "days_before", "total_fare"),
+                            {"duration_hrs": 10, "days_before": 10})
     outs = [PR.in_sample_ceiling(f, keys, "total_fare").select(F.lit(name).alias("key_set"), "r2", "mae")
             for name, keys in _A16_SETS.items()]
     u = outs[0]
@@ -436,7 +439,7 @@ FROM (SELECT travel_class, quantile_cont(total_fare, 0.25) AS q1, quantile_cont(
 JOIN flights f ON f.travel_class = q.travel_class
 GROUP BY q.travel_class, q1, median, q3"""))
 def a23_boxplot_by_class(spark, sf_dir):
-    b = PR.boxplot_stats(flights(spark, sf_dir), ["travel_class"], "total_fare")
+    b = PR.boxplot_stats(staged_flights(spark, sf_dir, "travel_class", "total_fare"), ["travel_class"], "total_fare")
     return b.select("travel_class", *[rnd(c, 4).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")],
                     "n_outliers")
 

@@ -55,6 +55,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
 
 
+_TABLES: list[str] = []
+
+
+def track(path: str) -> str:
+    """Note a folder that ``release_tables`` may delete."""
+    _TABLES.append(path)
+    return path
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the tables that this process has written below the checkpoint folder. Results
+    built on them must have been written or collected before; returns the number deleted."""
+    n = 0
+    while _TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table under the session's checkpoint folder
     and read it back, cutting the lineage.
@@ -65,6 +84,6 @@ def materialize(df: DataFrame) -> DataFrame:
     columns); and later passes read only the columns they use, vectorised.
     """
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/faresight-tables/{uuid.uuid4().hex}"
+    path = track(f"{base}/faresight-tables/{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
