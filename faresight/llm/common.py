@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faresight.session import ensure_checkpoint_dir
+from faresight.session import ensure_checkpoint_dir, track
 
 #: A key is heavy when it holds at least 1/HEAVY of the counted rows, so there are at most HEAVY heavy keys.
 HEAVY = 1000
@@ -21,7 +21,7 @@ class Workspace:
         self.spark = spark
         self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
-        self.made: dict[int, str] = {}
+        track(self.path)
 
     def folder(self, name: str) -> str:
         self.n += 1
@@ -31,7 +31,6 @@ class Workspace:
         path = self.folder(name)
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.made[id(out)] = path
         out._llm_path = path
         return out
 
