@@ -227,6 +227,15 @@ def _merge_words(folder: str):
     return run
 
 
+def _frequent(total: int):
+    def run(batches):
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                z = unpack(x)
+                yield pa.RecordBatch.from_arrays([pa.array(z["h"][z["c"] * HEAVY >= total].view(np.int64))], names=["h"])
+    return run
+
+
 def _merge_bigrams(folder: str, word_shards: int):
     def run(pdf):
         s = int(pdf["shard"].iloc[0])
@@ -319,8 +328,9 @@ def _score(m: dict):
 
 def train(texts: DataFrame, ws: Workspace, size_bytes: int | None = None) -> dict:
     """Counts ``texts`` (column text) into array files below ``ws``; returns what scoring
-    needs: folder, file names by shard, totals, discounts and the frequent words. ``size_bytes``:
-    bytes of text, counted if not given; it sets the number of shards."""
+    needs: folder, file names by shard (one per SHARD_TOKENS tokens or so), totals, discounts
+    and the frequent words. ``size_bytes``: bytes of text, counted if not given; it sets the
+    number of shards."""
     spark = texts.sparkSession
     folder = ws.folder("arrays")
     if size_bytes is None:
@@ -330,11 +340,8 @@ def train(texts: DataFrame, ws: Workspace, size_bytes: int | None = None) -> dic
     w = ws.table(counted.groupBy("shard").applyInPandas(_merge_words(folder), STATS), "words")
     rows = w.filter("path is not null").select("shard", "path", "total", "distinct").collect()     # one row per shard
     total, distinct = sum(r["total"] for r in rows), sum(r["distinct"] for r in rows)
-    heavy = np.zeros(0, np.uint64)
-    for r in w.filter("block is not null").select("block").toLocalIterator():                       # HEAVY entries per shard, one at a time
-        z = unpack(bytes(r["block"]))
-        heavy = np.append(heavy, z["h"][z["c"] * HEAVY >= total])
-    heavy = np.append(np.sort(heavy), BEGIN)
+    often = w.filter("block is not null").select("block").mapInArrow(_frequent(total), "h long").collect()   # HEAVY words at most
+    heavy = np.append(np.sort(np.array([r["h"] for r in often], np.int64).view(np.uint64)), BEGIN)
     words = {r["shard"]: r["path"] for r in rows}
     b = ws.table(texts.select("text").mapInArrow(_count_bigrams(shards, heavy), "shard int, block binary")
                  .groupBy("shard").applyInPandas(_merge_bigrams(folder, shards), STATS), "bigrams")
