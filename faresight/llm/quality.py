@@ -102,7 +102,7 @@ def _score(add: np.ndarray, bias: float):
         for batch in batches:
             data, off = X.utf8(batch.column(batch.num_columns - 1))
             out = np.empty(batch.num_rows)
-            for d, e in X.groups(off, 1 << 19):
+            for d, e in X.groups(off, 1 << 17):
                 ids, fo = features(data, off[d:e + 1], len(add))
                 n = np.diff(fo)
                 total = np.concatenate([[0.0], np.cumsum(add[ids])])

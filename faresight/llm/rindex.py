@@ -33,7 +33,7 @@ LENGTH = 400
 GRAM = 32
 MAX_WINDOWS = 2048
 SHARD_BYTES = 1_500_000
-SLAB = 1 << 20
+SLAB = 1 << 19
 
 
 def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -112,11 +112,12 @@ def _segment_rows(length: int, gram: int):
 
 
 def suffix_array(sym: np.ndarray) -> np.ndarray:
-    """Order of all suffixes of ``sym`` (values below 512; 0 ends a segment), by prefix
+    """Order of all suffixes of ``sym`` (values below 511; 0 ends a segment), by prefix
     doubling on the positions that are still tied."""
     n = len(sym)
     s = np.zeros(n + 8, np.uint64)
     s[:n] = sym
+    s[:n] += np.uint64(1)       # the end of all is below a separator
     key = np.zeros(n, np.uint64)
     for j in range(7):
         key = (key << np.uint64(9)) | s[j:n + j]

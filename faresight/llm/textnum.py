@@ -15,7 +15,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, 9, 10, 11, 12, 13]] = True
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
