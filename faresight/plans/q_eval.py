@@ -691,7 +691,7 @@ def _e10_oof_sql() -> str:
     ctes = [f"fe_train AS ({_sql_engineered('train')})", f"""folded AS (SELECT *, {SP.sql_row_hash(["row_idx"])} % 5 AS fold FROM fe_train)""",
             """rest AS (SELECT f, avg(total_fare) AS gm, var_pop(total_fare) AS gs FROM folded, (SELECT unnest(range(5)) AS f)
   WHERE fold <> f GROUP BY f)""", *[_sql_oof(c) for c in _TE]]
-    cols = ", ".join(f"round(coalesce(enc_{c}.e, rest.gm), 4) AS {c}_te" for c in _TE)
+    cols = ", ".join(f"round(coalesce(enc_{c}.e, rest.gm), 2) AS {c}_te" for c in _TE)
     joins = " ".join(f"LEFT JOIN enc_{c} ON enc_{c}.v = t.{c} AND enc_{c}.f = t.fold" for c in _TE)
     return with_flights(f"SELECT t.row_idx, {cols} FROM folded t JOIN rest ON rest.f = t.fold {joins}", *SPLIT_CTES, *ctes)
 
@@ -700,7 +700,7 @@ def _e10_oof_sql() -> str:
 def e10_target_encoding_oof(spark, sf_dir):
     train, _ = _engineered_split(spark, sf_dir)
     _, oof = EN.TargetEncoder(list(_TE), Y, fold_cols=["row_idx"]).fit_transform_oof(train)
-    return oof.select("row_idx", *[rnd(f"{c}_te", 4).alias(f"{c}_te") for c in _TE])
+    return oof.select("row_idx", *[rnd(f"{c}_te", 2).alias(f"{c}_te") for c in _TE])
 
 
 # E8 ------------------------------------------------------------------------------------------------------------------------
