@@ -24,6 +24,27 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(_read(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+ORACLES["op1_minhash_near_dedup"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(list_slice(w, i, i + 3), ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT u, v FROM shared JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 80 * (x.n + y.n - c)
+), reach(node, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT l.v, r.root FROM reach r JOIN links l ON l.u = r.node
+), comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, coalesce(d.doc_id = c.component_id, false) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp c ON c.node = d.doc_id
+"""
+
+
 TOKENIZER = "word_bpe_49k.json"
 
 
