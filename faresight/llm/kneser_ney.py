@@ -336,14 +336,14 @@ def train(texts: DataFrame, ws: Workspace, size_bytes: int | None = None) -> dic
     if size_bytes is None:
         size_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(4, -(-int(size_bytes) // (6 * SHARD_TOKENS)))
-    counted = texts.select("text").mapInArrow(_count_words(shards), "shard int, block binary")
+    counted = texts.select("text").mapInArrow(X.tidy(_count_words(shards)), "shard int, block binary")
     w = ws.table(counted.groupBy("shard").applyInPandas(_merge_words(folder), STATS), "words")
     rows = w.filter("path is not null").select("shard", "path", "total", "distinct").collect()     # one row per shard
     total, distinct = sum(r["total"] for r in rows), sum(r["distinct"] for r in rows)
     often = w.filter("block is not null").select("block").mapInArrow(_frequent(total), "h long").collect()   # HEAVY words at most
     heavy = np.append(np.sort(np.array([r["h"] for r in often], np.int64).view(np.uint64)), BEGIN)
     words = {r["shard"]: r["path"] for r in rows}
-    b = ws.table(texts.select("text").mapInArrow(_count_bigrams(shards, heavy), "shard int, block binary")
+    b = ws.table(texts.select("text").mapInArrow(X.tidy(_count_bigrams(shards, heavy)), "shard int, block binary")
                  .groupBy("shard").applyInPandas(_merge_bigrams(folder, shards), STATS), "bigrams")
     rows = b.filter("path is not null").drop("block", "shard").collect()
     bigrams = {int(r["path"].split("-")[1]): r["path"] for r in rows}
@@ -383,4 +383,4 @@ def score_documents(docs: DataFrame) -> DataFrame:
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = train(src.filter(~held_out()).select("text"), ws)
     return src.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
-        _score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        X.tidy(_score(model)), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -179,7 +179,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     spark = docs.sparkSession
     ws = Workspace(spark, "minhash")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    t = ws.table(src.mapInArrow(_sketch(words), "doc_id long, n long, f1 long, f2 long, bands array<long>, sig binary"), "sketch")
+    t = ws.table(src.mapInArrow(X.tidy(_sketch(words)), "doc_id long, n long, f1 long, f2 long, bands array<long>, sig binary"), "sketch")
     sets = ws.table(t.filter("n > 0 and doc_id is not null").groupBy("f1", "f2", "n")
                     .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("cnt")), "sets")
     reps = ws.table(t.filter("n > 0 and doc_id is not null").select("doc_id", "bands")
@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sig = t.select("doc_id", "sig")
     ids = ws.table(member.select("doc_id").unionByName(member.select(F.col("hub").alias("doc_id"))).distinct(), "candidates")
     v = ws.table(src.join(ids, "doc_id", "left_semi").join(sig.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "doc_id")
-                 .mapInArrow(_sets(words), "doc_id long, shingles binary, sig binary"), "shingles")
+                 .mapInArrow(X.tidy(_sets(words)), "doc_id long, shingles binary, sig binary"), "shingles")
     pairs = member.filter("doc_id <> hub")
     hubs = ws.table(pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("cnt")), "hubs")
     n_pairs = hubs.agg(F.sum("cnt")).first()[0] or 0

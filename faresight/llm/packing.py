@@ -363,7 +363,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     ws = Workspace(spark, "packing")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, pid int, k long" + (", ids binary" if with_ids else "")
-    p = ws.table(src.mapInArrow(_cut(tokenizer, capacity, end_id, with_ids), schema), "pieces")
+    p = ws.table(src.mapInArrow(X.tidy(_cut(tokenizer, capacity, end_id, with_ids)), schema), "pieces")
     parts = ws.table(p.groupBy("pid", "length").agg((F.max("k") + 1).alias("n")), "counts")
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= capacity rows
     before = parts.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("pid")) - F.col("n")).drop("n")

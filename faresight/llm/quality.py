@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(F.broadcast(lab), "doc_id").select("text", "label")
-    r = sample.repartition(1).mapInArrow(_learn(buckets, dim), "add binary, bias double").first()
+    r = sample.repartition(1).mapInArrow(X.tidy(_learn(buckets, dim)), "add binary, bias double").first()
     if r is None:       # no labelled rows: an even score
         return np.zeros(buckets), 0.0
     return np.frombuffer(bytes(r["add"]), np.float64), float(r["bias"])
@@ -156,7 +156,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], tex
     add, bias = model
     src = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInArrow(_score(add, bias), f"{schema}, score double" if schema else "score double")
+    return src.mapInArrow(X.tidy(_score(add, bias)), f"{schema}, score double" if schema else "score double")
 
 
 def held_out(id_col: str = "doc_id"):

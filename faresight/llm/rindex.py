@@ -211,6 +211,8 @@ def _shard(length: int):
             spans = marked(match[off[k]:off[k + 1] - 1], length)
             if spans:
                 rows.append((a, s, n, [{"s": x, "e": y} for x, y in spans]))
+        del match
+        X.release()
         return pd.DataFrame(rows, columns=["anchor", "sh", "n", "spans"])
     return run
 
@@ -278,7 +280,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, ws: Workspace | None =
     gram = min(GRAM, max(4, length // 4))
     src = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     seg = ws.table(src.filter(F.octet_length("text") >= length)
-                   .mapInArrow(_segment_rows(length, gram), "doc_id long, h long, start long, n int, anchor long, sh long, own boolean"), "segments")
+                   .mapInArrow(X.tidy(_segment_rows(length, gram)), "doc_id long, h long, start long, n int, anchor long, sh long, own boolean"), "segments")
     anchors = ws.table(seg.groupBy("anchor").agg(F.count(F.lit(1)).alias("cnt"), F.max("own").alias("any")).filter("cnt > 1 or any").drop("any"), "anchors")
     total = anchors.agg(F.sum("cnt")).first()[0] or 0
     seg2 = ws.table(join_back(seg, anchors, ["anchor"], total), "shared-segments")
@@ -296,7 +298,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, ws: Workspace | None =
                                                                   F.when(F.col("wide"), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("cnt")).alias("w"))
                       .groupBy("doc_id", "h").agg(F.collect_list("w").alias("w")), "wanted")
     texts = ws.table(src.join(wanted.withColumnsRenamed({"doc_id": "d2", "h": "h2"}), F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("h") == F.col("h2")))
-                     .select("text", "w").mapInArrow(_segment_texts(length), "anchor long, sh long, n int, cnt long, bytes binary")
+                     .select("text", "w").mapInArrow(X.tidy(_segment_texts(length)), "anchor long, sh long, n int, cnt long, bytes binary")
                      .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")), "segment-texts")
     one = texts.filter("cnt = 0").dropDuplicates(key).groupBy("shard").applyInPandas(_shard(length), SPANS)
     windows = ws.table(texts.filter("cnt = 1").select("anchor", "sh", "n", "bytes", "cnt")

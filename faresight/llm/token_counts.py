@@ -147,4 +147,4 @@ def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(d, e - d), pa.array(w), pa.array(t), pa.array(u)], names=["doc_id", "n_words", "n_tokens", "n_unknown"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, n_words long, n_tokens long, n_unknown long")
+    return src.mapInArrow(X.tidy(run), "doc_id long, n_words long, n_tokens long, n_unknown long")
