@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from faresight.llm import minhash, mixing, packing, quality, rindex
-from faresight.llm.common import Workspace
+from faresight.llm.common import Workspace, join_back
 from faresight.llm.queries import tokenizer_path
 from faresight.sources.tables import table_path
 
@@ -32,11 +32,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near duplicates (five-word
-    shingles, similarity 0.8 or more). Rows of a null doc_id stay."""
-    out = minhash.near_duplicates(docs, words=5, percent=80)
-    gone = out.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone, docs.doc_id.cast("long") == gone.doc_id, "left_anti")
+    """One row, that of the smallest doc_id (null last), of each group of near duplicates
+    (five-word shingles, similarity 0.8 or more). Every row is a document of its own, under a
+    row number: repeated rows, null ids and one doc_id with several texts are decided by row.
+    Rows without words are linked with nothing and stay."""
+    ws, cols = Workspace(spark, "near-duplicates"), [F.col(f"`{c}`") for c in docs.columns]
+    rows = ws.table(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = minhash.near_duplicates(rows, words=5, percent=80, id_col="__row").select(F.col("doc_id").alias("row"), "component_id")
+    member = ws.table(found.join(rows.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("id")), "row"), "members")
+    groups = ws.table(member.groupBy("component_id").agg(F.count(F.lit(1)).alias("cnt"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("first"))
+                      .filter("cnt > 1").select("component_id", "cnt", F.col("first.row").alias("stays")), "groups")
+    total = groups.agg(F.sum("cnt")).first()[0] or 0
+    gone = ws.table(join_back(member, groups, ["component_id"], total).filter("row <> stays").select(F.col("row").alias("__row")), "gone")
+    ws.drop(member, groups)
+    return rows.join(gone, "__row", "left_anti").select(*cols)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,6 +90,27 @@ def test_planted_copy_and_passage(spark, sf_dir):
     assert cut[5] == rows[4][1] and passage not in cut[3] and passage not in cut[4] and cut[3].startswith(sentence(902, 50))
 
 
+def test_one_text_of_each_group_survives_the_chained_stages(edge_docs, spark, sf_dir):
+    ws = Workspace(spark, "test")
+    # doc 10 (similarity 0.79 with doc 7) is no member of the group, yet shares passages that the next stage cuts
+    unique = ws.table(P.near_duplicates(spark, edge_docs.filter("doc_id is null or doc_id <> 10"), sf_dir), "unique")
+    cut = ws.table(P.repeated_passages(spark, unique, sf_dir), "cut")
+    base, twice = sentence(1, 90), sentence(8, 200)
+    for stage in (unique, cut):
+        rows = [(r.doc_id, r.text) for r in stage.collect()]
+        assert [i for i, t in rows if t and t.lower() == base] == [7]     # 7, 8, 9, 11 and a null id
+        assert [i for i, t in rows if t == twice] == [18]                 # a repeated row
+        assert {i for i, _ in rows} >= {1, 2, 3, 4, 12, 13, 17, None}     # rows without words stay, null text of a null id too
+
+
+def test_near_duplicates_are_decided_by_row(spark, sf_dir):
+    a, b, c = sentence(911, 90), sentence(912, 90), sentence(913, 90)
+    rows = [(1, a), (2, a), (2, b), (None, c), (None, c), (5, c), (6, None), (6, None), (None, sentence(914, 90)), (None, sentence(914, 90))]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((tuple(r) for r in P.near_duplicates(spark, d, sf_dir).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (5, c), (6, None), (6, None), (None, sentence(914, 90))], key=str)
+
+
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_queries_match_sql(spark, sf_dir, name):
     from tests.test_oracle import _rows
