@@ -3,9 +3,9 @@
 Features: the preprocessor (E1 + frequency maps) → alphabetical ordinal
 codes for categoricals (continuous codes keep tree ``maxBins`` small at
 any cardinality) or one-hot for linear models → one vector. Learners are
-MLlib estimators configured from the reference's settings; the
+MLlib estimators configured from the reference's settings; the default
 ``reference`` preset keeps its sizes (500 trees, 2,000 boosting rounds),
-``quick`` shrinks them for tests.
+``quick`` shrinks them for trials and is used only where it is named.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ REFERENCE_CONFIGS = {
 QUICK = {"numTrees": 20, "maxIter": 20, "maxDepth": 6, "stepSize": 0.1}
 
 
-def preset(name: str, which: str = "quick") -> tuple[str, dict]:
+def preset(name: str, which: str = "reference") -> tuple[str, dict]:
     family, params = REFERENCE_CONFIGS[name]
     params = dict(params)
     if which == "quick":
@@ -247,7 +247,7 @@ def linear_attribution(model: FareModel, raw: DataFrame) -> DataFrame:
 
 
 def train_all(train: DataFrame, valid: DataFrame, names: Sequence[str] = tuple(REFERENCE_CONFIGS),
-              which: str = "quick", roles: Roles = FLIGHT_ROLES, keep: Sequence[str] = ()) -> tuple[DataFrame, dict]:
+              which: str = "reference", roles: Roles = FLIGHT_ROLES, keep: Sequence[str] = ()) -> tuple[DataFrame, dict]:
     """Fit every configuration, skip failures, time each fit and
     evaluate on ``valid``. The feature matrix is built once per encoding
     (ordinal codes for trees, one-hot for linear models) and cached; the
@@ -319,7 +319,7 @@ def random_search(train: DataFrame, test: DataFrame, trials: int = 30, folds: in
 
 
 def per_stratum_models(train: DataFrame, test: DataFrame, stratum: str, name: str = "RandomForest",
-                       which: str = "quick", log_target: bool = False, roles: Roles = FLIGHT_ROLES,
+                       which: str = "reference", log_target: bool = False, roles: Roles = FLIGHT_ROLES,
                        max_strata: int = 64) -> DataFrame:
     """L9 (+E11): one model per stratum value (a bounded domain such as class),
     optionally on log1p(target); predictions unioned."""

@@ -74,3 +74,33 @@ def test_permutation_importance_finds_the_signal(spark, sf_dir):
     from faresight.operators.prefix import with_row_index
     base = with_row_index(te, [F.col("row_idx")], "_pos")
     assert base.count() == te.count()
+
+
+def test_registered_queries_fit_reference_sizes(monkeypatch):
+    from faresight.plans import q_models as Q
+    seen = []
+
+    class Enough(Exception):
+        pass
+
+    def fit(train, name, params, *args, **kwargs):
+        seen.append((name, dict(params)))
+        raise Enough
+
+    def search(train, test, trials=MD.random_search.__defaults__[0], **kwargs):
+        seen.append(("search", trials))
+    monkeypatch.setattr(Q, "_train_test", lambda *a: (None, None))
+    monkeypatch.setattr(MD, "fit_model", fit)
+    monkeypatch.setattr(MD, "random_search", search)
+    for q, name in ((Q.l13_feature_importances, "RandomForest"), (Q.l3_loss_variants, "XGBoost"), (Q.l15_batch_scoring, "DecisionTree"),
+                    (Q.l17_save_load_roundtrip, "DecisionTree"), (Q.l14_permutation_importance, "DecisionTree"), (Q.l11_two_stage_tax, "DecisionTree")):
+        try:
+            q(None, None)
+        except Enough:
+            pass
+        got = seen.pop()
+        assert got[0] == name and MD.REFERENCE_CONFIGS[name][1].items() <= got[1].items()
+    Q.l8_random_search(None, None)
+    assert seen.pop() == ("search", 30)
+    for f in (MD.train_all, MD.per_stratum_models, MD.preset):
+        assert "reference" in f.__defaults__ and "quick" not in f.__defaults__
