@@ -78,3 +78,12 @@ def test_word_hashes_follow_the_definition():
     t = "Ab  c d\tÉ\nab".encode()
     s, e, h, wo = X.words(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
     assert [t[a:b].lower() for a, b in zip(s, e)] == words(t.decode()) and h[0] == h[-1] and len(set(h.tolist())) == len(h) - 1
+
+
+def test_link_with_a_low_estimate_is_confirmed_on_full_sets():
+    import numpy as np
+    from faresight.llm.minhash import tile_edges
+    sets = [np.arange(90, dtype=np.uint64), np.arange(10, 100, dtype=np.uint64)]       # 80 of 100: similarity 0.8
+    sigs = np.zeros((2, 128), np.uint32)
+    sigs[1, 80:] = 1                                                                   # estimate 0.625
+    assert tile_edges(np.array([1, 2]), np.array([1, 2]), np.zeros(2, int), sigs, sets, 80) == [(1, 2)]
