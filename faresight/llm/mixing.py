@@ -119,8 +119,8 @@ def plan(docs: DataFrame, budget_tokens: float | str | None = None, min_entropy:
     return ws.table(out, "plan"), t
 
 
-def copies(docs: DataFrame, found: DataFrame, seed: str = "mix") -> DataFrame:
-    """``docs`` with weight, copies and block; the table of sources is joined by Spark's own
+def copies(docs: DataFrame, found: DataFrame, seed: str = "mix", bare: int = 0) -> DataFrame:
+    """``docs`` with weight, copies (``bare`` in sources without tokens) and block; the table of sources is joined by Spark's own
     choice (broadcast below its size threshold, else a shuffle that splits large sources)."""
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     f = found.select(F.col("source").alias("__source"), F.col("weight").alias("__weight"), F.col("passes").alias("__passes"),
@@ -128,7 +128,7 @@ def copies(docs: DataFrame, found: DataFrame, seed: str = "mix") -> DataFrame:
     extra = F.when(F.col("__passes").isNull(), 0).when(F.col("__upto").isNull(), 0) \
         .when(F.substring("__h", 1, 4) < F.col("__upto"), 1).when(F.coalesce(F.col("__h") <= F.col("__last"), F.lit(False)), 1).otherwise(0)
     return docs.withColumn("__h", h).join(f, F.col("source").eqNullSafe(F.col("__source")), "left") \
-        .withColumn("weight", F.col("__weight")).withColumn("copies", (F.coalesce("__passes", F.lit(0)) + extra).cast("long")) \
+        .withColumn("weight", F.col("__weight")).withColumn("copies", (F.coalesce("__passes", F.lit(bare)) + extra).cast("long")) \
         .withColumn("block", F.substring("__h", 1, 2)).drop("__h", "__source", "__weight", "__passes", "__upto", "__last")
 
 
@@ -137,14 +137,14 @@ def mix(docs: DataFrame, budget_tokens: float | str | None = None, min_entropy:
     (times it is taken) and block (of the permutation).
 
     A null source is a source; a null text has no tokens. Documents of a source without any
-    tokens have a null weight and 0 copies. Documents without tokens are taken with their
+    tokens have a null weight and 0 copies (1 with the "cover" budget). Documents without tokens are taken with their
     place in the order. Rows of one doc_id share a place and are all taken or not together at
     the cut. Other columns are not read; an empty table gives an empty result."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text").cast("string")).alias("n_tokens"))
     ws = Workspace(docs.sparkSession, "mixing")
     t = ws.table(src, "tokens")
     found, _ = plan(t, budget_tokens, min_entropy, max_repeat, ws=ws)
-    return copies(t, found).select("doc_id", "source", "n_tokens", "weight", "copies", "block")
+    return copies(t, found, bare=int(budget_tokens == "cover")).select("doc_id", "source", "n_tokens", "weight", "copies", "block")
 
 
 def realise(docs: DataFrame, budget_tokens: float | str | None = None, min_entropy: float | None = None, max_repeat: float | None = None) -> DataFrame:
@@ -156,6 +156,6 @@ def realise(docs: DataFrame, budget_tokens: float | str | None = None, min_entro
     found, _ = plan(narrow, budget_tokens, min_entropy, max_repeat, ws=t)
     cols = docs.columns
     out = copies(docs.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(cols)], F.col("doc_id").cast("long").alias("doc_id"),
-                             F.col("source").cast("string").alias("source")), found)
+                             F.col("source").cast("string").alias("source")), found, bare=int(budget_tokens == "cover"))
     return out.withColumn("__k", F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("copies"))).otherwise(F.expr("array()")))) \
         .select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(cols)])

@@ -142,3 +142,13 @@ def test_quality_edges(edge_docs, no_docs, spark):
 def test_words_are_counted_as_elsewhere(edge_docs):
     got = sorted((r[0] is None, r[0] or 0, r[1]) for r in edge_docs.select("doc_id", M.words(edge_docs.text)).collect())
     assert got == sorted((i is None, i or 0, len(words(t))) for i, t in edge_texts())
+
+
+def test_cover_budget_keeps_sources_without_tokens(spark):
+    from faresight.llm import mixing
+    rows = [(1, "a", "one two three"), (2, "b", None), (3, "b", " "), (4, None, ""), (5, "c", "four")]
+    d = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for docs, ids in ((d, {1, 2, 3, 4, 5}), (d.filter("doc_id in (2, 3, 4)"), {2, 3, 4})):
+        assert {r.doc_id for r in mixing.realise(docs, budget_tokens="cover", max_repeat=2.0).collect()} == ids
+        copies = {r.doc_id: r.copies for r in mixing.mix(docs, budget_tokens="cover", max_repeat=2.0).collect()}
+        assert set(copies) == ids and copies[2] == copies[3] == copies[4] == 1
