@@ -18,6 +18,7 @@ from faresight.operators.split import hash_fold
 from faresight.plans.common import split_flights
 from faresight.plans.q_eval import _CMP_CTES as CMP_CTES
 from faresight.plans.registry import register, rnd
+from faresight.roles import FLIGHT_ROLES
 from faresight.session import materialize
 from faresight.sources.flights import with_flights
 
@@ -94,7 +95,6 @@ def l11_two_stage_tax(spark, sf_dir):
     tax predicted out of fold (five folds) / without tax; at test time only
     the predicted tax exists."""
     from dataclasses import replace
-    from faresight.roles import FLIGHT_ROLES
     tr, te = _train_test(spark, sf_dir)
     stage1 = MD.fit_model(tr, "DecisionTree", MD.preset("DecisionTree")[1], keep=["row_idx"], target="tax")
 
@@ -292,11 +292,11 @@ def m10_registry_resolution(spark, sf_dir):
 
 @register("l14_permutation_importance")
 def l14_permutation_importance(spark, sf_dir):
-    """L14 for trees: MAE increase on the test split when each raw column is
-    permuted (exact, distributed permutation)."""
+    """L14 for trees: MAE increase on the test split when each raw column that the
+    preprocessing reads is permuted (exact, distributed permutation)."""
     tr, te = _train_test(spark, sf_dir)
     m = MD.fit_model(tr, "DecisionTree", MD.preset("DecisionTree")[1])
-    cols = ["travel_class", "destination", "duration_hrs", "days_before", "airline"]
+    cols = [*FLIGHT_ROLES.cat, *FLIGHT_ROLES.num, FLIGHT_ROLES.date]
     return MD.permutation_importance(m, te.drop("split", "row_idx"), cols)
 
 

@@ -104,3 +104,16 @@ def test_registered_queries_fit_reference_sizes(monkeypatch):
     assert seen.pop() == ("search", 30)
     for f in (MD.train_all, MD.per_stratum_models, MD.preset):
         assert "reference" in f.__defaults__ and "quick" not in f.__defaults__
+
+
+def test_permutation_query_takes_every_raw_column(monkeypatch):
+    from unittest.mock import MagicMock
+
+    from faresight.plans import q_models as Q
+    seen = []
+    monkeypatch.setattr(Q, "_train_test", lambda *a: (MagicMock(), MagicMock()))
+    monkeypatch.setattr(MD, "fit_model", MagicMock())
+    monkeypatch.setattr(MD, "permutation_importance", lambda m, raw, cols: seen.extend(cols))
+    Q.l14_permutation_importance(None, None)
+    assert sorted(seen) == sorted(["airline", "source", "destination", "travel_class", "stopovers", "aircraft_type", "booking_source",
+                                   "seasonality", "duration_hrs", "days_before", "departure"])
