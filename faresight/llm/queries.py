@@ -186,3 +186,101 @@ PIECES = "piece_bpe_32k.model"
 def op8_token_counts(spark, sf_dir):
     from faresight.llm.token_counts import count_tokens
     return count_tokens(_read(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
+def _sql_crc32(text: str) -> str:
+    """DuckDB expression of the unsigned CRC-32 of an ASCII string."""
+    step = "list_reduce(range(8), lambda x, j: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(c, b))"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT), lambda c, b: {step}, 4294967295), 4294967295)"
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    from faresight.llm.prefix_trie import prefix_trie
+    return prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY pos) AS turns, {_sql_crc32('conv_id::VARCHAR')} % 6 AS h FROM t GROUP BY conv_id
+), r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS path FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100
+), p AS (
+  SELECT conv_id, len(path) AS length, path[1:depth] AS key, depth FROM (SELECT *, unnest(range(0, len(path) + 1)) AS depth FROM r)
+), n AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth) AS ends
+  FROM p GROUP BY depth, key
+), e AS (
+  SELECT a.*, b.conv_id AS parent FROM n a LEFT JOIN n b ON b.depth = a.depth - 1 AND b.key = a.key[1:a.depth - 1]
+), k AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM e WHERE depth > 0 GROUP BY ALL),
+f AS (
+  SELECT e.*, coalesce(n_children, 0) AS n_children, CASE WHEN e.depth = 0 THEN 0 ELSE (n_convs - 1) * length(key[e.depth].text) END AS saved
+  FROM e LEFT JOIN k ON k.parent = e.conv_id AND k.depth = e.depth
+), s AS (
+  SELECT n.conv_id, n.depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM f) f JOIN n ON n.depth = f.up AND n.key = f.key[1:f.up] GROUP BY ALL
+)
+SELECT f.conv_id, f.depth, parent AS parent_conv_id, n_convs, n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+  sha256(coalesce(ends, '')) AS ends_sha256 FROM f JOIN s ON s.conv_id = f.conv_id AND s.depth = f.depth
+"""
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    from faresight.llm.merkle import audit
+    return audit(_read(spark, sf_dir, "documents"), every=5)
+
+
+def _sql_merkle(levels: int = 8) -> str:
+    """Leaves, then ``levels`` levels by source and as many over the subroots (16**8 nodes each)."""
+    def field(c):
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR END"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [f"""l AS (SELECT *, {leaf('text')} AS leaf, CASE WHEN {_sql_crc32('doc_id::VARCHAR')} % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS seen FROM documents)""",
+            """a0 AS (SELECT coalesce('=' || source, '') AS k, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+  count(*) OVER (PARTITION BY source) AS n, leaf AS node, doc_id, seen FROM l)"""]
+
+    def climb(a):
+        for v in range(levels):
+            ctes.append(f"""{a}{v + 1} AS (SELECT k, CASE WHEN n > 1 THEN i // 16 ELSE i END AS i, CASE WHEN max(n) > 1 THEN (max(n) + 15) // 16 ELSE 1 END AS n,
+  CASE WHEN max(n) > 1 THEN sha256(string_agg(node, '' ORDER BY i)) ELSE any_value(node) END AS node FROM (SELECT k, i, n, node FROM {a}{v}) GROUP BY k, CASE WHEN n > 1 THEN i // 16 ELSE i END)""")
+    climb("a")
+    ctes.append(f"b0 AS (SELECT '' AS k, k AS source, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n, node FROM a{levels})")
+    climb("b")
+    ctes.append("w0 AS (SELECT k, doc_id, node AS leaf, seen AS folded, i, '' AS proof FROM a0)")
+
+    def fold(w, a, last, key):
+        """One level: the run's other nodes enter the proof, the run with the own node in its place gives the next."""
+        for v in range(levels):
+            at = last + v
+            ctes.append(f"""s{w}{v} AS (SELECT k, i // 16 AS run, any_value(n) AS n, list(node ORDER BY i) AS nodes FROM {a}{v} GROUP BY k, i // 16)""")
+            ctes.append(f"""w{at + 1} AS (SELECT w.k, doc_id, leaf, CASE WHEN s.n > 1 THEN sha256(list_aggregate(list_concat(s.nodes[1:w.i % 16], [folded], s.nodes[w.i % 16 + 2:]), 'string_agg', '')) ELSE folded END AS folded,
+  CASE WHEN s.n > 1 THEN w.i // 16 ELSE w.i END AS i,
+  proof || CASE WHEN len(s.nodes) > 1 THEN list_aggregate(list_concat(s.nodes[1:w.i % 16], s.nodes[w.i % 16 + 2:]), 'string_agg', '') ELSE '' END AS proof{key}
+  FROM w{at} w JOIN s{w}{v} s ON s.k = {'w.k' if w == 'x' else "''"} AND s.run = w.i // 16)""")
+    fold("x", "a", 0, "")
+    ctes.append(f"v AS (SELECT w.k, doc_id, leaf, folded, b0.i, proof, b0.node AS subroot FROM w{levels} w JOIN b0 ON b0.source = w.k)")
+    ctes.append(f"w{levels + 1} AS (SELECT * FROM v)")
+    fold("y", "b", levels + 1, ", subroot")
+    return "WITH " + ", ".join(ctes) + f"""
+SELECT doc_id, leaf, subroot, b.node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = b.node AS verified FROM w{2 * levels + 1} w, b{levels} b
+"""
+
+
+ORACLES["op12_merkle_manifest"] = _sql_merkle()
+
+
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+@query
+def op13_forced_boundary_bpe(spark, sf_dir):
+    from faresight.llm.bpe import digest
+    return digest(_read(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
