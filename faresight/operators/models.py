@@ -1,50 +1,52 @@
-"""Model training, scoring and comparison on MLlib.
-
-Features: the preprocessor (E1 + frequency maps) → alphabetical ordinal
-codes for categoricals (continuous codes keep tree ``maxBins`` small at
-any cardinality) or one-hot for linear models → one vector. Learners are
-MLlib estimators configured from the reference's settings; the default
-``reference`` preset keeps its sizes (500 trees, 2,000 boosting rounds),
-``quick`` shrinks them for trials and is used only where it is named.
+"""Model training, scoring and comparison.
+
+Features: the preprocessor (E1 + frequency maps) → alphabetical ordinal codes for categoricals
+(tree learners) or one-hot vectors (linear learners, MLlib). Trees, boosting and forests are the
+histogram learners of ``boosting`` and ``forest``, configured from the reference's settings; the
+default ``reference`` preset keeps its sizes (500 trees, 2,000 boosting rounds), ``quick`` shrinks
+them for trials and is used only where it is named.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import random
 import time
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faresight.operators.encode import OrdinalEncoder, OrdinalEncoderModel, one_hot_stages
+from faresight.operators import boosting as B
+from faresight.operators.encode import FrequencyEncoderModel, OrdinalEncoder, OrdinalEncoderModel, one_hot_stages
 from faresight.operators.evaluate import regression_metrics
-from faresight.operators.preprocess import FarePreprocessor
+from faresight.operators.forest import Forest, fit_forest
+from faresight.operators.preprocess import FarePreprocessor, FarePreprocessorModel
 from faresight.operators.profile import scalars
-from faresight.operators.split import hash_fold
+from faresight.operators.split import hash_fold, walk_forward_blocks
+from faresight.operators.trees import TreeParams
 from faresight.roles import FLIGHT_ROLES, Roles
+from faresight.session import materialize
 
-# The reference's learner settings, mapped to MLlib names.
+# The reference's learner settings (patience of the first two from its comparison of boosted learners).
 REFERENCE_CONFIGS = {
-    "RandomForest": ("forest", {"numTrees": 500, "maxDepth": 20, "minInstancesPerNode": 2,
-                                "featureSubsetStrategy": "sqrt", "seed": 42}),
-    "XGBoost": ("boosting", {"maxIter": 2000, "stepSize": 0.02, "maxDepth": 8, "subsamplingRate": 0.8,
-                             "featureSubsetStrategy": "0.8", "seed": 42}),
-    "LightGBM": ("boosting", {"maxIter": 2000, "stepSize": 0.02, "maxDepth": 8, "subsamplingRate": 0.8,
-                              "featureSubsetStrategy": "0.8", "seed": 42}),
-    "CatBoost": ("boosting", {"maxIter": 2000, "stepSize": 0.02, "maxDepth": 8, "seed": 42,
-                              "validationTol": 0.0}),
-    "DecisionTree": ("tree", {"maxDepth": 12, "minInstancesPerNode": 10, "seed": 42}),
+    "RandomForest": ("forest", {"trees": 500, "depth": 20, "min_split": 5, "min_child": 2, "node_columns": "sqrt",
+                                "bootstrap": True, "l2": 0.0, "seed": 42}),
+    "XGBoost": ("boosting", {"rounds": 2000, "rate": 0.02, "depth": 8, "rows": 0.8, "columns": 0.8, "l1": 0.1, "l2": 1.0,
+                             "patience": 50, "seed": 42}),
+    "LightGBM": ("boosting", {"rounds": 2000, "rate": 0.02, "depth": 8, "leaves": 63, "rows": 0.8, "columns": 0.8, "l1": 0.1, "l2": 1.0,
+                              "min_child": 20, "patience": 50, "seed": 42}),
+    "CatBoost": ("boosting", {"rounds": 2000, "rate": 0.02, "depth": 8, "symmetric": True, "l2": 3.0, "patience": 100, "seed": 42}),
+    "DecisionTree": ("tree", {"rounds": 1, "rate": 1.0, "depth": 12, "min_child": 10, "l2": 0.0, "seed": 42}),
     "Linear": ("linear", {"regParam": 0.0, "solver": "auto"}),
     "Ridge": ("linear", {"alpha": 10.0, "elasticNetParam": 0.0, "solver": "auto"}),
     "Lasso": ("linear", {"alpha": 1.0, "elasticNetParam": 1.0}),
 }
-QUICK = {"numTrees": 20, "maxIter": 20, "maxDepth": 6, "stepSize": 0.1}
+QUICK = {"trees": 20, "rounds": 20, "depth": 6, "rate": 0.1}
 
 
 def preset(name: str, which: str = "reference") -> tuple[str, dict]:
@@ -52,26 +54,25 @@ def preset(name: str, which: str = "reference") -> tuple[str, dict]:
     params = dict(params)
     if which == "quick":
         for k, v in QUICK.items():
-            if k in params and (k != "stepSize" or family == "boosting"):
+            if k in params and (family == "boosting" or k not in ("rounds", "rate")):
                 params[k] = v
     return family, params
 
 
+def tree_params(params: dict, features: int) -> TreeParams:
+    p = {k: v for k, v in params.items() if k != "trees"}
+    if p.get("node_columns") == "sqrt":
+        p["node_columns"] = max(1, int(features ** 0.5))
+    return TreeParams(**p)
+
+
 def make_regressor(name: str, params: dict, label: str, features: str = "features", n_rows: int | None = None,
-                   label_std: float | None = None, weight_col: str | None = None, validation_col: str | None = None):
-    family, _ = REFERENCE_CONFIGS.get(name, ("linear", {}))
+                   label_std: float | None = None, weight_col: str | None = None):
+    """MLlib estimator of a linear learner."""
     p = dict(params)
     common = {"labelCol": label, "featuresCol": features, "predictionCol": "prediction"}
     if weight_col:
         common["weightCol"] = weight_col
-    if family == "forest":
-        return RandomForestRegressor(**common, **p)
-    if family == "tree":
-        return DecisionTreeRegressor(**common, **p)
-    if family == "boosting":
-        if validation_col and name == "CatBoost":
-            p["validationIndicatorCol"] = validation_col
-        return GBTRegressor(**common, **p)
     alpha = p.pop("alpha", None)
     if alpha is not None:
         if p.get("elasticNetParam", 0.0) == 0.0:
@@ -82,8 +83,65 @@ def make_regressor(name: str, params: dict, label: str, features: str = "feature
     return LinearRegression(**common, **p)
 
 
+def _save_json(spark: SparkSession, value, path: str) -> None:
+    spark.createDataFrame([(json.dumps(value),)], "meta string").write.mode("overwrite").json(path)
+
+
+def _load_json(spark: SparkSession, path: str):
+    return json.loads(spark.read.json(path).first()["meta"])
+
+
+def _save_preparation(spark: SparkSession, prep, encoder, cats, nums, encoding: str, path: str) -> None:
+    prep.freq_model.save(os.path.join(path, "freq"))
+    if encoder is not None:
+        encoder.save(os.path.join(path, "ordinal"))
+    _save_json(spark, {"cat": cats, "num": nums, "encoding": encoding, "keep": prep.keep, "order": prep.feature_order}, os.path.join(path, "meta"))
+
+
+def _load_preparation(spark: SparkSession, path: str, roles: Roles):
+    meta = _load_json(spark, os.path.join(path, "meta"))
+    freq = FrequencyEncoderModel.load(spark, os.path.join(path, "freq"))
+    num_prep = [c for c in meta["order"] if c not in meta["cat"]] + [f"{c}_freq" for c in freq.inputCols]
+    prep = FarePreprocessorModel(roles, meta["keep"], meta["cat"], num_prep, meta["order"], freq)
+    enc = OrdinalEncoderModel.load(spark, os.path.join(path, "ordinal")) if meta["encoding"] == "ordinal" else None
+    return prep, enc, meta
+
+
+class TreeModel:
+    """Preprocessor, category codes and a histogram learner (boosted trees or a forest).
+    ``transform`` returns the preprocessor's kept columns that the rows have, and the prediction."""
+
+    def __init__(self, prep, encoder, core, cats, nums):
+        self.prep, self.encoder, self.core, self.cat_cols, self.num_cols = prep, encoder, core, list(cats), list(nums)
+
+    @property
+    def feature_names(self) -> list[str]:
+        return self.core.features
+
+    def encoded(self, raw: DataFrame) -> DataFrame:
+        return self.encoder.transform(self.prep.transform(raw))
+
+    def transform(self, raw: DataFrame) -> DataFrame:
+        return self.core.transform(self.encoded(raw), [c for c in self.prep.keep if c in raw.columns])
+
+    def attributions(self, raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """See ``BoostedTrees.attributions``."""
+        return self.core.attributions(self.encoded(raw), keep)
+
+    def save(self, path: str) -> None:
+        spark = SparkSession.getActiveSession()
+        self.core.save(spark, os.path.join(path, "learner"))
+        _save_preparation(spark, self.prep, self.encoder, self.cat_cols, self.num_cols, "ordinal", path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, roles: Roles = FLIGHT_ROLES) -> "TreeModel":
+        prep, enc, meta = _load_preparation(spark, path, roles)
+        kind = Forest if Forest.is_saved(spark, os.path.join(path, "learner")) else B.BoostedTrees
+        return cls(prep, enc, kind.load(spark, os.path.join(path, "learner")), meta["cat"], meta["num"])
+
+
 class FareModel:
-    """Preprocessor + category encoder + MLlib pipeline (assembler + learner)."""
+    """Preprocessor + category encoder + MLlib pipeline (assembler + linear learner)."""
 
     def __init__(self, prep, encoder, pipeline: PipelineModel, cat_cols, num_cols, encoding: str):
         self.prep, self.encoder, self.pipeline = prep, encoder, pipeline
@@ -99,55 +157,42 @@ class FareModel:
     def learner(self):
         return self.pipeline.stages[-1]
 
-    @property
-    def feature_names(self) -> list[str]:
-        if self.encoding == "ordinal":
-            return [f"{c}_code" for c in self.cat_cols] + self.num_cols
-        return self.num_cols  # one-hot slots are expanded in importances()
-
     def save(self, path: str) -> None:
         """The MLlib part with its own writer, the encoders as tables."""
         self.pipeline.write().overwrite().save(os.path.join(path, "pipeline"))
-        self.prep.freq_model.save(os.path.join(path, "freq"))
-        if self.encoder is not None:
-            self.encoder.save(os.path.join(path, "ordinal"))
-        spark = SparkSession.getActiveSession()
-        meta = {"cat": self.cat_cols, "num": self.num_cols, "encoding": self.encoding, "keep": self.prep.keep,
-                "order": self.prep.feature_order}
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(
-            os.path.join(path, "meta"))
+        _save_preparation(SparkSession.getActiveSession(), self.prep, self.encoder, self.cat_cols, self.num_cols, self.encoding, path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, roles: Roles = FLIGHT_ROLES) -> "FareModel":
-        from faresight.operators.encode import FrequencyEncoderModel
-        from faresight.operators.preprocess import FarePreprocessorModel
-        meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
-        freq = FrequencyEncoderModel.load(spark, os.path.join(path, "freq"))
-        num_prep = [c for c in meta["order"] if c not in meta["cat"]] + [f"{c}_freq" for c in freq.inputCols]
-        prep = FarePreprocessorModel(roles, meta["keep"], meta["cat"], num_prep, meta["order"], freq)
-        enc = OrdinalEncoderModel.load(spark, os.path.join(path, "ordinal")) if meta["encoding"] == "ordinal" else None
-        return cls(prep, enc, PipelineModel.load(os.path.join(path, "pipeline")), meta["cat"], meta["num"],
-                   meta["encoding"])
+        prep, enc, meta = _load_preparation(spark, path, roles)
+        return cls(prep, enc, PipelineModel.load(os.path.join(path, "pipeline")), meta["cat"], meta["num"], meta["encoding"])
 
 
 class Prepared:
-    """Fitted preprocessing (E6), category encoding and vector assembly,
-    shared by every learner trained on the same rows."""
+    """Fitted preprocessing (E6) and category encoding, shared by every learner trained on the
+    same rows; with ``feat`` (linear learners) also the vector assembly."""
 
-    def __init__(self, prep, enc, feat: PipelineModel, cats, nums, encoding, target):
+    def __init__(self, prep, enc, feat: PipelineModel | None, cats, nums, encoding, target):
         self.prep, self.enc, self.feat = prep, enc, feat
         self.cats, self.nums, self.encoding, self.target = cats, nums, encoding, target
 
+    @property
+    def features(self) -> list[str]:
+        return [f"{c}_code" for c in self.cats] + self.nums
+
     def matrix(self, raw: DataFrame) -> DataFrame:
         x = self.prep.transform(raw)
         if self.enc is not None:
             x = self.enc.transform(x)
-        return self.feat.transform(x)
+        return self.feat.transform(x) if self.feat is not None else x
 
     def model(self, learner_model) -> FareModel:
         return FareModel(self.prep, self.enc, PipelineModel(stages=[*self.feat.stages, learner_model]),
                          self.cats, self.nums, self.encoding)
 
+    def trees(self, core) -> TreeModel:
+        return TreeModel(self.prep, self.enc, core, self.cats, self.nums)
+
 
 def prepare(train: DataFrame, roles: Roles = FLIGHT_ROLES, keep: Sequence[str] = (), encoding: str = "ordinal",
             target: str | None = None, weight_col: str | None = None) -> Prepared:
@@ -158,55 +203,46 @@ def prepare(train: DataFrame, roles: Roles = FLIGHT_ROLES, keep: Sequence[str] =
     cats = prep.cat_feature_names
     nums = [c for c in prep.num_feature_names if c not in keep]
     if encoding == "ordinal":
-        enc = OrdinalEncoder(cats).fit(x)
-        x = enc.transform(x)
-        stages, vec_in = [], [f"{c}_code" for c in cats] + nums
-    else:
-        enc = None
-        stages, vec_in = one_hot_stages(cats), [f"oh_{c}_vec" for c in cats] + nums
-    asm = VectorAssembler(inputCols=vec_in, outputCol="features", handleInvalid="keep")
-    feat = Pipeline(stages=[*stages, asm]).fit(x)
-    return Prepared(prep, enc, feat, cats, nums, encoding, target)
-
-
-def fit_on(prepared: Prepared, x: DataFrame, name: str, params: dict, weight_col: str | None = None,
-           validation_col: str | None = None) -> FareModel:
-    """Fit one learner on an already assembled (and cached) matrix."""
+        return Prepared(prep, OrdinalEncoder(cats).fit(x), None, cats, nums, encoding, target)
+    asm = VectorAssembler(inputCols=[f"oh_{c}_vec" for c in cats] + nums, outputCol="features", handleInvalid="keep")
+    feat = Pipeline(stages=[*one_hot_stages(cats), asm]).fit(x)
+    return Prepared(prep, None, feat, cats, nums, encoding, target)
+
+
+def fit_linear(prepared: Prepared, x: DataFrame, name: str, params: dict, weight_col: str | None = None) -> FareModel:
+    """Fit one linear learner on an already assembled matrix."""
     stats = scalars(x.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(prepared.target).alias("s")))
-    reg = make_regressor(name, params, prepared.target, n_rows=stats["n"], label_std=stats["s"],
-                         weight_col=weight_col, validation_col=validation_col)
+    reg = make_regressor(name, params, prepared.target, n_rows=stats["n"], label_std=stats["s"], weight_col=weight_col)
     return prepared.model(reg.fit(x))
 
 
 def fit_model(train: DataFrame, name: str, params: dict, roles: Roles = FLIGHT_ROLES, keep: Sequence[str] = (),
-              encoding: str | None = None, weight_col: str | None = None, valid: DataFrame | None = None,
-              target: str | None = None) -> FareModel:
-    """Fit preprocessing and one learner on ``train`` (raw rows)."""
+              weight_col: str | None = None, valid: DataFrame | None = None, target: str | None = None) -> FareModel | TreeModel:
+    """Fit preprocessing and one learner on ``train`` (raw rows); boosting watches ``valid``."""
     family = REFERENCE_CONFIGS.get(name, ("linear", {}))[0]
-    encoding = encoding or ("onehot" if family == "linear" else "ordinal")
-    pr = prepare(train, roles, keep, encoding, target, weight_col)
+    pr = prepare(train, roles, keep, "onehot" if family == "linear" else "ordinal", target, weight_col)
     x = pr.matrix(train)
-    validation_col = None
-    if valid is not None and family == "boosting":
-        x = x.withColumn("_is_valid", F.lit(False)).unionByName(pr.matrix(valid).withColumn("_is_valid", F.lit(True)))
-        validation_col = "_is_valid"
-    return fit_on(pr, x, name, params, weight_col, validation_col)
+    if family == "linear":
+        return fit_linear(pr, x, name, params, weight_col)
+    p = tree_params(params, len(pr.features))
+    x = materialize(x.select(*pr.features, pr.target, *([weight_col] if weight_col else [])).withColumn("_part", F.lit(0)))
+    if family == "forest":
+        return pr.trees(fit_forest(x, pr.features, pr.target, p, params["trees"], weight=weight_col))
+    if valid is not None:
+        x = x.unionByName(pr.matrix(valid).select(*pr.features, pr.target, *([weight_col] if weight_col else [])).withColumn("_part", F.lit(1)))
+    fit = B.Fit(name, p, (0,), (1,) if valid is not None else ())
+    return pr.trees(B.boost(x, pr.features, pr.target, [fit], weight_col, "_part")[0])
 
 
-def importances(model: FareModel, x_ref: DataFrame | None = None) -> list[tuple[str, float]]:
-    """Feature importance, sorted — tree importances, or |coef| × std of
+def importances(model: FareModel | TreeModel, x_ref: DataFrame | None = None) -> list[tuple[str, float]]:
+    """Feature importance, sorted — shares of gain for trees, or |coef| × std of
     the feature for linear models (standardised coefficients)."""
-    learner = model.learner
-    if hasattr(learner, "featureImportances"):
-        vals = learner.featureImportances.toArray()
-        names = model.feature_names
-    else:
-        coef = learner.coefficients.toArray()
-        names = _vector_names(model)
-        vals = np.abs(coef)
-        if x_ref is not None:
-            sd = _vector_std(model, x_ref)
-            vals = vals * sd
+    if isinstance(model, TreeModel):
+        return model.core.importances()
+    names = _vector_names(model)
+    vals = np.abs(model.learner.coefficients.toArray())
+    if x_ref is not None:
+        vals = vals * _vector_std(model, x_ref)
     pairs = sorted(zip(names, [float(v) for v in vals]), key=lambda t: -t[1])
     return pairs
 
@@ -246,102 +282,223 @@ def linear_attribution(model: FareModel, raw: DataFrame) -> DataFrame:
         .select("feature", "mean_abs_attr")
 
 
+def fit_boosted(train: DataFrame, variants: dict[str, dict], roles: Roles = FLIGHT_ROLES, keep: Sequence[str] = (), weight_col: str | None = None,
+                prepared: Prepared | None = None, held_out: int = 10) -> dict[str, TreeModel]:
+    """Boosted learners by name, grown in the same rounds over one binned table. One with
+    patience learns from all but one in ``held_out`` training rows (by their hash) and stops on
+    those; one without learns from all."""
+    pr = prepared or prepare(train, roles, keep, "ordinal", weight_col=weight_col)
+    cols = [*pr.features, pr.target]
+    x = pr.matrix(train).select(*cols, *([weight_col] if weight_col else []))
+    x = materialize(x.withColumn("_part", (hash_fold(cols, held_out) == 0).cast("int")))
+    fits = []
+    for name, settings in variants.items():
+        p = tree_params(settings, len(pr.features))
+        fits.append(B.Fit(name, p, (0,) if p.patience else (0, 1), (1,) if p.patience else ()))
+    return {f.name: pr.trees(core) for f, core in zip(fits, B.boost(x, pr.features, pr.target, fits, weight_col, "_part"))}
+
+
 def train_all(train: DataFrame, valid: DataFrame, names: Sequence[str] = tuple(REFERENCE_CONFIGS),
               which: str = "reference", roles: Roles = FLIGHT_ROLES, keep: Sequence[str] = ()) -> tuple[DataFrame, dict]:
-    """Fit every configuration, skip failures, time each fit and
-    evaluate on ``valid``. The feature matrix is built once per encoding
-    (ordinal codes for trees, one-hot for linear models) and cached; the
-    loop over learners is sequential, each fit distributed. Returns the
-    comparison table and the fitted models by name."""
+    """Fit every configuration, skip failures, time each fit and evaluate on ``valid``.
+
+    The features are built once per encoding. Boosted learners and the single tree grow in the
+    same rounds over one binned table (``seconds`` of each: until it was done, from their common
+    start); a learner with patience stops on a tenth of the training rows, never on ``valid``.
+    Returns the comparison table and the fitted models by name."""
     spark = train.sparkSession
-    prepared, mats = {}, {}
-    rows, models = [], {}
+    rows, models, took, errors = [], {}, {}, {}
+    families = {n: preset(n, which) for n in names}
+    trees = [n for n in names if families[n][0] != "linear"]
+    together = [n for n in trees if families[n][0] != "forest"]
+    if trees:
+        pr = prepare(train, roles, keep, "ordinal")
+
+        def boosted(chosen):
+            for n, m in fit_boosted(train, {n: families[n][1] for n in chosen}, roles, keep, prepared=pr).items():
+                models[n], took[n] = m, m.core.fitted.seconds
+        try:
+            if together:
+                boosted(together)
+        except Exception:                # find out which learner fails
+            for n in together:
+                try:
+                    boosted([n])
+                except Exception as e:
+                    errors[n] = str(e)
+    linear = None
     for name in names:
-        family, params = preset(name, which)
-        enc = "onehot" if family == "linear" else "ordinal"
+        family, params_of = families[name]
         t0 = time.time()
-        try:
-            if enc not in prepared:
-                prepared[enc] = prepare(train, roles, keep, enc)
-                mats[enc] = prepared[enc].matrix(train).persist()
-            pr, x = prepared[enc], mats[enc]
-            vcol = None
-            if name == "CatBoost":  # early stopping on a validation slice, not on the test rows
-                x = x.withColumn("_is_valid", hash_fold(["features", roles.target], 10) == 0)
-                vcol = "_is_valid"
-            m = fit_on(pr, x, name, params, validation_col=vcol)
-            scored = m.transform(valid)
-            met = regression_metrics(scored, roles.target, "prediction").first().asDict()
-        except Exception as e:  # a failing learner is reported, not fatal
+        try:                             # a failing learner is reported, not fatal
+            if name in errors:
+                raise RuntimeError(errors[name])
+            if family == "forest":
+                x = materialize(pr.matrix(train).select(*pr.features, pr.target))
+                models[name] = pr.trees(fit_forest(x, pr.features, pr.target, tree_params(params_of, len(pr.features)), params_of["trees"]))
+            elif family == "linear":
+                if linear is None:
+                    linear = prepare(train, roles, keep, "onehot")
+                    linear_x = linear.matrix(train).persist()
+                models[name] = fit_linear(linear, linear_x, name, params_of)
+            secs = took.get(name, time.time() - t0)
+            met = regression_metrics(models[name].transform(valid), roles.target, "prediction").first().asDict()
+            rows.append((name, family, met["r2"], met["mae"], met["rmse"], met["mape"], met["medae"],
+                         json.dumps({k: str(v) for k, v in params_of.items()}), secs, None, importances(models[name], valid)))
+        except Exception as e:
+            models.pop(name, None)
             rows.append((name, family, None, None, None, None, None, None, time.time() - t0, str(e), []))
-            continue
-        secs = time.time() - t0
-        models[name] = m
-        rows.append((name, family, met["r2"], met["mae"], met["rmse"], met["mape"], met["medae"],
-                     json.dumps({k: str(v) for k, v in params.items()}), secs, None, importances(m, valid)))
-    for x in mats.values():
-        x.unpersist()
+    if linear is not None:
+        linear_x.unpersist()
     schema = ("model string, family string, r2 double, mae double, rmse double, mape double, medae double, "
               "params string, seconds double, error string, importances array<struct<feature:string,importance:double>>")
     return spark.createDataFrame(rows, schema), models
 
 
-def random_search(train: DataFrame, test: DataFrame, trials: int = 30, folds: int = 3, seed: int = 42, idx_col: str = "row_idx",
-                  roles: Roles = FLIGHT_ROLES) -> DataFrame:
-    """``trials`` seeded parameter maps of the forest, each scored by walk-forward folds
-    over the time-ordered training rows (position ``idx_col``); the test rows are used once,
-    by the best map. Returns trial, params, mean and deviation of the folds' R², best,
-    test_r2 and test_mae (best trial only)."""
-    import random
+# The reference's two search spaces. A pair (low, high) of floats is a uniform
+# draw, of integers a draw without ``high``; a list is a choice.
+BOOSTING_SPACE = {"rounds": (100, 500), "depth": (3, 10), "rate": (0.01, 0.21), "rows": (0.6, 1.0), "columns": (0.5, 1.0), "min_child": (1, 10)}
+SYMMETRIC_SPACE = {"depth": [6, 7, 8, 9, 10], "rate": [0.01, 0.015, 0.02, 0.03, 0.05], "l2": [1, 3, 5, 7, 10], "noise": [0.5, 1, 2, 4],
+                   "temperature": [0, 0.5, 1, 2], "borders": [128, 254], "min_child": [1, 5, 10, 20]}
+
 
-    from faresight.operators.split import walk_forward_blocks
-    spark, rng = train.sparkSession, random.Random(seed)
+def draw(space: dict, trials: int, seed: int = 42) -> list[dict]:
+    """Seeded parameter maps of a search space."""
+    rng = random.Random(seed)
+
+    def one(v):
+        if isinstance(v, list):
+            return rng.choice(v)
+        return rng.uniform(*v) if isinstance(v[0], float) else rng.randrange(*v)
+    return [{k: one(v) for k, v in space.items()} for _ in range(trials)]
+
+
+_SEARCH = "trial int, params string, cv_r2 double, cv_std double, rounds int, best boolean, test_r2 double, test_mae double"
+
+
+def _best_on_test(pr: Prepared, rows: list, core, roles: Roles, test: DataFrame, best: list) -> DataFrame:
+    m = regression_metrics(pr.trees(core).transform(test), roles.target, "prediction", median=None).first()
+    best[5:] = [True, m["r2"], m["mae"]]
+    return test.sparkSession.createDataFrame([tuple(r) for r in rows], _SEARCH)
+
+
+def random_search(train: DataFrame, test: DataFrame, trials: int = 30, folds: int = 3, space: dict | None = None, seed: int = 42,
+                  idx_col: str = "row_idx", roles: Roles = FLIGHT_ROLES, together: int = 30) -> DataFrame:
+    """``trials`` seeded parameter maps of boosted trees, each scored by walk-forward folds
+    over the time-ordered training rows (position ``idx_col``); the test rows are used once, by
+    the best map, fitted on all training rows. The fits of ``together`` maps share their rounds.
+    Returns trial, params, mean and deviation of the folds' R², rounds, best, test_r2 and
+    test_mae (best trial only)."""
+    maps = draw(space or BOOSTING_SPACE, trials, seed)
     blocks = walk_forward_blocks(train, train.count(), folds, idx_col)
     pr = prepare(blocks.where(F.col("block") < 0).drop("block"), roles, keep=[idx_col])
-    x = pr.matrix(train).join(blocks.select(idx_col, "block"), idx_col).persist()
+    x = materialize(pr.matrix(blocks.drop("block")).select(*pr.features, pr.target, idx_col).join(blocks.select(idx_col, (F.col("block") + 1).alias("_part")), idx_col))
+    binning = B.fit_binning(x.where("_part = 0"), pr.features)
+    table = B.row_blocks(x, binning, pr.target, part="_part")
+    moments = {r["_part"]: r["v"] for r in x.groupBy("_part").agg(F.var_pop(pr.target).alias("v")).collect()}      # one row per fold
     rows = []
-    for t in range(trials):
-        p = {"numTrees": rng.choice([10, 20, 40]), "maxDepth": rng.choice([4, 6, 8]),
-             "minInstancesPerNode": rng.choice([1, 2, 5]), "featureSubsetStrategy": "sqrt", "seed": seed}
-        r2 = []
-        for k in range(folds):
-            fitted = make_regressor("RandomForest", p, pr.target).fit(x.where(F.col("block") < k))
-            held = fitted.transform(x.where(F.col("block") == k))
-            r2.append(regression_metrics(held, roles.target, "prediction", median=None).first()["r2"])
-        rows.append([t, json.dumps(p), float(np.mean(r2)), float(np.std(r2)), False, None, None])
+    for lo in range(0, trials, together):
+        part = maps[lo:lo + together]
+        fits = [B.Fit(f"{lo + t}", TreeParams(seed=seed, **p), tuple(range(k + 1)), (k + 1,)) for t, p in enumerate(part) for k in range(folds)]
+        done = B.fit_all(table, binning.sizes, fits)
+        for t, p in enumerate(part):
+            # the loss of all rounds, not of the best one: the fold is for comparing maps
+            r2 = [1.0 - done[t * folds + k].losses[-1] / moments[k + 1] for k in range(folds)]
+            rows.append([lo + t, json.dumps(p), float(np.mean(r2)), float(np.std(r2)), p["rounds"], False, None, None])
     best = max(rows, key=lambda r: (r[2], -r[0]))
-    final = pr.model(make_regressor("RandomForest", json.loads(best[1]), pr.target).fit(x))
-    m = regression_metrics(final.transform(test), roles.target, "prediction", median=None).first()
-    best[4:] = [True, m["r2"], m["mae"]]
-    x.unpersist()
-    return spark.createDataFrame([tuple(r) for r in rows],
-                                 "trial int, params string, cv_r2 double, cv_std double, best boolean, test_r2 double, test_mae double")
-
-
-def per_stratum_models(train: DataFrame, test: DataFrame, stratum: str, name: str = "RandomForest",
-                       which: str = "reference", log_target: bool = False, roles: Roles = FLIGHT_ROLES,
-                       max_strata: int = 64) -> DataFrame:
-    """L9 (+E11): one model per stratum value (a bounded domain such as class),
-    optionally on log1p(target); predictions unioned."""
-    values = [r[0] for r in train.select(stratum).distinct().limit(max_strata + 1).collect()]
-    if len(values) > max_strata:
-        raise ValueError(f"{stratum} has more than {max_strata} values; one model each is not meant for that")
-    outs = []
-    for v in sorted(x for x in values if x is not None):
-        tr, te = train.where(F.col(stratum) == v), test.where(F.col(stratum) == v)
-        target = roles.target
-        if log_target:
-            tr = tr.withColumn("_log_target", F.log1p(target))
-            m = fit_model(tr, name, preset(name, which)[1], roles, keep=["_log_target"], target="_log_target")
-            p = m.transform(te).withColumn("prediction", F.expm1("prediction"))
-        else:
-            m = fit_model(tr, name, preset(name, which)[1], roles)
-            p = m.transform(te)
-        outs.append(p.select(F.lit(v).alias("stratum"), target, "prediction"))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
+    core = B.boost(x, pr.features, pr.target, [B.Fit("best", TreeParams(seed=seed, **maps[best[0]]), tuple(range(folds + 1)))], part="_part")[0]
+    return _best_on_test(pr, rows, core, roles, test, best)
+
+
+def patience_search(train: DataFrame, test: DataFrame, trials: int = 40, space: dict | None = None, rounds: int = 2000, patience: int = 100,
+                    final_rounds: int = 3000, seed: int = 42, idx_col: str = "row_idx", roles: Roles = FLIGHT_ROLES, together: int = 40) -> DataFrame:
+    """L8, second search: ``trials`` maps of symmetric trees, each fitted on the first 80 % of
+    the time-ordered training rows and stopped on the last 20 %, whose R² ranks the maps; the
+    best map is fitted on all training rows with the number of rounds that it had, scaled up by
+    a quarter like its rows, and scored once on the test rows."""
+    maps = draw(space or SYMMETRIC_SPACE, trials, seed)
+    n = train.count()
+    tagged = train.withColumn("_part", (F.col(idx_col) >= int(n * 0.8)).cast("int"))
+    pr = prepare(tagged.where("_part = 0").drop("_part"), roles, keep=[idx_col])
+    x = materialize(pr.matrix(train).select(*pr.features, pr.target, idx_col).join(tagged.select(idx_col, "_part"), idx_col))
+    variance = x.where("_part = 1").agg(F.var_pop(pr.target)).first()[0]
+    rows = []
+    for borders in sorted({p["borders"] for p in maps}):
+        binning = B.fit_binning(x.where("_part = 0"), pr.features, min(borders, B.MAX_EDGES))
+        table = B.row_blocks(x, binning, pr.target, part="_part")
+        chosen = [t for t, p in enumerate(maps) if p["borders"] == borders]
+        for lo in range(0, len(chosen), together):
+            part = chosen[lo:lo + together]
+            fits = [B.Fit(str(t), TreeParams(rounds=rounds, symmetric=True, patience=patience, seed=seed, **{k: v for k, v in maps[t].items() if k != "borders"}), (0,), (1,)) for t in part]
+            for t, d in zip(part, B.fit_all(table, binning.sizes, fits)):
+                rows.append([t, json.dumps(maps[t]), 1.0 - min(d.losses) / variance, 0.0, d.rounds, False, None, None])
+    rows.sort()
+    best = max(rows, key=lambda r: (r[2], -r[0]))
+    p = maps[best[0]]
+    fit = B.Fit("best", TreeParams(rounds=max(1, min(final_rounds, best[4] * 5 // 4)), symmetric=True, seed=seed, **{k: v for k, v in p.items() if k != "borders"}), (0, 1))
+    core = B.boost(x, pr.features, pr.target, [fit], part="_part", max_edges=min(p["borders"], B.MAX_EDGES))[0]
+    return _best_on_test(pr, rows, core, roles, test, best)
+
+
+def per_stratum_models(train: DataFrame, test: DataFrame, stratum: str, params: TreeParams, log_strata: Sequence[str] = (),
+                       roles: Roles = FLIGHT_ROLES, valid_share: int = 0) -> DataFrame:
+    """L9 (+E11): one model per value of ``stratum``, any number of them, in one grouped fit:
+    every row belongs to the fit of its stratum alone. Strata in ``log_strata`` learn log1p of
+    the target. ``valid_share``: one in so many training rows is kept for stopping by patience.
+    Returns stratum, target and prediction of the test rows whose stratum was trained on.
+
+    The driver holds the models (strata × rounds × leaves); rows without stratum are left out."""
+    spark = train.sparkSession
+    y = roles.target
+    log = F.col(stratum).isin(list(log_strata)) if log_strata else F.lit(False)
+    pr = prepare(train, roles, keep=() if stratum in roles.cat else (stratum,))
+    names = [r[0] for r in train.where(F.col(stratum).isNotNull()).select(stratum).distinct().orderBy(stratum).collect()]     # one row per model
+    codes = spark.createDataFrame([(n, i) for i, n in enumerate(names)], f"_stratum {train.schema[stratum].dataType.simpleString()}, _code int")
+    held = (hash_fold([*pr.features, y], valid_share) == 0).cast("int") if valid_share else F.lit(0)
+
+    def rows(df, part):
+        x = pr.matrix(df).join(F.broadcast(codes), F.col(stratum) == F.col("_stratum"))      # one row per model
+        return x.withColumn("_learn", F.when(log, F.log1p(y)).otherwise(F.col(y))).withColumn("_part", part)
+    x = materialize(rows(train, F.col("_code") * 2 + held).select(*pr.features, "_learn", "_part"))
+    fits = [B.Fit(str(n), params, (2 * i,), (2 * i + 1,) if valid_share else ()) for i, n in enumerate(names)]
+    models = B.boost(x, pr.features, "_learn", fits, part="_part", disjoint=True)
+    scored = B.transform_by(models, rows(test, F.col("_code")), "_part", [stratum, y])
+    return scored.select(F.col(stratum).alias("stratum"), y, F.when(log, F.expm1("prediction")).otherwise(F.col("prediction")).alias("prediction"))
+
+
+def two_stage_predictions(train: DataFrame, test: DataFrame, stage: str, params: dict, folds: int = 5, idx_col: str = "row_idx",
+                          roles: Roles = FLIGHT_ROLES) -> DataFrame:
+    """Predict a column that is not known in time, then use the prediction as a feature.
+
+    The first stage is fitted on all training rows and once without each fold, all in the same
+    rounds; the second stage in four variants, together again: with the actual column, with its
+    in-sample prediction, with its out-of-fold prediction, without. At test time there is only
+    the prediction. One in ten rows of what a fit learns from is kept to stop it by patience.
+    Returns ``idx_col``, target and one prediction column per variant for the test rows."""
+    y = roles.target
+    pr = prepare(train, roles, keep=[idx_col, stage])
+    p = tree_params(params, len(pr.features))
+    part = (F.col("_fold") * 2 + (hash_fold([idx_col], 10, seed=7) == 0).cast("int")).alias("_part")
+    x = pr.matrix(train).select(*pr.features, y, stage, idx_col).withColumn("_fold", hash_fold([idx_col], folds))
+    x = materialize(x.select("*", part))
+    fits = [B.Fit("all", p, tuple(2 * k for k in range(folds)), tuple(2 * k + 1 for k in range(folds)))]
+    fits += [B.Fit(str(k), p, tuple(2 * j for j in range(folds) if j != k), tuple(2 * j + 1 for j in range(folds) if j != k)) for k in range(folds)]
+    whole, *without = B.boost(x, pr.features, stage, fits, part="_part")
+    keep = [*pr.features, y, idx_col]
+    known = whole.transform(x, [*keep, "_fold", "_part", stage], "predicted")
+    oof = B.transform_by(without, x, "_fold", [idx_col], "out_of_fold")
+    second = materialize(known.join(oof, idx_col).select(*keep, F.col(stage).alias("actual"), "predicted", "out_of_fold", (F.col("_part") % 2).alias("_part")))
+    variants = ("actual", "predicted", "out_of_fold", "none")
+    n = len(pr.features)
+    fits = [B.Fit(v, p, (0,), (1,), tuple(range(n)) + ((n + i,) if v != "none" else ())) for i, v in enumerate(variants)]
+    models = B.boost(second, [*pr.features, *variants[:3]], y, fits, part="_part")
+    out = whole.transform(pr.matrix(test), keep, "actual").withColumn("predicted", F.col("actual")).withColumn("out_of_fold", F.col("actual"))
+    inputs = [*pr.features, *variants[:3]]
+    kept = [idx_col, y]
+    for v, m in zip(variants, models):
+        out = m.transform(out, [*dict.fromkeys([*inputs, *kept])], f"by_{v}")
+        kept.append(f"by_{v}")
+    return out.select(*kept)
 
 
 def nonnegative_blend_weights(df: DataFrame, y: str, preds: Sequence[str]) -> list[float]:

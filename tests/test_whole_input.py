@@ -109,9 +109,3 @@ def test_run_ids_are_stable_and_versions_count_on(spark, tmp_path):
     TR.set_alias(spark, base, "m", "production", 2)
     got = TR.resolve_version(spark.read.parquet(f"{base}/versions"), spark.read.parquet(f"{base}/aliases"), "m").first()
     assert (got["version"], got["source"]) == (2, "alias")
-
-
-def test_strata_are_bounded(spark):
-    df = spark.range(100).select(F.col("id").cast("string").alias("k"))
-    with pytest.raises(ValueError):
-        MD.per_stratum_models(df, df, "k")
