@@ -22,16 +22,19 @@ NGRAMS = (2, 3, 4)
 
 
 def features(data: np.ndarray, off: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of documents and their offsets: every word, its shape (letter case,
-    digits and symbols), pairs of equal neighbours, and every character n-gram (of bytes)
-    inside a word with its borders. Case is kept."""
+    """Hashed features of documents and their offsets: every word, every pair of neighbouring
+    words in their order, whether a word repeats the one before it, and every character n-gram
+    (2 to 4 bytes) inside a word. Case is kept."""
     start, end, h, wo = X.words(data, off, lower=False)
     n = len(off) - 1
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
     doc = np.repeat(np.arange(n), np.diff(wo))
     parts, docs = [h], [doc]
-    same = np.flatnonzero((h[1:] == h[:-1]) & (doc[1:] == doc[:-1]))
+    pair = np.flatnonzero(doc[1:] == doc[:-1])
+    parts.append(X.mix(h[pair] * np.uint64(0x9E3779B97F4A7C15) + h[pair + 1]))
+    docs.append(doc[pair])
+    same = pair[h[pair + 1] == h[pair]]
     parts.append(np.full(len(same), 0xA5A5A5A5A5, np.uint64))
     docs.append(doc[same])
     a = data[off[0]:off[-1]].astype(np.uint64)

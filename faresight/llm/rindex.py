@@ -345,7 +345,7 @@ def _pieces(text: bytes, spans) -> tuple[bytes, list[tuple[int, int]]]:
 
 
 def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of ``docs``.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept (bytes left) of every row.
 
     A null text counts as empty. Overlaps count, matches never cross documents, rows of equal
     or null doc_id are documents of their own, strings are judged on the input. Texts shorter
@@ -359,13 +359,13 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             rows = []
             for i in range(batch.num_rows):
                 kept, gone = _pieces(data[off[i]:off[i + 1]].tobytes(), spans[i])
-                rows.append((int(off[i + 1] - off[i]), sum(e - s for s, e in gone), len(gone), hashlib.sha256(kept).hexdigest()))
-            c = list(zip(*rows)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(v, t) for v, t in zip(c, (pa.int64(), pa.int64(), pa.int64(), pa.string()))]],
-                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                rows.append((int(off[i + 1] - off[i]), sum(e - s for s, e in gone), len(gone), hashlib.sha256(kept).hexdigest(), len(kept)))
+            c = list(zip(*rows)) or [(), (), (), (), ()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(v, t) for v, t in zip(c, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()))]],
+                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept"])
 
     return _with_spans(d, repeated_spans(d, length), "doc_id", "text").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:

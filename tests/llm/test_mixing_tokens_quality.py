@@ -123,6 +123,48 @@ def test_quality_on_held_out_rows(spark):
     assert ((r.score >= 0.7) == (r.predicted == 1)).all() and r.score.between(0, 1).all()
 
 
+def test_quality_learns_word_order(spark):
+    """The same words in both classes, in another order."""
+    docs, labels = [], []
+    for i in range(1200):
+        w = sentence(i, 30).split(" ")
+        for at in (5, 12, 20):
+            w[at:at + 2] = ["north", "wind"] if i % 2 else ["wind", "north"]
+        docs.append((i, " ".join(w)))
+        labels.append((i, i % 2))
+    r = Q.classify(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int")).toPandas().sort_values("doc_id")
+    held = r[r.held_out]
+    assert ((held.score > 0.5) == (held.doc_id % 2 == 1)).mean() > 0.95
+
+
+def test_quality_score_from_the_definition(spark, edge_docs):
+    """Each score recomputed one feature at a time from the learned arrays."""
+    rng = np.random.default_rng(3)
+    add, bias = rng.normal(size=Q.BUCKETS), 0.25
+    got = sorted(((r.doc_id is None, r.doc_id or 0, round(r.score, 9)) for r in Q.score(edge_docs, (add, bias), ["doc_id"]).collect()))
+
+    def one(word):
+        return Q.X.words(np.frombuffer(word, np.uint8), np.array([0, len(word)]), lower=False)[2]
+    want = []
+    for i, text in edge_texts():
+        ws = __import__("re").findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+        known = {w: one(w) for w in set(ws)}
+        ids = [known[w] for w in ws]
+        for a, b in zip(ws, ws[1:]):
+            ids.append(Q.X.mix(known[a] * np.uint64(0x9E3779B97F4A7C15) + known[b]))
+            if a == b:
+                ids.append(np.array([0xA5A5A5A5A5], np.uint64))
+        grams = __import__("collections").Counter(w[j:j + k] for w in ws for k in Q.NGRAMS for j in range(len(w) - k + 1))
+        total, n = sum(add[int(x[0] % np.uint64(Q.BUCKETS))] for x in ids), len(ids)
+        for gram, c in grams.items():
+            x = len(gram)
+            for b in gram:
+                x = (x * 0x100000001B3 + b) % 2**64
+            total, n = total + c * add[int(Q.X.mix(np.array([x], np.uint64))[0] % np.uint64(Q.BUCKETS))], n + c
+        want.append((i is None, i or 0, round(float(1 / (1 + np.exp(-(bias + total / max(n, 1))))), 9)))
+    assert got == sorted(want)
+
+
 def test_quality_does_not_see_held_out_labels(spark, sf_dir):
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lab = spark.read.parquet(f"{sf_dir}/labels.parquet")

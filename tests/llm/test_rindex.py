@@ -93,3 +93,27 @@ def test_remove_repeats_keeps_columns(edge_docs):
 
 def test_empty(no_docs):
     assert R.digest(no_docs).count() == 0 and R.remove_repeats(no_docs).count() == 0
+
+
+def test_planted_passages_by_length(spark):
+    """Passages of 51 to 90 words, each in two to twelve documents: those of 400 bytes and more
+    are removed wherever they stand, shorter ones are below the contract's length and stay."""
+    r = random.Random(8)
+    rows, planted = [], []
+    for k in range(40):
+        passage = " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 11))) for _ in range(51 + k))
+        planted.append(passage)
+        for _ in range(2 + k % 11):
+            rows.append((len(rows), sentence(5000 + len(rows), r.randint(5, 60)) + "\n" + passage + "\n" + sentence(9000 + len(rows), r.randint(5, 60))))
+    rows += [(len(rows) + i, sentence(20_000 + i, 120)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check(df, rows, 400)
+    long_ones = [p for p in planted if len(p) >= 400]
+    assert 5 < len(long_ones) < len(planted)
+    out = {x.doc_id: x for x in R.digest(df, 400).collect()}
+    left = {x.doc_id: x.text for x in R.remove_repeats(df, 400).collect()}
+    for i, text in rows:
+        p = next((p for p in planted if p in text), None)
+        caught = p is not None and len(p) >= 400
+        assert (p is not None and p not in left[i]) == caught and out[i].n_kept == out[i].n_bytes - out[i].n_removed == len(left[i].encode())
+        assert (out[i].n_removed >= len(p)) if caught else out[i].n_removed == 0

@@ -78,9 +78,9 @@ def test_empty(spark):
 def brute_top(rows, every, k):
     good = [(i, [math.floor(1024 * x) for x in v]) for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i, q in good:
+    for n, (i, q) in enumerate(good):
         if i % every == 0:
-            best = sorted(((-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i))[:k]
+            best = sorted((-sum(a * b for a, b in zip(q, v)), j) for m, (j, v) in enumerate(good) if m != n)[:k]
             out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
     return sorted(out)
 
@@ -89,11 +89,21 @@ def brute_top(rows, every, k):
 def test_search_matches_brute_force(spark, monkeypatch, shard, queries):
     monkeypatch.setattr(S, "SHARD", shard)
     monkeypatch.setattr(S, "QUERIES", queries)
-    rows = [r for r in vectors(seed=3) if r[0] not in (2009, 2010) and r[0] != 7] + [(3000 + i, [0.25] * 12, 0) for i in range(30)]
+    rows = [r for r in vectors(seed=3) if r[0] not in (2009, 2010)] + [(3000 + i, [0.25] * 12, 0) for i in range(30)]
+    rows += [r for r in rows if r[0] in (20, 21, 40)] + [(20, [0.5] * 12, 0), (60, rows[5][1], 1), (61, rows[5][1], 1)]     # repeated rows, ids of several vectors
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in S.search(frame(spark, rows), every=20, k=10).collect())
     assert got == brute_top(rows, 20, 10)
 
 
+def test_repeated_rows_are_vectors_of_their_own(spark):
+    rows = [(100, [1.0, 0.0], 0), (100, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [0.25, 0.5], 0)]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in S.search(frame(spark, rows)).collect())
+    assert got == sorted([(100, 1, 100, 1048576), (100, 2, 1, 524288), (100, 3, 2, 262144)] * 2)
+    two = [(100, [1.0, 0.0], 0), (100, [0.0, 1.0], 0), (1, [0.5, 0.25], 0)]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in S.search(frame(spark, two)).collect())
+    assert got == sorted([(100, 1, 1, 524288), (100, 2, 100, 0), (100, 1, 1, 262144), (100, 2, 100, 0)])
+
+
 def test_few_candidates(spark):
     rows = [(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [0.5, 0.5], 0)]
     assert [tuple(r) for r in S.search(frame(spark, rows)).orderBy("rank").collect()] == [(0, 1, 1, 524288), (0, 2, 2, 524288)]
