@@ -3,8 +3,8 @@
 Each is a ``pyspark.ml`` Estimator whose ``fit`` aggregates the training
 frame into a small state table (value → statistic), checkpointed, and whose
 Model applies it by an equi-join. The join broadcasts the state only when
-its row count, measured at fit time, is under a bound; otherwise it is a
-shuffle join. Nothing is collected to the driver except per-column
+its bytes, measured at fit time, fit a bound together with the other states
+of the transformation; otherwise it is a shuffle join. Nothing is collected to the driver except per-column
 scalars (means, deviations) whose number is the number of columns.
 """
 
@@ -24,25 +24,31 @@ from faresight.operators.profile import relative_frequency, scalars, unpivot
 from faresight.operators.split import hash_fold
 from faresight.session import materialize
 
-STATE_BROADCAST_ROWS = 1_000_000
+# The states that one transformation broadcasts have at most this many bytes together.
+STATE_BROADCAST_BYTES = 128 << 20
 
 
 def _sizes(state: DataFrame) -> dict[str, int]:
-    # one row per encoded column: bounded by the number of columns
-    return {r["column"]: r["n"] for r in state.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Bytes of each column's state: its text and 32 a row. One row per encoded column."""
+    n = F.sum(F.coalesce(F.octet_length("value"), F.lit(0)) + 32)
+    return {r["column"]: r["n"] for r in state.groupBy("column").agg(n.alias("n")).collect()}
 
 
-def _lookup(state: DataFrame, col: str, value_cols: dict[str, str], n_rows: int) -> DataFrame:
+def _lookup(state: DataFrame, col: str, value_cols: dict[str, str], small: bool) -> DataFrame:
     lk = state.where(F.col("column") == col).select(F.col("value").alias("_v"),
                                                       *[F.col(s).alias(o) for s, o in value_cols.items()])
-    return F.broadcast(lk) if n_rows <= STATE_BROADCAST_ROWS else lk
+    return F.broadcast(lk) if small else lk
 
 
 def _apply(df: DataFrame, state: DataFrame, sizes: dict, cols: Sequence[str], value_cols_fn, fill_fn) -> DataFrame:
-    out = df
+    out, small, left = df, set(), STATE_BROADCAST_BYTES
+    for c in sorted(cols, key=lambda c: sizes.get(c, 0)):       # the smallest first, while they fit together
+        left -= sizes.get(c, 0)
+        if left >= 0:
+            small.add(c)
     for c in cols:
         vc = value_cols_fn(c)
-        lk = _lookup(state, c, vc, sizes.get(c, 0))
+        lk = _lookup(state, c, vc, c in small)
         out = out.join(lk, out[c].cast("string").eqNullSafe(lk["_v"]), "left").drop("_v")
         out = out.withColumns({o: fill_fn(c, o) for o in vc.values()})
     return out

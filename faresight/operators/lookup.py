@@ -5,30 +5,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faresight.functions.scalar import cut_codes_array
 from faresight.operators.prefix import exact_quantiles, prefix_sums
 from faresight.operators.profile import scalars
 from faresight.session import materialize
 
-# Fitted lookups up to this many rows (a few key columns and a value) are broadcast.
-LOOKUP_BROADCAST_ROWS = 1_000_000
+# A fitted lookup of at most this many bytes is broadcast (an executor holds it once per join of
+# the plan: the ceiling test, the plan with most of them, joins eight).
+LOOKUP_BROADCAST_BYTES = 32 << 20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row as a joined side holds it: 16 a column and the text of its strings."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    return sum(texts, F.lit(16 * len(df.columns)))
 
 
 def fit_lookup(lookup: DataFrame) -> tuple[DataFrame, int]:
-    """Materialise a fitted lookup (an aggregate of the training side) once
-    in the checkpoint folder and count it from there: joins then read the
-    stored table, and the size check costs no recomputation."""
+    """Materialise a fitted lookup (an aggregate of the training side) once in the checkpoint
+    folder and add up its bytes from there: joins then read the stored table, and the size
+    check costs no recomputation."""
     ck = materialize(lookup)
-    return ck, ck.count()
+    return ck, int(ck.agg(F.sum(row_bytes(ck))).first()[0] or 0)
 
 
-def join_fitted(df: DataFrame, lookup: DataFrame, n_rows: int, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join with a fitted lookup: broadcast when its counted size is within
-    ``LOOKUP_BROADCAST_ROWS`` (the probe side is never shuffled), a shuffle
+def join_fitted(df: DataFrame, lookup: DataFrame, n_bytes: int, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join with a fitted lookup: broadcast when its measured size is within
+    ``LOOKUP_BROADCAST_BYTES`` (the probe side is never shuffled), a shuffle
     join with AQE skew splitting beyond."""
-    side = F.broadcast(lookup) if n_rows <= LOOKUP_BROADCAST_ROWS else lookup
+    side = F.broadcast(lookup) if n_bytes <= LOOKUP_BROADCAST_BYTES else lookup
     return df.join(side, list(keys), how)
 
 
@@ -47,11 +54,11 @@ def fit_group_mean(train: DataFrame, keys: Sequence[str], target: str, out: str
     return train.where(cond).groupBy(*keys).agg(F.avg(target).alias(out))
 
 def apply_group_mean(test: DataFrame, lookup: DataFrame, keys: Sequence[str], global_mean: float,
-                     out: str = "prediction", lookup_col: str = "_pred", n_rows: int | None = None) -> DataFrame:
+                     out: str = "prediction", lookup_col: str = "_pred", n_bytes: int | None = None) -> DataFrame:
     """Left join, ``matched`` flag, missing → global train mean."""
-    if n_rows is None:
-        lookup, n_rows = fit_lookup(lookup)
-    j = join_fitted(test, lookup, n_rows, keys)
+    if n_bytes is None:
+        lookup, n_bytes = fit_lookup(lookup)
+    j = join_fitted(test, lookup, n_bytes, keys)
     return (j.withColumn("matched", F.col(lookup_col).isNotNull())
              .withColumn(out, F.coalesce(F.col(lookup_col), F.lit(global_mean))).drop(lookup_col))
 
@@ -80,18 +87,18 @@ def fit_nested_group_means(train: DataFrame, keys: Sequence[str], target: str, l
         cond = c if cond is None else cond | c
     gm_gid = (1 << k) - 1
     table = materialize(agg.where(cond | (F.col("_gid") == gm_gid)))
-    sizes = {want[r["_gid"]]: r["n"] for r in table.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = {want[r["_gid"]]: r["n"] for r in table.groupBy("_gid").agg(F.sum(row_bytes(table)).alias("n")).collect()
              if r["_gid"] in want}  # one row per level
     gm = table.where(F.col("_gid") == gm_gid).select("_pred").first()
     return table, {lv: sizes.get(lv, 0) for lv in levels}, (gm[0] if gm else None)
 
 
-def apply_nested_level(test: DataFrame, table: DataFrame, keys: Sequence[str], level: int, n_rows: int,
+def apply_nested_level(test: DataFrame, table: DataFrame, keys: Sequence[str], level: int, n_bytes: int,
                        global_mean: float, out: str = "prediction") -> DataFrame:
     """Score ``test`` with the level-``level`` lookup of ``fit_nested_group_means``."""
     k = len(keys)
     lk = table.where(F.col("_gid") == (1 << (k - level)) - 1).select(*keys[:level], "_pred")
-    return apply_group_mean(test, lk, list(keys[:level]), global_mean, out, n_rows=n_rows)
+    return apply_group_mean(test, lk, list(keys[:level]), global_mean, out, n_bytes=n_bytes)
 
 
 def fit_frequency(train: DataFrame, col: str) -> DataFrame:

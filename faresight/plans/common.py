@@ -4,10 +4,13 @@ test set scored by the train group mean of (class, destination)."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from faresight.operators.lookup import group_mean_predictor
 from faresight.operators.split import temporal_split
+from faresight.roles import ENGINEERED_CAT, FLIGHT_ROLES
 from faresight.session import materialize
 from faresight.sources.flights import flights
 
@@ -28,6 +31,29 @@ def staged_flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame
     return materialize(flights(spark, sf_dir).select(*columns))
 
 
+# The features of the fitted model: 12 categorical, 15 built numeric and 4 frequency columns.
+FEATURE_CAT = ENGINEERED_CAT
+FEATURE_NUM = ("duration_hrs", "days_before", "month", "day_of_week", "hour", "month_sin", "month_cos", "hour_sin", "hour_cos",
+               "is_weekend", "is_peak", "log_duration", "duration_sq", "log_days_before", "is_direct")
+FEATURE_FREQ = tuple(f"{c}_freq" for c in FLIGHT_ROLES.freq)
+
+
+def sql_features(src: str, extra: str = "row_idx, split, total_fare") -> str:
+    """SELECT of the built features (E1, not rounded) from a CTE of flights."""
+    from faresight.plans.q_profile import E1_SQL
+    body = re.sub(r"round\((.*?), 6\) AS", r"\1 AS", E1_SQL[E1_SQL.rindex("SELECT airline, source, destination"):])
+    return body.replace("SELECT airline,", f"SELECT {extra}, airline,", 1).replace("FROM flights", f"FROM {src}")
+
+
+def sql_feature_ctes(name: str = "fe") -> tuple[str, ...]:
+    """CTEs of all features of both splits, the frequencies fitted on train."""
+    freq = [f"""fq_{c} AS (SELECT {c} AS v, count(*) / (SELECT count({c}) FROM {name}0 WHERE split = 'train') AS f FROM {name}0
+  WHERE split = 'train' AND {c} IS NOT NULL GROUP BY 1)""" for c in FLIGHT_ROLES.freq]
+    cols = ", ".join(f"coalesce(fq_{c}.f, 0.0) AS {c}_freq" for c in FLIGHT_ROLES.freq)
+    joins = " ".join(f"LEFT JOIN fq_{c} ON fq_{c}.v = b.{c}" for c in FLIGHT_ROLES.freq)
+    return f"{name}0 AS ({sql_features('splitf')})", *freq, f"{name} AS (SELECT b.*, {cols} FROM {name}0 b {joins})"
+
+
 def split_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temporal_split(flights(spark, sf_dir), "departure", TEST_SIZE, TIEBREAK)
 

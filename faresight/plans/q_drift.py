@@ -7,38 +7,27 @@ from pyspark.sql import functions as F
 
 from faresight.operators import drift as DR
 from faresight.operators import lookup as LK
+from faresight.operators.encode import FrequencyEncoder
 from faresight.operators.features import engineer_features
-from faresight.plans.common import SPLIT_CTES, sql_group_mean_scored, split_flights
+from faresight.plans.common import FEATURE_CAT, FEATURE_FREQ, FEATURE_NUM, SPLIT_CTES, sql_feature_ctes, sql_group_mean_scored, split_flights
 from faresight.plans.registry import register, rnd
+from faresight.roles import FLIGHT_ROLES
+from faresight.session import materialize
 from faresight.sources.flights import with_flights
 
-NUM = ("duration_hrs", "days_before", "month", "day_of_week")
-CAT = ("airline", "destination", "travel_class", "booking_window", "haul_type")
+NUM, CAT = FEATURE_NUM + FEATURE_FREQ, FEATURE_CAT
 Y = "total_fare"
 
 
 def _sides(spark, sf_dir, split=None):
     s = split if split is not None else split_flights(spark, sf_dir)
     s = engineer_features(s, keep=["split", "row_idx", Y])
+    freq = FrequencyEncoder(list(FLIGHT_ROLES.freq)).fit(s.where(F.col("split") == "train"))
+    s = materialize(freq.transform(s).select("split", *NUM, *CAT))
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
-_FE_SQL = {
-    "duration_hrs": "duration_hrs", "days_before": "days_before", "month": "month(departure)",
-    "day_of_week": "isodow(departure) - 1", "airline": "airline", "destination": "destination",
-    "travel_class": "travel_class",
-    "booking_window": """CASE WHEN greatest(days_before, 0) > -1 AND greatest(days_before, 0) <= 3 THEN 'last_min'
-       WHEN greatest(days_before, 0) > 3 AND greatest(days_before, 0) <= 7 THEN '3_7d'
-       WHEN greatest(days_before, 0) > 7 AND greatest(days_before, 0) <= 14 THEN '1_2wk'
-       WHEN greatest(days_before, 0) > 14 AND greatest(days_before, 0) <= 30 THEN '2_4wk'
-       WHEN greatest(days_before, 0) > 30 AND greatest(days_before, 0) <= 60 THEN '1_2mo'
-       WHEN greatest(days_before, 0) > 60 AND greatest(days_before, 0) <= 999 THEN '2mo_plus' ELSE 'nan' END""",
-    "haul_type": """CASE WHEN greatest(duration_hrs, 0) > -1 AND greatest(duration_hrs, 0) <= 2 THEN 'short'
-       WHEN greatest(duration_hrs, 0) > 2 AND greatest(duration_hrs, 0) <= 5 THEN 'medium'
-       WHEN greatest(duration_hrs, 0) > 5 AND greatest(duration_hrs, 0) <= 10 THEN 'long'
-       WHEN greatest(duration_hrs, 0) > 10 AND greatest(duration_hrs, 0) <= 999 THEN 'ultra_long' ELSE 'nan' END""",
-}
-_FE_CTE = ("fe AS (SELECT split, " + ", ".join(f"{e} AS {c}" for c, e in _FE_SQL.items()) + " FROM splitf)")
+FE_CTES = sql_feature_ctes()
 
 
 def _sql_numeric(c: str) -> str:
@@ -46,7 +35,7 @@ def _sql_numeric(c: str) -> str:
     return f"""SELECT '{c}' AS feature, CAST(nr AS BIGINT) AS n_ref, CAST(nc AS BIGINT) AS n_cur, round(d, 6) AS ks_d,
   round({DR.sql_kolmogorov_sf(lam)}, 6) AS ks_p, round(w, 6) AS wasserstein FROM (
   SELECT max(nr) AS nr, max(nc) AS nc, max(abs(fr - fc)) AS d,
-    coalesce(sum(abs(fr - fc) * (nv - v)), 0.0) / (SELECT stddev_pop(CAST({c} AS DOUBLE)) FROM fe WHERE split = 'train')
+    coalesce(sum(abs(fr - fc) * (nv - v)), 0.0) / (SELECT CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) > 0 THEN stddev_pop(CAST({c} AS DOUBLE)) ELSE 1.0 END FROM fe WHERE split = 'train')
       AS w
   FROM (SELECT v, sum(r) OVER (ORDER BY v) / sum(r) OVER () AS fr, sum(c) OVER (ORDER BY v) / sum(c) OVER () AS fc,
                lead(v) OVER (ORDER BY v) AS nv, sum(r) OVER () AS nr, sum(c) OVER () AS nc
@@ -55,7 +44,7 @@ def _sql_numeric(c: str) -> str:
               FROM fe WHERE {c} IS NOT NULL GROUP BY 1)))"""
 
 
-@register("m1_numeric_drift", with_flights("\nUNION ALL\n".join(_sql_numeric(c) for c in NUM), *SPLIT_CTES[:2], _FE_CTE))
+@register("m1_numeric_drift", with_flights("\nUNION ALL\n".join(_sql_numeric(c) for c in NUM), *SPLIT_CTES[:2], *FE_CTES))
 def m1_numeric_drift(spark, sf_dir):
     ref, cur = _sides(spark, sf_dir)
     d = DR.numeric_drift(ref, cur, list(NUM))
@@ -77,7 +66,7 @@ FROM (SELECT r, c, r / sum(r) OVER () AS p, c / sum(c) OVER () AS q, sum(c) OVER
 
 
 @register("m1_categorical_drift", with_flights("\nUNION ALL\n".join(_sql_categorical(c) for c in CAT),
-                                               *SPLIT_CTES[:2], _FE_CTE))
+                                               *SPLIT_CTES[:2], *FE_CTES))
 def m1_categorical_drift(spark, sf_dir):
     ref, cur = _sides(spark, sf_dir)
     d = DR.categorical_drift(ref, cur, list(CAT))
@@ -90,7 +79,7 @@ SELECT feature, 'numeric' AS kind, 'wasserstein' AS method, wasserstein AS score
 FROM (""" + "\nUNION ALL\n".join(_sql_numeric(c) for c in NUM) + """)
 UNION ALL
 SELECT feature, 'categorical', 'jensenshannon', jensen_shannon, jensen_shannon >= 0.1, n_ref, n_cur
-FROM (""" + "\nUNION ALL\n".join(_sql_categorical(c) for c in CAT) + ")", *SPLIT_CTES[:2], _FE_CTE))
+FROM (""" + "\nUNION ALL\n".join(_sql_categorical(c) for c in CAT) + ")", *SPLIT_CTES[:2], *FE_CTES))
 def m1_drift_report(spark, sf_dir):
     """Per-feature report with the default methods."""
     ref, cur = _sides(spark, sf_dir)
@@ -110,7 +99,7 @@ SELECT count(*) AS n_features, CAST(sum(CASE WHEN drift_detected THEN 1 ELSE 0 E
   coalesce(string_agg(CASE WHEN drift_detected THEN feature END, ',' ORDER BY feature), '') AS drifted_features,
   round(sum(CASE WHEN drift_detected THEN 1 ELSE 0 END) / count(*), 6) AS drift_share,
   sum(CASE WHEN drift_detected THEN 1 ELSE 0 END) / count(*) >= 0.3 AS dataset_drift
-FROM report""", *SPLIT_CTES[:2], _FE_CTE, _M2_CTE))
+FROM report""", *SPLIT_CTES[:2], *FE_CTES, _M2_CTE))
 def m2_dataset_drift(spark, sf_dir):
     ref, cur = _sides(spark, sf_dir)
     r = DR.drift_report(ref, cur, list(NUM), list(CAT), with_p_values=False)
@@ -126,7 +115,7 @@ SELECT CAST(side AS INTEGER) AS side, count(*) AS rows,
   CAST((SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM fe f2 WHERE f2.split = x.split
         GROUP BY """ + ", ".join(NUM + CAT) + """ HAVING count(*) > 1)) AS BIGINT) AS duplicate_rows
 FROM (SELECT *, CASE WHEN split = 'train' THEN 0 ELSE 1 END AS side FROM fe) x GROUP BY side, split""",
-    *SPLIT_CTES[:2], _FE_CTE))
+    *SPLIT_CTES[:2], *FE_CTES))
 def m3_data_quality(spark, sf_dir):
     ref, cur = _sides(spark, sf_dir)
     sides, _ = DR.data_quality(ref, cur, list(NUM + CAT), list(CAT))
@@ -140,7 +129,7 @@ SELECT '{c}' AS feature,
    EXCEPT SELECT DISTINCT CAST({c} AS VARCHAR) FROM fe WHERE split = 'train')) AS n_new,
   (SELECT count(*) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) FROM fe WHERE split = 'train' AND {c} IS NOT NULL
    EXCEPT SELECT DISTINCT CAST({c} AS VARCHAR) FROM fe WHERE split = 'test')) AS n_missing""" for c in CAT),
-    *SPLIT_CTES[:2], _FE_CTE))
+    *SPLIT_CTES[:2], *FE_CTES))
 def m3_category_changes(spark, sf_dir):
     ref, cur = _sides(spark, sf_dir)
     _, cats = DR.data_quality(ref, cur, list(NUM + CAT), list(CAT))
@@ -197,7 +186,7 @@ SELECT (sum(CASE WHEN drift_detected THEN 1 ELSE 0 END) / count(*) >= 0.3) AS ne
   (sum(CASE WHEN drift_detected THEN 1 ELSE 0 END) / count(*) >= 0.3) AS drift_detected,
   round(sum(CASE WHEN drift_detected THEN 1 ELSE 0 END) / count(*), 6) AS drift_share,
   CAST(sum(CASE WHEN drift_detected THEN 1 ELSE 0 END) AS BIGINT) AS n_drifted_features
-FROM report""", *SPLIT_CTES[:2], _FE_CTE, _M2_CTE))
+FROM report""", *SPLIT_CTES[:2], *FE_CTES, _M2_CTE))
 def m6_retrain_decision(spark, sf_dir):
     ref, cur = _sides(spark, sf_dir)
     r = DR.drift_report(ref, cur, list(NUM), list(CAT), with_p_values=False)
@@ -216,7 +205,7 @@ FROM (SELECT nd, n, list_filter([{DRIFT_TRIGGER_SQL},
     lambda x: x IS NOT NULL) AS triggers
   FROM (SELECT CAST(sum(CASE WHEN drift_detected THEN 1 ELSE 0 END) AS BIGINT) AS nd, count(*) AS n FROM report),
     (SELECT max(CASE WHEN side = 0 THEN value END) AS ref, max(CASE WHEN side = 1 THEN value END) AS cur FROM m4l WHERE metric = 'r2'))""",
-    *_M4_CTES, _FE_CTE, _M2_CTE))
+    *_M4_CTES, *FE_CTES, _M2_CTE))
 def m6_retrain_decision_with_performance(spark, sf_dir):
     """Decision with the optional R² degradation trigger and trigger texts."""
     s = split_flights(spark, sf_dir)

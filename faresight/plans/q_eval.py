@@ -14,10 +14,10 @@ from faresight.operators import lookup as LK
 from faresight.operators import split as SP
 from faresight.operators.features import engineer_features
 from faresight.operators.profile import scalars
-from faresight.plans.common import (PRED_KEYS, SCORED_CTES, SPLIT_CTES, TIEBREAK, scored_test, split_flights,
-                                    sql_group_mean_scored)
+from faresight.plans.common import (FEATURE_CAT, FEATURE_FREQ, FEATURE_NUM, PRED_KEYS, SCORED_CTES, SPLIT_CTES, TIEBREAK, scored_test, split_flights,
+                                    sql_feature_ctes, sql_features, sql_group_mean_scored)
 from faresight.plans.registry import register, rnd
-
+from faresight.roles import FLIGHT_ROLES
 from faresight.session import materialize
 from faresight.sources.flights import flights, with_flights
 
@@ -525,17 +525,21 @@ _BLENDS = {"equal": (1 / 3, 1 / 3, 1 / 3), "fixed": (0.2, 0.3, 0.5)}
 
 @register("v12_blends", with_flights("\nUNION ALL\n".join(
     f"SELECT '{name}' AS blend, {_sql_metrics(p='b', medae=False)} FROM (SELECT total_fare, "
-    f"{w[0]!r}::DOUBLE * p_class + {w[1]!r}::DOUBLE * p_class_dest + {w[2]!r}::DOUBLE * p_class_dest_stop AS b "
-    f"FROM preds)"
-    for name, w in _BLENDS.items()), *SPLIT_CTES, *_sql_predictions()))
+    f"{w[0]} * p_class + {w[1]} * p_class_dest + {w[2]} * p_class_dest_stop AS b FROM preds, r2w)"
+    for name, w in [*((n, [f"{x!r}::DOUBLE" for x in w]) for n, w in _BLENDS.items()),
+                    ("r2_weighted", [f"{c} / (p_class_r2 + p_class_dest_r2 + p_class_dest_stop_r2)" for c in ("p_class_r2", "p_class_dest_r2", "p_class_dest_stop_r2")])]),
+    *SPLIT_CTES, *_sql_predictions(), "r2w AS (SELECT " + ", ".join(
+        f"1 - sum((total_fare - {c}) * (total_fare - {c})) / (var_pop(total_fare) * count(*)) AS {c}_r2" for c in ("p_class", "p_class_dest", "p_class_dest_stop")) + " FROM preds)"))
 def v12_blends(spark, sf_dir):
-    p = predictions_frame(spark, sf_dir)
-    outs = []
-    for name, w in _BLENDS.items():
+    """Equal, R²-weighted and fixed blends of three models."""
+    p = materialize(predictions_frame(spark, sf_dir).select(Y, *MODEL_KEYS))
+    r2 = {r["model"]: r["r2"] for r in EV.comparison_table(p, Y, list(MODEL_KEYS), median=None).collect()}      # one row per model
+    out = None
+    for name, w in [*_BLENDS.items(), ("r2_weighted", EV.r2_weights([r2[m] for m in MODEL_KEYS]))]:
         b = EV.blend(p, list(MODEL_KEYS), w, "b")
-        outs.append(_metrics_select(EV.regression_metrics(b, Y, "b", median=None), medae=False)
-                    .select(F.lit(name).alias("blend"), "*"))
-    return outs[0].unionByName(outs[1])
+        m = _metrics_select(EV.regression_metrics(b, Y, "b", median=None), medae=False).select(F.lit(name).alias("blend"), "*")
+        out = m if out is None else out.unionByName(m)
+    return out
 
 
 @register("v13_blend_grid", with_flights("\nUNION ALL\n".join(
@@ -635,21 +639,13 @@ def e6_preprocessor_matrix(spark, sf_dir):
 
 
 # E9 / F20 --------------------------------------------------------------------------------------------------------------
-_ORD = ("airline", "destination", "route", "booking_window")
+_ORD = FEATURE_CAT
 
 
 @register("e9_ordinal_encoding", with_flights("""
-SELECT t.row_idx, """ + ", ".join(
-    f"coalesce((SELECT code FROM od_{c} WHERE od_{c}.v = CAST(t.{c} AS VARCHAR)), -1) AS {c}_code" for c in _ORD) + """
-FROM fe_test t""", *SPLIT_CTES, *[
-    f"fe_{side} AS (SELECT row_idx, airline, destination, source || '__' || destination AS route, "
-    f"CASE WHEN greatest(days_before, 0) > -1 AND greatest(days_before, 0) <= 3 THEN 'last_min' "
-    f"WHEN greatest(days_before, 0) > 3 AND greatest(days_before, 0) <= 7 THEN '3_7d' "
-    f"WHEN greatest(days_before, 0) > 7 AND greatest(days_before, 0) <= 14 THEN '1_2wk' "
-    f"WHEN greatest(days_before, 0) > 14 AND greatest(days_before, 0) <= 30 THEN '2_4wk' "
-    f"WHEN greatest(days_before, 0) > 30 AND greatest(days_before, 0) <= 60 THEN '1_2mo' "
-    f"WHEN greatest(days_before, 0) > 60 AND greatest(days_before, 0) <= 999 THEN '2mo_plus' ELSE 'nan' END "
-    f"AS booking_window FROM {side})" for side in ("train", "test")],
+SELECT t.row_idx, """ + ", ".join(f"coalesce(od_{c}.code, -1) AS {c}_code" for c in _ORD) + """
+FROM fe_test t """ + " ".join(f"LEFT JOIN od_{c} ON od_{c}.v = CAST(t.{c} AS VARCHAR)" for c in _ORD), *SPLIT_CTES,
+    *[f"fe_{side} AS ({sql_features(side)})" for side in ("train", "test")],
     *[f"od_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM "
       f"(SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM fe_train WHERE {c} IS NOT NULL))" for c in _ORD]))
 def e9_ordinal_encoding(spark, sf_dir):
@@ -659,14 +655,13 @@ def e9_ordinal_encoding(spark, sf_dir):
 
 
 # E10 ---------------------------------------------------------------------------------------------------------------------
-_TE = ("route", "destination")
+_TE = FEATURE_CAT
 
 
 @register("e10_target_encoding", with_flights("""
-SELECT t.row_idx, """ + ", ".join(
-    f"round(coalesce((SELECT enc FROM te_{c} WHERE te_{c}.v = t.{c}), (SELECT m FROM g)), 4) AS {c}_te" for c in _TE)
-    + """ FROM fe_test t""", *SPLIT_CTES, f"fe_train AS ({_sql_engineered('train')})",
-    f"fe_test AS ({_sql_engineered('test')})",
+SELECT t.row_idx, """ + ", ".join(f"round(coalesce(te_{c}.enc, (SELECT m FROM g)), 4) AS {c}_te" for c in _TE)
+    + " FROM fe_test t " + " ".join(f"LEFT JOIN te_{c} ON te_{c}.v = t.{c}" for c in _TE), *SPLIT_CTES, f"fe_train AS ({sql_features('train')})",
+    f"fe_test AS ({sql_features('test')})",
     "g AS (SELECT avg(total_fare) AS m, var_pop(total_fare) AS v FROM fe_train)",
     *[f"""te_{c} AS (SELECT v, CASE WHEN n * gv + cv = 0 THEN gm ELSE
        (n * gv / (n * gv + cv)) * cm + (1 - n * gv / (n * gv + cv)) * gm END AS enc FROM (
@@ -688,7 +683,7 @@ enc_{c} AS (SELECT v, f, CASE WHEN n * gs + s = 0 THEN gm ELSE n * gs / (n * gs
 
 
 def _e10_oof_sql() -> str:
-    ctes = [f"fe_train AS ({_sql_engineered('train')})", f"""folded AS (SELECT *, {SP.sql_row_hash(["row_idx"])} % 5 AS fold FROM fe_train)""",
+    ctes = [f"fe_train AS ({sql_features('train')})", f"""folded AS (SELECT *, {SP.sql_row_hash(["row_idx"])} % 5 AS fold FROM fe_train)""",
             """rest AS (SELECT f, avg(total_fare) AS gm, var_pop(total_fare) AS gs FROM folded, (SELECT unnest(range(5)) AS f)
   WHERE fold <> f GROUP BY f)""", *[_sql_oof(c) for c in _TE]]
     cols = ", ".join(f"round(coalesce(enc_{c}.e, rest.gm), 2) AS {c}_te" for c in _TE)
@@ -704,16 +699,18 @@ def e10_target_encoding_oof(spark, sf_dir):
 
 
 # E8 ------------------------------------------------------------------------------------------------------------------------
-@register("e8_population_scaling", with_flights("""
-SELECT row_idx, round((duration_hrs - (SELECT avg(duration_hrs) FROM train)) / (SELECT stddev_pop(duration_hrs) FROM train), 6)
-    AS duration_hrs_z,
-  round((days_before - (SELECT avg(days_before) FROM train)) / (SELECT stddev_pop(days_before) FROM train), 6)
-    AS days_before_z FROM test""", *SPLIT_CTES))
+_SCALED = FEATURE_NUM + FEATURE_FREQ
+
+
+@register("e8_population_scaling", with_flights("SELECT row_idx, " + ", ".join(
+    f"round((CAST({c} AS DOUBLE) - (SELECT avg(CAST({c} AS DOUBLE)) FROM fe WHERE split = 'train')) / (SELECT CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1.0 END "
+    f"FROM fe WHERE split = 'train'), 6) AS {c}_z" for c in _SCALED) + " FROM fe WHERE split = 'test'", *SPLIT_CTES[:2], *sql_feature_ctes()))
 def e8_population_scaling(spark, sf_dir):
-    s = split_flights(spark, sf_dir)
-    m = EN.PopulationScaler(["duration_hrs", "days_before"]).fit(s.where(F.col("split") == "train"))
-    out = m.transform(s.where(F.col("split") == "test"))
-    return out.select("row_idx", rnd("duration_hrs_z").alias("duration_hrs_z"), rnd("days_before_z").alias("days_before_z"))
+    """Z-scores of all numeric features, fitted on train (a constant one is only centred)."""
+    train, test = _engineered_split(spark, sf_dir)
+    freq = EN.FrequencyEncoder(list(FLIGHT_ROLES.freq)).fit(train)
+    m = EN.PopulationScaler(list(_SCALED)).fit(freq.transform(train))
+    return m.transform(freq.transform(test)).select("row_idx", *[rnd(f"{c}_z").alias(f"{c}_z") for c in _SCALED])
 
 
 # T2 / T5 / T8 (hash-based: rows-only checks) ---------------------------------------------------------------------------------
@@ -743,19 +740,39 @@ def t8_deterministic_sample(spark, sf_dir):
 
 
 # P11 ------------------------------------------------------------------------------------------------------------------------
-@register("p11_input_validation", with_flights("""
+_DOMAINS = FLIGHT_ROLES.cat
+_FAULTS = 40        # every 40th request has each kind of fault
+
+
+def sql_requests() -> str:
+    """Requests: the test flights, some of them with one field made wrong (by row number)."""
+    wrong = {c: f"CASE WHEN row_idx % {_FAULTS} = {i} THEN 'Atlantis' WHEN row_idx % {_FAULTS} = {10 + i} THEN NULL ELSE {c} END" for i, c in enumerate(_DOMAINS)}
+    wrong["duration_hrs"] = f"CASE WHEN row_idx % {_FAULTS} = 20 THEN -1.0 ELSE duration_hrs END"
+    wrong["days_before"] = f"CASE WHEN row_idx % {_FAULTS} = 21 THEN -1 ELSE days_before END"
+    return "SELECT * REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in wrong.items()) + ") FROM test"
+
+
+def requests(test):
+    """The same as a DataFrame."""
+    k = F.col("row_idx") % _FAULTS
+    wrong = {c: F.when(k == i, F.lit("Atlantis")).when(k == 10 + i, F.lit(None)).otherwise(F.col(c)) for i, c in enumerate(_DOMAINS)}
+    wrong["duration_hrs"] = F.when(k == 20, F.lit(-1.0)).otherwise(F.col("duration_hrs"))
+    wrong["days_before"] = F.when(k == 21, F.lit(-1)).otherwise(F.col("days_before"))
+    return test.withColumns(wrong)
+
+
+@register("p11_input_validation", with_flights(f"""
 SELECT reason, count(*) AS n FROM (
-  SELECT CASE WHEN airline IS NULL OR source IS NULL OR destination IS NULL OR departure IS NULL THEN 'missing_field'
-              WHEN duration_hrs < 0 THEN 'negative_duration'
+  SELECT CASE WHEN departure IS NULL OR {' OR '.join(f'{c} IS NULL' for c in _DOMAINS)} THEN 'missing_field'
+              WHEN duration_hrs < 0 THEN 'negative_duration_hrs'
               WHEN days_before < 0 THEN 'negative_days_before'
-              WHEN destination NOT IN (SELECT destination FROM train) THEN 'unknown_destination'
-              ELSE 'valid' END AS reason FROM test) GROUP BY reason""", *SPLIT_CTES))
+              {' '.join(f"WHEN {c} NOT IN (SELECT {c} FROM train WHERE {c} IS NOT NULL) THEN 'unknown_{c}'" for c in _DOMAINS)}
+              ELSE 'valid' END AS reason FROM requests) GROUP BY reason""", *SPLIT_CTES, f"requests AS ({sql_requests()})"))
 def p11_input_validation(spark, sf_dir):
+    """Requests with each kind of fault: missing fields, negative numbers and, for all eight
+    option lists (the values seen in training), unknown values."""
     from faresight.operators.validate import validate_requests
     s = split_flights(spark, sf_dir)
     tr, te = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-    v = validate_requests(te, required=["airline", "source", "destination", "departure"],
-                          non_negative=["duration_hrs", "days_before"], domains={"destination": tr})
+    v = validate_requests(requests(te), required=["departure", *_DOMAINS], non_negative=["duration_hrs", "days_before"], domains={c: tr for c in _DOMAINS})
     return v.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-
-

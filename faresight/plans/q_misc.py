@@ -10,8 +10,8 @@ from faresight.operators import tracking as TR
 from faresight.operators.encode import feature_pipeline
 from faresight.operators.features import feature_schema
 from faresight.operators.preprocess import FarePreprocessor
-from faresight.plans.common import SPLIT_CTES, split_flights
-from faresight.plans.q_drift import _FE_CTE, _M2_CTE, DRIFT_TRIGGER_SQL
+from faresight.plans.common import FEATURE_CAT, SPLIT_CTES, split_flights, sql_features
+from faresight.plans.q_drift import FE_CTES, _M2_CTE, DRIFT_TRIGGER_SQL
 from faresight.plans.registry import register, rnd
 from faresight.session import materialize
 from faresight.sources.flights import with_flights
@@ -47,16 +47,14 @@ def e13_feature_schema(spark, sf_dir):
                                                           if c not in model.cat_feature_names])
 
 
-@register("e7_one_hot_width", with_flights("""
-SELECT 'airline' AS "column", count(DISTINCT airline) AS width FROM train
-UNION ALL SELECT 'destination', count(DISTINCT destination) FROM train
-UNION ALL SELECT 'route', count(DISTINCT source || '__' || destination) FROM train""", *SPLIT_CTES))
+@register("e7_one_hot_width", with_flights("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS width FROM e" for c in FEATURE_CAT), *SPLIT_CTES, f"e AS ({sql_features('train')})"))
 def e7_one_hot_width(spark, sf_dir):
-    """One-hot vectors fitted on train; an unseen test category is
-    all zeros, so each vector's width equals the train cardinality."""
+    """One-hot vectors of all categorical features fitted on train; an unseen test
+    category is all zeros, so each vector's width equals the train cardinality."""
     from pyspark.ml.functions import vector_to_array
     model, xtr, xte = _prepared(spark, sf_dir)
-    cols = ["airline", "destination", "route"]
+    cols = list(FEATURE_CAT)
     pm = feature_pipeline(cols, [], encoding="onehot").fit(xtr)
     out = pm.transform(xte)
     return out.agg(*[F.max(F.size(vector_to_array(f"oh_{c}_vec"))).cast("bigint").alias(c) for c in cols]).select(
@@ -108,7 +106,7 @@ _S9_ROW = f"""SELECT coalesce(nd / n >= 0.3, false) AS needs_retraining, coalesc
 
 @register("s9_drift_report_roundtrip", with_flights(f"""
 SELECT layout, d.* FROM (SELECT unnest(['metric_results', 'metrics']) AS layout), ({_S9_ROW}) d
-UNION ALL SELECT 'missing', true, false, 0.0, 0, 'No drift report found — retraining as safety measure'""", *SPLIT_CTES[:2], _FE_CTE, _M2_CTE))
+UNION ALL SELECT 'missing', true, false, 0.0, 0, 'No drift report found — retraining as safety measure'""", *SPLIT_CTES[:2], *FE_CTES, _M2_CTE))
 def s9_drift_report_roundtrip(spark, sf_dir):
     """Write the drift report in both JSON layouts under the
     session's checkpoint folder, read each back and take the decision."""

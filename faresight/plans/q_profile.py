@@ -8,7 +8,7 @@ from faresight.functions import scalar as S
 from faresight.functions.metrics import avg_exact
 from faresight.operators import features as FE
 from faresight.operators import profile as PR
-from faresight.plans.common import staged_flights
+from faresight.plans.common import sql_features, staged_flights
 from faresight.plans.registry import register, rnd
 from faresight.session import materialize
 from faresight.sources.flights import flights, with_flights
@@ -206,16 +206,20 @@ def a4_mode_duration(spark, sf_dir):
 
 
 # A6 / F17 ------------------------------------------------------------------------------
-_A6_COLS = ("duration_hrs", "days_before", "total_fare")
+_A6_COLS = ("duration_hrs", "days_before", "month", "day_of_week", "hour", "month_sin", "month_cos", "hour_sin", "hour_cos", "is_weekend", "is_peak",
+            "log_duration", "duration_sq", "log_days_before", "is_direct", "base_fare", "tax", "total_fare")
 
 
 @register("a6_numeric_profile", with_flights("\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, '{st}' AS stat, round(coalesce({fn}, 0.0), 4) AS value, "
-    f"'feat_' || regexp_replace('{c}', '[^a-zA-Z0-9_\\-\\. /]', '_', 'g') || '__{st}' AS metric_name FROM flights"
+    f"'feat_' || regexp_replace('{c}', '[^a-zA-Z0-9_\\-\\. /]', '_', 'g') || '__{st}' AS metric_name FROM fe"
     for c in _A6_COLS for st, fn in (("mean", f"avg({c})"), ("std", f"stddev_samp({c})"), ("min", f"min({c})"),
-                                     ("max", f"max({c})"), ("median", f"quantile_cont({c}, 0.5)")))))
+                                     ("max", f"max({c})"), ("median", f"quantile_cont(CAST({c} AS DOUBLE), 0.5)"))),
+    f"fe AS ({sql_features('flights', 'base_fare, tax, total_fare')})"))
 def a6_numeric_profile(spark, sf_dir):
-    p = PR.numeric_profile(staged_flights(spark, sf_dir, *_A6_COLS), list(_A6_COLS))
+    """All numeric features and the fares."""
+    x = FE.engineer_features(flights(spark, sf_dir), keep=["base_fare", "tax", "total_fare"])
+    p = PR.numeric_profile(materialize(x.select(*_A6_COLS)), list(_A6_COLS))
     return p.select("feature", "stat", rnd("value", 4).alias("value"),
                     F.concat(F.lit("feat_"), S.sanitize_metric_name("feature"), F.lit("__"), F.col("stat"))
                     .alias("metric_name"))

@@ -32,10 +32,11 @@ def score(model, requests: DataFrame, keep: Sequence[str] = (), domains: dict |
 
 
 def score_stream(model, source: DataFrame, sink_path: str, checkpoint: str, keep: Sequence[str] = (),
-                 available_now: bool = True):
+                 available_now: bool = True, domains: dict | None = None):
     """Start a stream that scores ``source`` (a ``readStream`` frame) into a
-    parquet sink; the checkpoint folder makes it restartable exactly-once."""
-    scored = score(model, source, keep)
+    parquet sink, with the same checks as the batch form (``domains`` are static tables that
+    the stream joins); the checkpoint folder makes it restartable exactly-once."""
+    scored = score(model, source, keep, domains)
     w = scored.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.outputMode("append").start()

@@ -52,3 +52,23 @@ def test_stream_scoring_equals_batch(spark, sf_dir, tmp_path):
     a = {r["row_idx"]: (r["reason"], r["predicted_fare"]) for r in batch.collect()}
     b = {r["row_idx"]: (r["reason"], r["predicted_fare"]) for r in got.collect()}
     assert a == b and len(a) == te.count()
+
+
+def test_stream_rejects_what_batch_rejects(spark, sf_dir, tmp_path):
+    """All eight option lists, missing fields and negative numbers, batch and stream alike."""
+    from faresight.plans.q_eval import requests
+    from faresight.roles import FLIGHT_ROLES
+    s = split_flights(spark, sf_dir)
+    tr, te = s.where("split = 'train'"), s.where("split = 'test'")
+    m = MD.fit_model(tr, "DecisionTree", MD.preset("DecisionTree", "quick")[1], keep=["row_idx"])
+    src = tmp_path / "requests"
+    requests(te).drop("split").repartition(3).write.parquet(str(src))
+    domains = {c: tr for c in FLIGHT_ROLES.cat}
+    batch = score(m, spark.read.parquet(str(src)), keep=["row_idx"], domains=domains)
+    q = score_stream(m, spark.readStream.schema(spark.read.parquet(str(src)).schema).parquet(str(src)),
+                     str(tmp_path / "out"), str(tmp_path / "ck"), keep=["row_idx"], domains=domains)
+    q.awaitTermination()
+    a, b = ({r["row_idx"]: (r["reason"], r["predicted_fare"]) for r in d.collect()} for d in (batch, spark.read.parquet(str(tmp_path / "out"))))
+    assert a == b and len(a) == te.count()
+    assert {r for r, _ in a.values()} == {"valid", "missing_field", "negative_duration_hrs", "negative_days_before", *(f"unknown_{c}" for c in FLIGHT_ROLES.cat)}
+    assert all((p is None) == (r != "valid") for r, p in a.values())
