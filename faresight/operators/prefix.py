@@ -134,10 +134,8 @@ def _global_quantiles(df: DataFrame, value: str, probs: Sequence[float], num_par
     hs = [float(q) * (n - 1) for q in probs]
     ks = sorted({int(math.floor(h)) for h in hs} | {int(math.ceil(h)) for h in hs})
     prev = F.col("cum__c") - F.col("_c")
-    cond = None
-    for k in ks:
-        c = (prev <= F.lit(k)) & (F.lit(k) < F.col("cum__c"))
-        cond = c if cond is None else cond | c
+    # one array of positions: a condition per position would outgrow the generated code
+    cond = F.exists(F.array(*[F.lit(k).cast("long") for k in ks]), lambda k: (prev <= k) & (k < F.col("cum__c")))
     hits = cum.where(cond).select("_v", prev.alias("_p"), F.col("cum__c").alias("_e")).collect()  # ≤ 2·len(probs) rows
 
     def at(k):

@@ -242,20 +242,20 @@ QBIN_CONFIGS = ((5, 5), (10, 10), (20, 20), (50, 10))
 
 @register("v11_quantile_bin_ceiling")
 def v11_quantile_bin_ceiling(spark, sf_dir):
-    s = split_flights(spark, sf_dir)
-    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-    outs = []
-    dur = LK.qcut_edges_many(train, "duration_hrs", sorted({nd for nd, _ in QBIN_CONFIGS}))
-    day = LK.qcut_edges_many(train, "days_before", sorted({nb for _, nb in QBIN_CONFIGS}))
+    """All bin codes are computed once, into a narrow written table."""
+    s = split_flights(spark, sf_dir).select("split", Y, *ALL_CATS, "duration_hrs", "days_before")
+    train = s.where(F.col("split") == "train")
+    x = s
+    for col, qs in (("duration_hrs", sorted({nd for nd, _ in QBIN_CONFIGS})), ("days_before", sorted({nb for _, nb in QBIN_CONFIGS}))):
+        for q, edges in LK.qcut_edges_many(train, col, qs).items():
+            x = LK.with_qcut_bin(x, col, edges, f"_{col}_{q}")
+    x = materialize(x.drop("duration_hrs", "days_before"))
+    train, test = x.where(F.col("split") == "train"), x.where(F.col("split") == "test")
+    out = None
     for nd, nb in QBIN_CONFIGS:
-        de, be = dur[nd], day[nb]
-        tr = LK.with_qcut_bin(LK.with_qcut_bin(train, "duration_hrs", de, "_dur_bin"), "days_before", be, "_day_bin")
-        te = LK.with_qcut_bin(LK.with_qcut_bin(test, "duration_hrs", de, "_dur_bin"), "days_before", be, "_day_bin")
-        outs.append(_ceiling_rows(tr, te, [(f"all_cats_dur{nd}_day{nb}", [*ALL_CATS, "_dur_bin", "_day_bin"])]))
-    u = outs[0]
-    for o in outs[1:]:
-        u = u.unionByName(o)
-    return u
+        rows = _ceiling_rows(train, test, [(f"all_cats_dur{nd}_day{nb}", [*ALL_CATS, f"_duration_hrs_{nd}", f"_days_before_{nb}"])])
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def _sql_qbin(col: str, q: int) -> str:
