@@ -19,9 +19,9 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from faresight.functions.scalar import as_category, expm1, log1p
-from faresight.operators.prefix import with_row_index
+from faresight.operators.prefix import prefix_sums, with_row_index
 from faresight.operators.profile import relative_frequency, scalars, unpivot
-from faresight.operators.split import hash_fold
+from faresight.operators.split import hash_fold, row_hash
 from faresight.session import materialize
 
 # The states that one transformation broadcasts have at most this many bytes together.
@@ -233,6 +233,60 @@ class TargetEncoderModel(Model, _Persist):
                       lambda c, o: F.coalesce(F.col(o), F.lit(self.global_mean)))
 
 
+class OrderedTargetEncoder(Estimator):
+    """Ordered target statistics: a training row's value is the smoothed target mean of the
+    rows of its category that come before it in a seeded permutation, so no row sees its own
+    target; other rows get the statistics of all training rows.
+
+    ``keys``: columns that tell the rows apart; they seed the permutation (portable hash, ties by
+    the keys). ``strength``: weight of the prior, the mean target. A null category is the category
+    "nan"; rows without a target add nothing. The running sums are distributed prefix sums, so
+    a category with a third of all rows is spread over many tasks."""
+
+    def __init__(self, inputCols: Sequence[str], target: str, keys: Sequence[str], strength: float = 1.0, suffix: str = "_ots", seed: int = 42):
+        super().__init__()
+        self.inputCols, self.target, self.keys = list(inputCols), target, list(keys)
+        self.strength, self.suffix, self.seed = strength, suffix, seed
+
+    def _long(self, df: DataFrame) -> DataFrame:
+        y = F.col(self.target).cast("decimal(38,6)")       # sums that no order of addition changes
+        x = df.select(*self.keys, *self.inputCols, F.coalesce(y, F.lit(0).cast("decimal(38,6)")).alias("_y"), y.isNotNull().cast("long").alias("_n"))
+        return unpivot(x, [*self.keys, "_y", "_n"], self.inputCols, "column", "value", cast="string") \
+            .withColumn("value", F.coalesce("value", F.lit("nan")))
+
+    def _prior(self, df: DataFrame) -> float:
+        y = F.col(self.target).cast("decimal(38,6)")
+        return scalars(df.agg(F.try_divide(F.sum(y).cast("double"), F.count(y)).alias("m")))["m"] or 0.0
+
+    def _fit(self, df: DataFrame) -> "OrderedTargetModel":
+        prior, a = self._prior(df), self.strength
+        state = materialize(self._long(df).groupBy("column", "value").agg(((F.sum("_y").cast("double") + a * prior) / (F.sum("_n") + a)).alias("enc")))
+        return OrderedTargetModel(state, self.inputCols, self.suffix, prior)
+
+    def fit_transform_ordered(self, df: DataFrame) -> tuple["OrderedTargetModel", DataFrame]:
+        """The model for other rows, and the training rows with their ordered statistics."""
+        model = self.fit(df)
+        prior, a = model.global_mean, self.strength
+        long = self._long(df).withColumn("_h", row_hash(self.keys, self.seed, portable=True))
+        cum = prefix_sums(long, ["_h", *self.keys], ["_y", "_n"], ["column", "value"])
+        enc = ((F.col("cum__y") - F.col("_y")).cast("double") + a * prior) / (F.col("cum__n") - F.col("_n") + a)
+        wide = cum.groupBy(*self.keys).agg(*[F.max(F.when(F.col("column") == c, enc)).alias(f"{c}{self.suffix}") for c in self.inputCols])
+        return model, df.join(wide, self.keys)
+
+
+class OrderedTargetModel(TargetEncoderModel):
+    def __init__(self, state, inputCols, suffix="_ots", global_mean=0.0, sizes=None):
+        super().__init__(state, inputCols, suffix, global_mean, sizes)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        plain = {c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in self.inputCols}
+        named = df.withColumns({f"_plain_{c}": v for c, v in plain.items()})
+        state = self.state.withColumn("column", F.concat(F.lit("_plain_"), F.col("column")))
+        out = _apply(named, state, {f"_plain_{c}": n for c, n in self.sizes.items()}, [f"_plain_{c}" for c in self.inputCols],
+                     lambda c: {"enc": f"{c[7:]}{self.suffix}"}, lambda c, o: F.coalesce(F.col(o), F.lit(self.global_mean)))
+        return out.drop(*[f"_plain_{c}" for c in self.inputCols])
+
+
 # E8 -------------------------------------------------------------------------------------
 class PopulationScaler(Estimator):
     """(x − mean) / population std per column; a constant column is only centred."""

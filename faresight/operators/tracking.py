@@ -11,8 +11,11 @@ Tables under a base folder:
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
+from hashlib import sha256
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -70,8 +73,27 @@ def best_run(runs: DataFrame, metric: str, ascending: bool = False, experiment:
     return r.where(m.isNotNull()).orderBy(m.asc() if ascending else m.desc(), F.col("ts").desc()).limit(1)
 
 
+def _claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that must not exist; False if another writer has it."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(p.getParent())
+    try:
+        if fs.getScheme() == "file":        # the local file system's own create is not exclusive
+            return jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).createNewFile()
+        fs.create(p, False).close()
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName() or fs.exists(p):
+            return False
+        raise
+
+
 def register_version(spark: SparkSession, base: str, name: str, run_id: str) -> int:
-    """Next numeric version of ``name`` (max + 1, numeric not string order)."""
+    """Next numeric version of ``name`` (numeric not string order), unique under any number
+    of writers: a version is taken by creating its commit file, which only one writer can; the
+    others try the next number. A writer that is lost after that leaves a number unused."""
     path = f"{base}/versions"
     try:
         cur = spark.read.parquet(path).where(F.col("name") == name).agg(F.max("version").alias("v")).first()["v"]
@@ -80,11 +102,29 @@ def register_version(spark: SparkSession, base: str, name: str, run_id: str) ->
             raise
         cur = None  # the first version of the first model
     v = (cur or 0) + 1
-    spark.createDataFrame([(name, v, run_id, _now())], "name string, version int, run_id string, ts timestamp") \
-        .write.mode("append").parquet(path)
+    folder = f"{base}/_commits/{sha256(name.encode()).hexdigest()}"
+    while not _claim(spark, f"{folder}/{v}"):
+        v += 1
+    row = spark.createDataFrame([(name, v, run_id, _now())], "name string, version int, run_id string, ts timestamp")
+    _append_file(spark, row, base, path)
     return v
 
 
+def _append_file(spark: SparkSession, df: DataFrame, base: str, path: str) -> None:
+    """Append by moving finished files in: writers that append to one folder at the same time
+    would share its folder of unfinished files, and the first to end would delete it."""
+    jvm = spark._jvm
+    part = f"{base}/_staging/{uuid.uuid4().hex}"
+    df.write.parquet(part)
+    src, dst = jvm.org.apache.hadoop.fs.Path(part), jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(dst)
+    for f in fs.listStatus(src):
+        if f.getPath().getName().startswith("part-"):
+            fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(dst, f.getPath().getName()))
+    fs.delete(src, True)
+
+
 def set_alias(spark: SparkSession, base: str, name: str, alias: str, version: int) -> None:
     spark.createDataFrame([(name, alias, int(version), _now())], "name string, alias string, version int, ts timestamp") \
         .write.mode("append").parquet(f"{base}/aliases")

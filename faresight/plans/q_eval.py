@@ -699,6 +699,25 @@ def e10_target_encoding_oof(spark, sf_dir):
 
 
 # E8 ------------------------------------------------------------------------------------------------------------------------
+@register("e10_ordered_target_statistics", with_flights("SELECT row_idx, split, " + ", ".join(f"floor({c}_ots * 10000.0 + 0.5) / 10000.0 AS {c}_ots" for c in _TE) + """ FROM (
+SELECT row_idx, split, """ + ", ".join(
+    f"(coalesce(CAST(sum(CAST(total_fare AS DECIMAL(38,6))) OVER w_{c} AS DOUBLE), 0.0) + g.m) / (count(*) OVER w_{c} + 1.0) AS {c}_ots" for c in _TE) + f""" FROM (SELECT *, {SP.sql_row_hash(["row_idx"])} AS h FROM fe_train), g
+WINDOW """ + ", ".join(f"w_{c} AS (PARTITION BY coalesce({c}, 'nan') ORDER BY h, row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" for c in _TE) + """
+UNION ALL
+SELECT row_idx, split, """ + ", ".join(f"coalesce(s_{c}.e, g.m)" for c in _TE) + " FROM fe_test t " + " ".join(
+    f"LEFT JOIN s_{c} ON s_{c}.v = coalesce(t.{c}, 'nan')" for c in _TE) + ", g)", *SPLIT_CTES, f"fe_train AS ({sql_features('train')})", f"fe_test AS ({sql_features('test')})",
+    "g AS (SELECT CAST(sum(CAST(total_fare AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS m FROM fe_train)",
+    *[f"s_{c} AS (SELECT coalesce({c}, 'nan') AS v, (CAST(sum(CAST(total_fare AS DECIMAL(38,6))) AS DOUBLE) + (SELECT m FROM g)) / (count(*) + 1.0) AS e FROM fe_train GROUP BY 1)" for c in _TE]))
+def e10_ordered_target_statistics(spark, sf_dir):
+    """Ordered target statistics of all categorical features: training rows from the rows
+    before them in a seeded permutation, test rows from all training rows."""
+    train, test = _engineered_split(spark, sf_dir)
+    model, ordered = EN.OrderedTargetEncoder(list(_TE), Y, ["row_idx"]).fit_transform_ordered(materialize(train))
+    cols = ["row_idx", "split", *[f"{c}_ots" for c in _TE]]
+    out = ordered.select(*cols).unionByName(model.transform(test).select(*cols))
+    return out.select("row_idx", "split", *[(F.floor(F.col(f"{c}_ots") * 10000.0 + 0.5) / 10000.0).alias(f"{c}_ots") for c in _TE])
+
+
 _SCALED = FEATURE_NUM + FEATURE_FREQ
 
 

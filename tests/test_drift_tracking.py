@@ -100,3 +100,26 @@ def test_best_run_missing_metric_loses(spark):
     assert TR.best_run(runs, "MAE", ascending=True).first()["model"] == "b"
     assert TR.best_run(runs, "R2").first()["model"] == "c"
     assert runs.where(F.col("metrics")["MAE"].isNull()).count() == 1
+
+
+def test_versions_are_unique_under_concurrent_writers(spark, tmp_path):
+    import threading
+
+    from faresight.operators import tracking as TR
+    base, got, errors = str(tmp_path / "registry"), [], []
+
+    def write(who):
+        try:
+            for i in range(12):
+                got.append(TR.register_version(spark, base, "model", f"{who}-{i}"))
+        except Exception as e:      # shown by the assertion below
+            errors.append(e)
+    threads = [threading.Thread(target=write, args=(w,)) for w in "abc"]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    rows = spark.read.parquet(f"{base}/versions").collect()
+    assert not errors and sorted(got) == list(range(1, 37)) == sorted(r["version"] for r in rows)
+    assert {r["run_id"] for r in rows} == {f"{w}-{i}" for w in "abc" for i in range(12)}
+    assert TR.register_version(spark, base, "other model/é", "x") == 1 and TR.register_version(spark, base, "model", "y") == 37

@@ -55,3 +55,33 @@ def test_frequency_encoder_persist_roundtrip(spark, tmp_path):
     m2 = EN.FrequencyEncoderModel.load(spark, str(tmp_path / "fe"))
     te = spark.createDataFrame([("a",), ("q",)], "c string")
     assert sorted(r["c_freq"] for r in m2.transform(te).collect()) == [0.0, 2 / 3]
+
+
+def test_ordered_statistics_never_see_their_own_target(spark):
+    import random
+
+    from faresight.operators.encode import OrderedTargetEncoder
+    r = random.Random(4)
+    rows = [(i, r.choice(["hot"] * 6 + ["b", "c", None]), r.choice("xy"), None if i % 11 == 0 else round(r.uniform(0, 10), 2)) for i in range(900)]
+    df = spark.createDataFrame(rows, "i long, c string, d string, y double").repartition(5)
+    enc = OrderedTargetEncoder(["c", "d"], "y", ["i"], strength=2.0)
+    model, out = enc.fit_transform_ordered(df)
+    got = {x["i"]: x for x in out.collect()}
+    assert len(got) == 900
+    from faresight.operators.split import row_hash
+    h = {x["i"]: x["h"] for x in df.select("i", row_hash(["i"], 42, portable=True).alias("h")).collect()}
+    known = [y for *_, y in rows if y is not None]
+    prior = sum(known) / len(known)
+    for col, at in (("c", 1), ("d", 2)):
+        total = {}
+        for x in sorted(rows, key=lambda x: (h[x[0]], x[0])):
+            v = "nan" if x[at] is None else x[at]
+            s, n = total.get(v, (0.0, 0))
+            assert abs(got[x[0]][f"{col}_ots"] - (s + 2.0 * prior) / (n + 2.0)) < 1e-9
+            if x[3] is not None:
+                total[v] = (s + x[3], n + 1)
+        new = {x["c"]: x["c_ots"] for x in model.transform(spark.createDataFrame([("hot", "x"), (None, "x"), ("unseen", "x")], "c string, d string")).collect()}
+        if col == "c":
+            for v, name in (("hot", "hot"), (None, "nan")):
+                assert abs(new[v] - (total[name][0] + 2.0 * prior) / (total[name][1] + 2.0)) < 1e-9
+            assert abs(new["unseen"] - prior) < 1e-9
