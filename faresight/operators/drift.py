@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from faresight.functions.metrics import r2_from
 from faresight.operators.prefix import prefix_sums, with_row_index
 from faresight.operators.profile import unpivot
+from faresight.session import materialize
 from faresight.sources.tables import bounded_broadcast
 
 # Default detection thresholds.
@@ -59,10 +60,20 @@ def sql_kolmogorov_sf(lam: str, terms: int = 10) -> str:
             f"1.0 - {math.sqrt(2 * math.pi)!r} / {lam} * (0.0 + {small}) ELSE 0.0 + {large} END, 0.0), 1.0) END")
 
 
-def _numeric_ecdf(both: DataFrame, cols: Sequence[str]) -> DataFrame:
-    long = unpivot(both, ["side"], cols, "feature", "v", cast="double").where(F.col("v").isNotNull())
-    counts = long.groupBy("feature", "v").agg(
-        F.sum((F.col("side") == 0).cast("long")).alias("r"), F.sum((F.col("side") == 1).cast("long")).alias("c"))
+def value_counts(df: DataFrame, cols: Sequence[str], cast: str, n: str) -> DataFrame:
+    """(feature, v, n): how often each non-null value of each column occurs."""
+    long = unpivot(df, [], cols, "feature", "v", cast=cast).where(F.col("v").isNotNull())
+    return long.groupBy("feature", "v").agg(F.count(F.lit(1)).alias(n))
+
+
+def _paired_counts(reference: DataFrame, current: DataFrame) -> DataFrame:
+    """(feature, v, r, c) from the value counts of both sides."""
+    zero = F.lit(0).cast("long")
+    both = reference.select("feature", "v", "r", zero.alias("c")).unionByName(current.select("feature", "v", zero.alias("r"), "c"))
+    return both.groupBy("feature", "v").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+
+
+def _numeric_ecdf(counts: DataFrame) -> DataFrame:
     cum = prefix_sums(counts, ["v"], ["r", "c"], ["feature"])
     tot = counts.groupBy("feature").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
     tot = bounded_broadcast(tot.select(F.col("feature").alias("_f"), "nr", "nc"))  # one row per feature
@@ -70,36 +81,79 @@ def _numeric_ecdf(both: DataFrame, cols: Sequence[str]) -> DataFrame:
         "fr": F.try_divide(F.col("cum_r"), F.col("nr")), "fc": F.try_divide(F.col("cum_c"), F.col("nc"))})
 
 
-def numeric_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per numeric feature: n_ref, n_cur, ks_d, ks_p, wasserstein (÷ ref std)."""
-    both = tag_sides(reference, current, cols)
-    ecdf = _numeric_ecdf(both, cols)
+def exact_ks_p(d: float, n: int, m: int) -> float:
+    """P(D >= d) of the two-sample Kolmogorov–Smirnov statistic for samples of n and m values
+    without ties: the share of lattice paths from (0, 0) to (n, m) that leave the band
+    |x / n - y / m| < d. Work n x m, memory m."""
+    import numpy as np
+    if n == 0 or m == 0:
+        return 1.0
+    step = round(d * n * m)               # |x m - y n| is an integer
+    y = np.arange(m + 1)
+    inside = np.zeros(m + 1)              # share of the paths to (x, y) that stayed inside
+    for x in range(n + 1):
+        allowed = np.abs(x * m - y * n) < step
+        if x == 0:
+            inside = np.cumprod(allowed).astype(float)
+            continue
+        # to (x, y) a path comes from (x - 1, y) with share x / (x + y), from (x, y - 1) with y / (x + y)
+        left = inside * x / (x + y)
+        run, now = 0.0, np.empty(m + 1)
+        for j in range(m + 1):
+            run = (left[j] + (run * j / (x + j) if j else 0.0)) if allowed[j] else 0.0
+            now[j] = run
+        inside = now
+    return float(min(1.0, max(0.0, 1.0 - inside[m])))
+
+
+def _numeric_from_counts(counts: DataFrame, spread: DataFrame, exact_up_to: int = 0) -> DataFrame:
+    counts = materialize(counts)
+    ecdf = _numeric_ecdf(counts)
     ks = ecdf.groupBy("feature").agg(F.max(F.abs(F.col("fr") - F.col("fc"))).alias("ks_d"),
                                      F.first("nr").alias("n_ref"), F.first("nc").alias("n_cur"))
     ne = F.try_divide(F.col("n_ref") * F.col("n_cur"), F.col("n_ref") + F.col("n_cur"))
     ks = ks.withColumn("ks_p", kolmogorov_sf(F.sqrt(ne) * F.col("ks_d")))
+    if exact_up_to:
+        def exact(batches):
+            for pdf in batches:          # one row per feature
+                for i, (d, n, m) in enumerate(zip(pdf["ks_d"], pdf["n_ref"], pdf["n_cur"])):
+                    if d == d and n * m <= exact_up_to:
+                        pdf.loc[pdf.index[i], "ks_p"] = exact_ks_p(float(d), int(n), int(m))
+                yield pdf
+        ks = ks.mapInPandas(exact, ks.schema)
     # W1 = Σ |F_ref(v_i) − F_cur(v_i)| (v_{i+1} − v_i): pair each value with the next by a dense index
     idx = with_row_index(ecdf.select("feature", "v", "fr", "fc"), [F.col("feature"), F.col("v")], "_i")
     nxt = idx.select((F.col("_i") - 1).alias("_i"), F.col("feature").alias("_nf"), F.col("v").alias("_nv"))
     steps = idx.join(nxt, "_i").where(F.col("feature") == F.col("_nf"))
     w = steps.groupBy("feature").agg(F.sum(F.abs(F.col("fr") - F.col("fc")) * (F.col("_nv") - F.col("v"))).alias("w1"))
-    sd = unpivot(reference.select(*cols), [], cols, "feature", "v", cast="double").groupBy("feature").agg(
-        F.stddev_pop("v").alias("ref_std"))
-    out = ks.join(w, "feature", "left").join(sd, "feature", "left")
+    out = ks.join(w, "feature", "left").join(spread, "feature", "left")
     return out.select("feature", "n_ref", "n_cur", "ks_d", "ks_p",
                       F.when(F.col("ref_std") > 0, F.coalesce(F.col("w1"), F.lit(0.0)) / F.col("ref_std"))
                       .otherwise(F.coalesce(F.col("w1"), F.lit(0.0))).alias("wasserstein"))
 
 
+def _spread(reference: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return unpivot(reference.select(*cols), [], cols, "feature", "v", cast="double").groupBy("feature").agg(F.stddev_pop("v").alias("ref_std"))
+
+
+def numeric_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str], exact_up_to: int = 0) -> DataFrame:
+    """Per numeric feature: n_ref, n_cur, ks_d, ks_p, wasserstein (÷ ref std). ``ks_p`` is that
+    of the limit distribution; with ``exact_up_to``, features with n_ref x n_cur up to it get the
+    exact small-sample value (``exact_ks_p``)."""
+    counts = _paired_counts(value_counts(reference, cols, "double", "r"), value_counts(current, cols, "double", "c"))
+    return _numeric_from_counts(counts, _spread(reference, cols), exact_up_to)
+
+
 def categorical_drift(reference: DataFrame, current: DataFrame, cols: Sequence[str], floor: float = PSI_FLOOR
                       ) -> DataFrame:
     """Per categorical feature: PSI, Jensen–Shannon distance (natural log) and
     the chi-square goodness-of-fit statistic of current counts against
     reference shares (over categories seen in the reference)."""
-    both = tag_sides(reference, current, cols)
-    long = unpivot(both, ["side"], cols, "feature", "value", cast="string").where(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(
-        F.sum((F.col("side") == 0).cast("long")).alias("r"), F.sum((F.col("side") == 1).cast("long")).alias("c"))
+    counts = _paired_counts(value_counts(reference, cols, "string", "r"), value_counts(current, cols, "string", "c"))
+    return _categorical_from_counts(counts, floor)
+
+
+def _categorical_from_counts(counts: DataFrame, floor: float = PSI_FLOOR) -> DataFrame:
     tot = counts.groupBy("feature").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
     tot = bounded_broadcast(tot.select(F.col("feature").alias("_f"), "nr", "nc"))  # one row per feature
     sh = counts.join(tot, counts["feature"] == tot["_f"]).drop("_f").withColumns({
@@ -120,6 +174,30 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: Sequence[s
         F.sum(((F.col("c") > 0) & (F.col("r") == 0)).cast("long")).alias("n_new_categories"))
 
 
+# A stored reference ------------------------------------------------------------------------
+def save_reference(reference: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], path: str) -> None:
+    """Write the drift state of a reference: how often each value of each feature occurs, and
+    each numeric feature's spread. Its size depends on the numbers of distinct values."""
+    value_counts(reference, num_cols, "double", "r").write.mode("overwrite").parquet(f"{path}/numeric")
+    value_counts(reference, cat_cols, "string", "r").write.mode("overwrite").parquet(f"{path}/categorical")
+    _spread(reference, num_cols).write.mode("overwrite").parquet(f"{path}/spread")
+
+
+def drift_against(spark, path: str, current: DataFrame) -> DataFrame:
+    """Per-feature report (feature, kind, method, score, drift_detected, n_ref, n_cur) of a
+    current frame against a written state, without the reference's rows: the same numbers as
+    ``drift_report`` with both frames and the default methods."""
+    num, cat, spread = (spark.read.parquet(f"{path}/{k}") for k in ("numeric", "categorical", "spread"))
+    n_cols = sorted(r["feature"] for r in spread.select("feature").collect())               # one row per feature
+    c_cols = sorted(r["feature"] for r in cat.select("feature").distinct().collect())
+    nd = _numeric_from_counts(_paired_counts(num, value_counts(current, n_cols, "double", "c")), spread)
+    cd = _categorical_from_counts(_paired_counts(cat, value_counts(current, c_cols, "string", "c")))
+    return nd.select("feature", F.lit("numeric").alias("kind"), F.lit("wasserstein").alias("method"), F.col("wasserstein").alias("score"),
+                     (F.col("wasserstein") >= DISTANCE_THRESHOLD).alias("drift_detected"), "n_ref", "n_cur").unionByName(
+        cd.select("feature", F.lit("categorical").alias("kind"), F.lit("jensenshannon").alias("method"), F.col("jensen_shannon").alias("score"),
+                  (F.col("jensen_shannon") >= DISTANCE_THRESHOLD).alias("drift_detected"), "n_ref", "n_cur"))
+
+
 def chi_square_sf(x: float, dof: int) -> float:
     """P(χ²_dof > x): the regularised upper incomplete gamma Q(dof/2, x/2), by its series
     below a + 1 and its continued fraction above."""

@@ -74,12 +74,15 @@ def m1_categorical_drift(spark, sf_dir):
                     rnd("chi2").alias("chi2"), "n_categories_ref", "n_new_categories")
 
 
-@register("m1_drift_report", with_flights("""
+_REPORT_SQL = with_flights("""
 SELECT feature, 'numeric' AS kind, 'wasserstein' AS method, wasserstein AS score, wasserstein >= 0.1 AS drift_detected, n_ref, n_cur
 FROM (""" + "\nUNION ALL\n".join(_sql_numeric(c) for c in NUM) + """)
 UNION ALL
 SELECT feature, 'categorical', 'jensenshannon', jensen_shannon, jensen_shannon >= 0.1, n_ref, n_cur
-FROM (""" + "\nUNION ALL\n".join(_sql_categorical(c) for c in CAT) + ")", *SPLIT_CTES[:2], *FE_CTES))
+FROM (""" + "\nUNION ALL\n".join(_sql_categorical(c) for c in CAT) + ")", *SPLIT_CTES[:2], *FE_CTES)
+
+
+@register("m1_drift_report", _REPORT_SQL)
 def m1_drift_report(spark, sf_dir):
     """Per-feature report with the default methods."""
     ref, cur = _sides(spark, sf_dir)
@@ -87,6 +90,18 @@ def m1_drift_report(spark, sf_dir):
     return r.withColumn("score", rnd("score"))
 
 
+@register("m1_drift_against_state", _REPORT_SQL)
+def m1_drift_against_state(spark, sf_dir):
+    """The same report from a stored reference state: value counts written once."""
+    import uuid
+
+    from faresight.session import ensure_checkpoint_dir, track
+    ref, cur = _sides(spark, sf_dir)
+    path = track(f"{ensure_checkpoint_dir(spark)}/drift-state/{uuid.uuid4().hex}")
+    DR.save_reference(ref, list(NUM), list(CAT), path)
+    return DR.drift_against(spark, path, cur).withColumn("score", rnd("score"))
+
+
 _M2_CTE = ("""report AS (
 SELECT feature, wasserstein >= 0.1 AS drift_detected FROM (""" + "\nUNION ALL\n".join(_sql_numeric(c) for c in NUM)
            + """)

@@ -123,3 +123,48 @@ def test_versions_are_unique_under_concurrent_writers(spark, tmp_path):
     assert not errors and sorted(got) == list(range(1, 37)) == sorted(r["version"] for r in rows)
     assert {r["run_id"] for r in rows} == {f"{w}-{i}" for w in "abc" for i in range(12)}
     assert TR.register_version(spark, base, "other model/é", "x") == 1 and TR.register_version(spark, base, "model", "y") == 37
+
+
+def test_exact_ks_equals_enumeration():
+    import itertools
+
+    from faresight.operators.drift import exact_ks_p
+    for n, m in ((1, 1), (1, 4), (3, 3), (4, 6), (5, 3), (7, 4), (8, 8)):
+        ds = []
+        for at in itertools.combinations(range(n + m), n):
+            mine = set(at)
+            x = y = 0
+            d = 0.0
+            for i in range(n + m):
+                x, y = (x + 1, y) if i in mine else (x, y + 1)
+                d = max(d, abs(x / n - y / m))
+            ds.append(d)
+        for d in sorted({round(v, 12) for v in ds}):
+            want = sum(v >= d - 1e-9 for v in ds) / len(ds)
+            assert abs(exact_ks_p(d, n, m) - want) < 1e-12, (n, m, d)
+
+
+def test_stored_reference_gives_the_same_report(spark, tmp_path):
+    import random
+
+    from faresight.operators import drift as DR
+    from faresight.streaming.monitor import drift_stream
+    r = random.Random(2)
+
+    def rows(n, shift):
+        return [(r.gauss(shift, 1), float(r.randint(0, 3)), None if r.random() < 0.1 else r.choice("abc" if shift else "ab")) for _ in range(n)]
+    schema = "x double, y double, k string"
+    ref, cur = (spark.createDataFrame(rows(n, s), schema).repartition(3) for n, s in ((700, 0), (300, 0.5)))
+    DR.save_reference(ref, ["x", "y"], ["k"], str(tmp_path / "state"))
+    key = lambda d: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in x) for x in d.collect())
+    want = key(DR.drift_report(ref, cur, ["x", "y"], ["k"], with_p_values=False))
+    assert key(DR.drift_against(spark, str(tmp_path / "state"), cur)) == want and any(x[4] for x in want)
+    exact = {x["feature"]: x["ks_p"] for x in DR.numeric_drift(ref.limit(30), cur.limit(20), ["x", "y"], exact_up_to=10_000).collect()}
+    plain = {x["feature"]: (x["ks_d"], x["ks_p"]) for x in DR.numeric_drift(ref.limit(30), cur.limit(20), ["x", "y"]).collect()}
+    assert abs(exact["x"] - DR.exact_ks_p(plain["x"][0], 30, 20)) < 1e-12 and 0 <= exact["x"] <= 1 and exact["x"] != plain["x"][1]
+    src = str(tmp_path / "in")
+    cur.coalesce(1).write.parquet(src)
+    q = drift_stream(spark.readStream.schema(schema).parquet(src), str(tmp_path / "state"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert key(got.drop("batch")) == want and got.select("batch").distinct().count() == 1
