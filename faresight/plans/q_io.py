@@ -1,4 +1,4 @@
-"""Registered source/sink round trips (S1–S6, S8, S10): each writes a result
+"""Registered source/sink round trips (S1–S8, S10) and column selection (P1, P2, P4): each writes a result
 derived from the supplied tables under the session's checkpoint folder
 with the library's sinks, reads it back with its scans and returns what was
 read, so that the DuckDB oracle (computed directly from the tables) checks
@@ -92,6 +92,42 @@ def s6_sample_sink(spark, sf_dir):
     return IO.read_parquet(spark, path).select("row_idx", "airline", "travel_class", "total_fare")
 
 
+# S7 ---------------------------------------------------------------------------------------------------
+_MAPPED = ("airline", "destination", "travel_class")
+
+
+@register("s7_json_roundtrip", with_flights("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS n, round(count(*) / (SELECT count({c}) FROM flights), 8) AS freq FROM flights WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c in _MAPPED)))
+def s7_json_roundtrip(spark, sf_dir):
+    """Frequency maps written as JSON lines with a nested entry, read back with a schema."""
+    from faresight.operators.profile import relative_frequency
+    path = _scratch(spark, "frequency-maps")
+    maps = relative_frequency(flights(spark, sf_dir), list(_MAPPED))
+    IO.write_json(maps.select("column", F.struct("value", F.col("count").alias("n"), rnd("freq", 8).alias("freq")).alias("entry")), path)
+    back = spark.read.schema("column string, entry struct<value:string,n:long,freq:double>").json(path)
+    return back.select("column", "entry.value", "entry.n", "entry.freq")
+
+
+# P1 / P2 / P4 -----------------------------------------------------------------------------------------
+_NUMBERS = ("days_before", "duration_hrs", "total_fare")
+
+
+@register("p1_column_selection", with_flights("\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", round(sum({c}), 2) AS total, count({c}) AS n FROM flights" for i, c in enumerate(_NUMBERS))))
+def p1_column_selection(spark, sf_dir):
+    """Leaky columns dropped (absent names ignored), the numeric ones taken by type
+    and put in a fixed order; their totals."""
+    from faresight.operators import features as FE
+    from faresight.operators.profile import unpivot
+    f = FE.drop_if_present(flights(spark, sf_dir), ["base_fare", "tax", "a column that is not there"])
+    numbers = sorted(FE.numeric_columns(f, exclude=("order_key", "line_no")))
+    x = FE.reorder_like(f, numbers)
+    at = F.array_position(F.array(*[F.lit(c) for c in numbers]), F.col("column")) - 1
+    long = unpivot(x, [], numbers, "column", "v", cast="decimal(38,6)")
+    return long.groupBy("column").agg(F.sum("v").alias("t"), F.count("v").alias("n")).select(at.cast("int").alias("position"), "column", rnd("t", 2).alias("total"), "n")
+
+
 # S8 ---------------------------------------------------------------------------------------------------
 @register("s8_csv_sink_roundtrip", with_flights("""
 SELECT airline, count(*) AS n, round(avg(total_fare), 4) AS mean_total_fare,
