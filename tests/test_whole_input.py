@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faresight.functions.metrics import finish, metric_parts
-from faresight.operators import drift as DR, encode as EN, models as MD, outliers as OU, split as SP, tracking as TR
+from faresight.operators import drift as DR, encode as EN, outliers as OU, split as SP, tracking as TR
 
 
 def test_tree_samples_cover_the_input_and_ignore_partitioning(spark):
