@@ -75,8 +75,8 @@ def l3_loss_variants(spark, sf_dir):
     outs = []
     for name, m in MD.fit_boosted(tr, LOSS_VARIANTS).items():
         scored = materialize(m.transform(te).select(Y, "prediction"))
-        share = scored.agg(F.avg((F.col(Y) <= F.col("prediction")).cast("double")).alias("share_below"))     # one row
-        outs.append(_metrics(scored).withColumn("variant", F.lit(name)).withColumn("rounds", F.lit(m.core.fitted.rounds)).join(share))
+        share = scored.agg(F.avg((F.col(Y) <= F.col("prediction")).cast("double"))).first()[0]     # one row
+        outs.append(_metrics(scored).withColumns({"variant": F.lit(name), "rounds": F.lit(m.core.fitted.rounds), "share_below": F.lit(share)}))
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)
@@ -199,10 +199,11 @@ def l14_tree_attribution(spark, sf_dir):
     m = MD.fit_boosted(tr, {"model": p}, keep=["row_idx"])["model"]
     parts = materialize(m.attributions(te, ["row_idx"]))
     plain = m.transform(te).select("row_idx", F.col("prediction").alias("plain"))
-    gap = parts.join(plain, "row_idx").agg(F.max(F.abs(F.col("prediction") - F.col("plain"))).alias("max_gap"), F.max("expected").alias("expected"))   # one row
+    gap = parts.join(plain, "row_idx").agg(F.max(F.abs(F.col("prediction") - F.col("plain"))).alias("max_gap"), F.max("expected").alias("expected")).first()   # one row
     names = F.array(*[F.lit(f) for f in m.feature_names])
     long = parts.select(F.explode(F.arrays_zip(names.alias("feature"), F.col("phi").alias("value"))).alias("_z")).select("_z.feature", "_z.value")
-    return long.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs_value"), F.count(F.lit(1)).alias("n")).join(gap)
+    return long.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs_value"), F.count(F.lit(1)).alias("n")) \
+        .withColumns({c: F.lit(gap[c]).cast("double") for c in ("max_gap", "expected")})
 
 
 @register("l14_linear_attribution")
