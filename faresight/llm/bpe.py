@@ -22,6 +22,7 @@ GROUP = 1 << 21            # bytes of text whose fragments are looked up togethe
 CACHE = 1 << 19            # fragments a worker remembers between batches (memory only, never results)
 OTHER, LETTER, NUMBER, BLANK, SPACE = range(5)
 _models: dict = {}
+X.keeps(__name__, _models.clear)
 _class = np.full(0x110000, 255, np.uint8)     # class of every code point seen so far
 
 

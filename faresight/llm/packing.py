@@ -33,6 +33,7 @@ _LETTER[[*range(97, 123), *range(48, 58)]] = True
 _PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _ACCENT[[*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = True     # after 0xC3: Latin letters
 _tokenizers: dict = {}
+X.keeps(__name__, _tokenizers.clear)
 
 
 def _byte_chars() -> dict[int, str]:

@@ -205,6 +205,7 @@ def marked(match: np.ndarray, length: int) -> list[tuple[int, int]]:
 def _shard(length: int):
     def run(pdf):
         import pandas as pd
+        X.only(__name__)
         match, off = matching_statistics([bytes(t) for t in pdf["bytes"]])
         rows = []
         for k, (a, s, n) in enumerate(zip(pdf["anchor"], pdf["sh"], pdf["n"])):

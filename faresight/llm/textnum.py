@@ -29,9 +29,26 @@ def release() -> None:
         pass        # another C library: nothing to do
 
 
+_caches: dict = {}
+
+
+def keeps(module: str, clear) -> None:
+    """Note what a module's tasks keep in a worker between them, and how to drop it."""
+    _caches[module] = clear
+
+
+def only(module: str) -> None:
+    """Drop what other modules keep: a worker that goes on with another operator needs it no more."""
+    for name, clear in _caches.items():
+        if name != module:
+            clear()
+    release()
+
+
 def tidy(run):
-    """An Arrow task that releases its memory when it ends."""
+    """An Arrow task that drops other operators' caches and releases its memory when it ends."""
     def task(batches):
+        only(run.__module__)
         try:
             yield from run(batches)
         finally:

@@ -17,6 +17,7 @@ from faresight.llm import textnum as X
 MARK = "▁"     # stands before a word, as in the vocabulary
 GROUP = 1 << 22
 _automata: dict = {}
+X.keeps(__name__, _automata.clear)
 
 
 class Automaton:
