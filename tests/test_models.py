@@ -205,3 +205,12 @@ def test_permutation_query_takes_every_raw_column(monkeypatch):
     Q.l14_permutation_importance(None, None)
     assert sorted(seen) == sorted(["airline", "source", "destination", "travel_class", "stopovers", "aircraft_type", "booking_source",
                                    "seasonality", "duration_hrs", "days_before", "departure"])
+
+
+def test_saved_tree_is_loaded_as_a_tree(spark, sf_dir, monkeypatch):
+    """The round trip query fits a tree, so it must read back a tree."""
+    from faresight.plans import q_models as Q
+    tr, te = planted(spark, sf_dir)
+    monkeypatch.setattr(Q, "_train_test", lambda *a: (tr, te))
+    got = Q.l17_save_load_roundtrip(spark, sf_dir).collect()
+    assert [(r["n"], r["max_abs_diff"]) for r in got] == [(te.count(), 0.0)]
