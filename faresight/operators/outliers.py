@@ -4,19 +4,19 @@ Each tree gets its own ``sample_size`` rows, those with the smallest hash of
 (seed, tree, row content) among all complete rows of the frame, so the samples
 cover the whole input and do not depend on its partitioning. Trees are grown on
 the driver from these samples (25,600 rows by default), as the method
-prescribes; every row is then scored in parallel by a vectorised
-``mapInPandas`` pass, and the flag threshold is the exact (1 − contamination)
+prescribes; every row is then scored in parallel by a vectorised pass
+(of a forest over one column: by its steps), and the flag threshold is the exact (1 − contamination)
 quantile of the scores, computed distributed.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from faresight.operators.prefix import exact_quantiles
 from faresight.operators.profile import scalars
@@ -81,6 +81,17 @@ def _path_lengths(x: np.ndarray, tree: tuple[np.ndarray, ...]) -> np.ndarray:
     return depth + _c_vec(size[node])
 
 
+def _scores(x: np.ndarray, trees: Sequence[tuple[np.ndarray, ...]], cpsi: float) -> np.ndarray:
+    return np.power(2.0, -np.mean([_path_lengths(x, t) for t in trees], axis=0) / cpsi)
+
+
+def _steps(trees: Sequence[tuple[np.ndarray, ...]], cpsi: float) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of a forest over one column, which are constant between its splits: the sorted
+    splits, and the score below the first and from each on."""
+    at = np.unique(np.concatenate([t[1][t[0] >= 0] for t in trees]))
+    return at, _scores(np.concatenate([[-np.inf], at])[:, None], trees, cpsi)
+
+
 def tree_samples(df: DataFrame, cols: Sequence[str], n_trees: int, sample_size: int, seed: int = 42) -> DataFrame:
     """(tree, cols): ``sample_size`` complete rows of ``df`` per tree (all, if fewer). A row
     competes for a tree when its hash lies below a bound that about 2 · ``sample_size`` rows
@@ -90,8 +101,11 @@ def tree_samples(df: DataFrame, cols: Sequence[str], n_trees: int, sample_size:
     share = min(1.0, (2 * sample_size + 64) / max(n, 1))
     row = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
     bound = int(-2 ** 63 + share * (2 ** 64 - 1)) if share < 1 else 2 ** 63 - 1
-    hits = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                                lambda t: F.struct(t.alias("tree"), F.xxhash64(t, row).alias("h"))), lambda s: s["h"] <= F.lit(bound))
+
+    def drawn(r):
+        return F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(t.alias("tree"), F.xxhash64(t, r).alias("h"))),
+                        lambda s: s["h"] <= F.lit(bound))
+    hits = F.flatten(F.transform(F.array(row), drawn))       # as a lambda's argument the row hash is taken once, not once per tree
     x = x.select(*[f"_x_{c}" for c in cols], F.explode(hits).alias("s"))
     w = Window.partitionBy("s.tree").orderBy("s.h", *[f"_x_{c}" for c in cols])
     return x.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_size).select(
@@ -113,21 +127,22 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], n_trees: int = 100, sam
         psi = max(psi, len(x))
         trees.append(_grow(x, rng, int(math.ceil(math.log2(max(len(x), 2))))))
     cpsi = _c(psi)
-    bc = df.sparkSession.sparkContext.broadcast(trees)  # n_trees × O(ψ) nodes
+    bc = df.sparkSession.sparkContext.broadcast(_steps(trees, cpsi) if len(cols) == 1 and cpsi > 0 else trees)  # n_trees × O(ψ) nodes
 
-    def score(batches):
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         ts = bc.value
         for pdf in batches:
             x = pdf[cols].astype("float64").to_numpy()
             whole = ~np.isnan(x).any(axis=1)
             s = np.full(len(x), np.nan)
             if cpsi > 0 and whole.any():
-                s[whole] = np.power(2.0, -np.mean([_path_lengths(x[whole], t) for t in ts], axis=0) / cpsi)
+                s[whole] = ts[1][np.searchsorted(ts[0], x[whole, 0], side="right")] if len(cols) == 1 else _scores(x[whole], ts, cpsi)
             else:
                 s[whole] = 0.5
-            yield pdf.assign(anomaly_score=pd.array(s, dtype="Float64"))
-    schema = T.StructType(df.schema.fields + [T.StructField("anomaly_score", T.DoubleType())])
-    scored = df.mapInPandas(score, schema)
+            yield pd.Series(pd.array(s, dtype="Float64"))
+    # only ``cols`` go through Python; the other columns stay where they are
+    scored = df.withColumn("anomaly_score", score(F.struct(*cols)))
     thr = scalars(exact_quantiles(scored, "anomaly_score", [1.0 - contamination]))["q_0"]
     return scored.withColumn("is_outlier", F.coalesce(F.col("anomaly_score") > F.lit(thr), F.lit(False)))
 
