@@ -214,3 +214,32 @@ def test_saved_tree_is_loaded_as_a_tree(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(Q, "_train_test", lambda *a: (tr, te))
     got = Q.l17_save_load_roundtrip(spark, sf_dir).collect()
     assert [(r["n"], r["max_abs_diff"]) for r in got] == [(te.count(), 0.0)]
+
+
+def test_forest_over_one_column_scores_by_its_steps(spark):
+    from faresight.operators import outliers as O
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 1)).round(1)
+    trees = [O._grow(x[rng.choice(400, 64)], rng, 6) for _ in range(9)]
+    at, score = O._steps(trees, O._c(64))
+    probe = np.concatenate([x[:, 0], at, at - 1e-9, [-np.inf, np.inf]])
+    assert (score[np.searchsorted(at, probe, side="right")] == O._scores(probe[:, None], trees, O._c(64))).all()
+    df = spark.createDataFrame([(i, None if i == 7 else float(v), "t") for i, v in enumerate(x[:, 0])], "id int, v double, other string")
+    out = O.isolation_forest(df, ["v"], n_trees=9, sample_size=64)
+    got = {r["id"]: r for r in out.collect()}
+    assert got[7]["anomaly_score"] is None and not got[7]["is_outlier"] and len(got) == 400 and got[3]["other"] == "t"
+    assert "MapInPandas" not in out._jdf.queryExecution().toString()      # the other columns do not go through Python
+
+
+def test_linear_attribution_of_sparse_vectors(spark):
+    from types import SimpleNamespace
+
+    from pyspark.ml.linalg import DenseVector, Vectors
+    x = np.array([[0.0, 2.0, 1.0], [0.0, 0.0, 1.0], [0.0, -1.0, 1.0], [0.0, 0.0, 0.0]])
+    coef = np.array([3.0, -2.0, 0.5])
+    df = spark.createDataFrame([(Vectors.sparse(3, [(j, float(v)) for j, v in enumerate(r) if v]),) for r in x], ["features"])
+    model = SimpleNamespace(transform=lambda raw: raw, learner=SimpleNamespace(coefficients=DenseVector(coef)), encoding="", num_cols=["a", "b", "c"])
+    out = MD.linear_attribution(model, df)
+    got = {r["feature"]: r["mean_abs_attr"] for r in out.collect()}
+    assert np.allclose([got[c] for c in "abc"], np.abs(coef * (x - x.mean(0))).mean(0))
+    assert "posexplode" not in out._jdf.queryExecution().toString()       # a zero makes no row
