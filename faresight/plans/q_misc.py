@@ -10,7 +10,7 @@ from faresight.operators import tracking as TR
 from faresight.operators.encode import feature_pipeline
 from faresight.operators.features import feature_schema
 from faresight.operators.preprocess import FarePreprocessor
-from faresight.plans.common import FEATURE_CAT, SPLIT_CTES, split_flights, sql_features
+from faresight.plans.common import FEATURE_CAT, FEATURE_RAW, SPLIT_CTES, split_flights, sql_features
 from faresight.plans.q_drift import FE_CTES, _M2_CTE, DRIFT_TRIGGER_SQL
 from faresight.plans.registry import register, rnd
 from faresight.session import materialize
@@ -20,9 +20,9 @@ Y = "total_fare"
 
 
 def _prepared(spark, sf_dir):
-    s = split_flights(spark, sf_dir)
+    s = split_flights(spark, sf_dir, *FEATURE_RAW)
     tr, te = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-    model = FarePreprocessor(keep=["row_idx", Y]).fit(tr)
+    model = FarePreprocessor(keep=[Y]).fit(tr)
     return model, model.transform(tr), model.transform(te)
 
 
