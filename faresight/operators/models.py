@@ -181,7 +181,10 @@ class Prepared:
         return [f"{c}_code" for c in self.cats] + self.nums
 
     def matrix(self, raw: DataFrame) -> DataFrame:
-        x = self.prep.transform(raw)
+        return self.encoded(self.prep.transform(raw))
+
+    def encoded(self, x: DataFrame) -> DataFrame:
+        """The matrix of preprocessed rows."""
         if self.enc is not None:
             x = self.enc.transform(x)
         return self.feat.transform(x) if self.feat is not None else x
@@ -204,9 +207,12 @@ def prepare(train: DataFrame, roles: Roles = FLIGHT_ROLES, keep: Sequence[str] =
     nums = [c for c in prep.num_feature_names if c not in keep]
     if encoding == "ordinal":
         return Prepared(prep, OrdinalEncoder(cats).fit(x), None, cats, nums, encoding, target)
+    x = materialize(x)        # read by the indexer and by every pass of a learner
     asm = VectorAssembler(inputCols=[f"oh_{c}_vec" for c in cats] + nums, outputCol="features", handleInvalid="keep")
     feat = Pipeline(stages=[*one_hot_stages(cats), asm]).fit(x)
-    return Prepared(prep, None, feat, cats, nums, encoding, target)
+    prepared = Prepared(prep, None, feat, cats, nums, encoding, target)
+    prepared.rows = x
+    return prepared
 
 
 def fit_linear(prepared: Prepared, x: DataFrame, name: str, params: dict, weight_col: str | None = None) -> FareModel:
@@ -221,9 +227,9 @@ def fit_model(train: DataFrame, name: str, params: dict, roles: Roles = FLIGHT_R
     """Fit preprocessing and one learner on ``train`` (raw rows); boosting watches ``valid``."""
     family = REFERENCE_CONFIGS.get(name, ("linear", {}))[0]
     pr = prepare(train, roles, keep, "onehot" if family == "linear" else "ordinal", target, weight_col)
-    x = pr.matrix(train)
     if family == "linear":
-        return fit_linear(pr, x, name, params, weight_col)
+        return fit_linear(pr, pr.encoded(pr.rows), name, params, weight_col)
+    x = pr.matrix(train)
     p = tree_params(params, len(pr.features))
     x = materialize(x.select(*pr.features, pr.target, *([weight_col] if weight_col else [])).withColumn("_part", F.lit(0)))
     if family == "forest":
