@@ -117,3 +117,24 @@ def test_planted_passages_by_length(spark):
         caught = p is not None and len(p) >= 400
         assert (p is not None and p not in left[i]) == caught and out[i].n_kept == out[i].n_bytes - out[i].n_removed == len(left[i].encode())
         assert (out[i].n_removed >= len(p)) if caught else out[i].n_removed == 0
+
+
+def test_digest_returns_the_text_left(spark, edge_docs, monkeypatch):
+    """What is left can be read from the result itself: repeated passages are gone from the
+    text, rows without repeats keep theirs, split characters go, null gives an empty text."""
+    passage, split = sentence(40, 120), "é" * 150
+    rows = [(1, sentence(41, 30) + " " + passage + " " + sentence(42, 30)), (2, passage + " " + sentence(43, 40)), (3, sentence(44, 120)),
+            (4, None), (5, ""), (6, "a" + split[:110]), (7, "b" + split[:110]), (8, "é" + sentence(45, 90) + "è"), (9, "ê" + sentence(45, 90) + "ë")]
+    monkeypatch.setattr(R, "OUT_BYTES", 700)              # more than one batch of results
+    out = {r.doc_id: r for r in R.digest(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 200).collect()}
+    assert len(out) == len(rows) and passage not in out[1].text + out[2].text
+    assert out[1].text.startswith(sentence(41, 30)) and out[2].text.endswith(sentence(43, 40))
+    assert out[3].text == rows[2][1] and out[4].text == out[5].text == ""
+    assert out[8].text == "é" and out[9].text == "ê" and out[8].n_kept == out[9].n_kept == 3
+    for i, t in rows:
+        b = (t or "").encode()
+        assert out[i].n_bytes == len(b) and out[i].n_kept == len(b) - out[i].n_removed >= len(out[i].text.encode())
+        if not out[i].n_removed:
+            assert out[i].text.encode() == b and out[i].kept_sha256 == hashlib.sha256(b).hexdigest()
+    left = sorted((r.doc_id or -1, r.text or "") for r in R.remove_repeats(edge_docs, 100).collect())
+    assert left == sorted((r.doc_id or -1, r.text) for r in R.digest(edge_docs, 100).collect())
