@@ -717,7 +717,7 @@ def e10_ordered_target_statistics(spark, sf_dir):
     """Ordered target statistics of all categorical features: training rows from the rows
     before them in a seeded permutation, test rows from all training rows."""
     train, test = _engineered_split(spark, sf_dir)
-    model, ordered = EN.OrderedTargetEncoder(list(_TE), Y, ["row_idx"]).fit_transform_ordered(materialize(train))
+    model, ordered = EN.OrderedTargetEncoder(list(_TE), Y, ["row_idx"]).fit_transform_ordered(train.select("row_idx", "split", Y, *_TE))
     cols = ["row_idx", "split", *[f"{c}_ots" for c in _TE]]
     out = ordered.select(*cols).unionByName(model.transform(test).select(*cols))
     return out.select("row_idx", "split", *[(F.floor(F.col(f"{c}_ots") * 10000.0 + 0.5) / 10000.0).alias(f"{c}_ots") for c in _TE])

@@ -85,3 +85,38 @@ def test_ordered_statistics_never_see_their_own_target(spark):
             for v, name in (("hot", "hot"), (None, "nan")):
                 assert abs(new[v] - (total[name][0] + 2.0 * prior) / (total[name][1] + 2.0)) < 1e-9
             assert abs(new["unseen"] - prior) < 1e-9
+
+
+def test_ordered_statistics_over_many_buckets_move_each_row_once(spark, monkeypatch):
+    """Equal to a plain loop however many buckets there are, with rows that repeat a key, lack a key, a
+    category or a target; nothing with a row per row and column is written."""
+    from decimal import Decimal
+    import hashlib
+    import random
+    from faresight.operators import encode as EN, prefix
+    r = random.Random(3)
+    rows = [(i, r.choice(["a", "b", None]), r.choice(["x", "nan"]), r.choice([None, round(r.uniform(0, 9), 2)])) for i in range(200)] + [(7, "c", "x", 1.0), (None, "a", "x", 5.0)]
+    df = spark.createDataFrame(rows, "i int, c string, d string, y double")
+    written, real = [], EN.materialize
+    for m in (EN, prefix):
+        monkeypatch.setattr(m, "materialize", lambda f: written.append(f.count()) or real(f))
+    ys = [Decimal(str(y)) for *_, y in rows if y is not None]
+    prior = float(sum(ys)) / len(ys)
+    h = {i: int(hashlib.md5("|".join(["42"] + ([] if i is None else [str(i)])).encode()).hexdigest()[:15], 16) for i, *_ in rows}
+    order = sorted(rows, key=lambda x: (h[x[0]], x[0] if x[0] is not None else -1))
+    want: dict = {}
+    for col in (1, 2):
+        sums: dict = {}
+        for x in order:
+            s, n = sums.get(x[col] or "nan", (Decimal(0), 0))
+            k = (x[0], col)
+            want[k] = max(want.get(k, -1e9), (float(s) + 2 * prior) / (n + 2))
+            if x[3] is not None:
+                sums[x[col] or "nan"] = (s + Decimal(str(x[3])), n + 1)
+    for size in (1 << 18, 9):
+        monkeypatch.setattr(EN, "BUCKET_ROWS", size)
+        written.clear()
+        _, out = EN.OrderedTargetEncoder(["c", "d"], "y", ["i"], strength=2.0).fit_transform_ordered(df)
+        got = out.collect()
+        assert len(got) == 201 and all(abs(g["c_ots"] - want[g["i"], 1]) < 1e-9 and abs(g["d_ots"] - want[g["i"], 2]) < 1e-9 for g in got)
+        assert max(written) < len(rows)
